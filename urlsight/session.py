@@ -13,6 +13,7 @@ def local_session(cpus: int | str = 8, app: str = "urlsight", **conf) -> SparkSe
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("URLSIGHT_DRIVER_MEMORY", "12g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
