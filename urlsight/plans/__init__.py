@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["url_queries", "eda_queries", "encode_queries"]
+_MODULES = ["url_queries", "eda_queries", "encode_queries", "metric_queries"]
 
 
 def _collect():
