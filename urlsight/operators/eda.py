@@ -70,24 +70,27 @@ def _cov_name(i: int, j: int) -> str:
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson matrix in long form (feature_a, feature_b, corr).
 
-    One aggregate pass computes ``covar_pop`` for every pair (variance on the
-    diagonal); a zero standard deviation gives NULL instead of a division
-    error. The single result row is exploded into the k*k cells.
+    The k x k matrix comes from one distributed pass
+    (``pyspark.ml.stat.Correlation``: a tree-aggregated Gramian, map-side
+    combined), so the cost is one scan whatever the row count. Only the
+    k x k result (fixed by the column count) passes through the driver.
+    A zero standard deviation gives NULL (Spark returns NaN there).
     """
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    names = [f"__x{i}" for i in range(len(cols))]
+    x = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)])
+    vec = VectorAssembler(inputCols=names, outputCol="__v", handleInvalid="skip").transform(x).select("__v")
+    m = Correlation.corr(vec, "__v", "pearson").head()[0].toArray()
     k = len(cols)
-    aggs = [F.covar_pop(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(_cov_name(i, j))
-            for i in range(k) for j in range(i, k)]
-    row = df.agg(*aggs)
-    cells = []
-    for i in range(k):
-        for j in range(k):
-            a, b = min(i, j), max(i, j)
-            cov = F.col(_cov_name(a, b))
-            denom = F.sqrt(F.col(_cov_name(i, i))) * F.sqrt(F.col(_cov_name(j, j)))
-            corr = F.when(denom != 0, cov / denom)
-            cells.append(F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
-                                  F.round(corr, 6).alias("corr")))
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    # Spark keeps 1.0 on the diagonal of a constant column; its other cells are NaN.
+    constant = [k > 1 and all(math.isnan(m[i][j]) for j in range(k) if j != i) for i in range(k)]
+    cells = [(a, b, None if math.isnan(m[i][j]) or (i == j and constant[i]) else round(float(m[i][j]), 6))
+             for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, corr double")
 
 
 def label_correlation(df: DataFrame, cols: list[str], label_col: str = "label", k: int | None = 15) -> DataFrame:

@@ -174,9 +174,16 @@ def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], p
         # sklearn's default L2 (C=1) on the weighted sum equals regParam = 1 / sum(w)
         total_w = data.agg(F.sum(w)).first()[0]
         est.getStages()[1].setRegParam(1.0 / total_w)
-    t0 = time.time()
-    model = est.fit(data)
-    return FittedModel(trainer.name, vocab_model, names, model, time.time() - t0)
+    # Iterative trainers scan their input many times: materialise it once.
+    data = data.persist()
+    try:
+        data.count()
+        t0 = time.time()
+        model = est.fit(data)
+        elapsed = time.time() - t0
+    finally:
+        data.unpersist()
+    return FittedModel(trainer.name, vocab_model, names, model, elapsed)
 
 
 def evaluate(fitted: FittedModel, test: DataFrame, key: str, label_col: str = "label",

@@ -74,6 +74,7 @@ def loss_curve(spark: SparkSession, d: str) -> DataFrame:
     fm = Z.fit_one(Z.TRAINERS["CatBoost"], train, vocab_model, names, PRESET)
     X = Z.assemble(encode(train, vocab_model.getVocabulary(), keep=["label"]), names, ["label"]) \
         .withColumn("label", F.col("label").cast("double"))
+    X = X.withColumn("weight", Z.balanced_weight(X, "label"))
     return Z.loss_curve(fm.model, X)
 
 

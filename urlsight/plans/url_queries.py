@@ -63,8 +63,16 @@ def top_tlds(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
     return agg.orderBy(F.desc("n"), F.asc("tld")).limit(k)
 
 
+def doc_lexical_features(spark: SparkSession, d: str) -> DataFrame:
+    """The same character-level counts, ratios and entropy over whole document texts."""
+    from ..functions.url import with_text_features
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    return with_text_features(docs, "text").drop("text")
+
+
 QUERIES = {
     "scan_pages": scan_pages,
+    "doc_lexical_features": doc_lexical_features,
     "url_parts": url_parts,
     "url_counts": url_counts,
     "url_ratios": url_ratios,
@@ -80,7 +88,13 @@ _DISPLAY = ("CASE WHEN starts_with(feature, 'tld_') THEN replace(feature, 'tld_'
             "ELSE array_to_string(list_transform(string_split(replace(feature, '_', ' '), ' '), "
             "lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') END")
 
+_DOCS_LEX = ",\n       ".join(V.lexical_sql("t", "length(t)"))
+
 ORACLE = {
+    "doc_lexical_features": f"""SELECT b.*, e.entropy FROM
+        (SELECT doc_id, CAST(length(t) AS INTEGER) AS text_len, {_DOCS_LEX}
+         FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)) b
+        JOIN {V.entropy_sql("documents", "doc_id", "text")} e USING (doc_id)""",
     "scan_pages": "SELECT page_id, url, CAST(length(html) AS BIGINT) AS html_chars FROM pages",
     "url_parts": V.url_parts_sql("pages"),
     "url_counts": f"{_UF} SELECT page_id, {', '.join(COUNT_COLS)} FROM uf",
