@@ -1,9 +1,10 @@
 """Arrow-batched pandas UDFs (the only Python-side row work in the library)."""
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def char_entropy(texts: pd.Series) -> pd.Series:
     """Base-2 code-point entropy per text, rounded to 9 dp (see url.text_entropy)."""
     from .url import _entropy_batch

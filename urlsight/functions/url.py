@@ -43,17 +43,19 @@ STRIP_CLASS = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 ROUND_DIGITS = 9
 # ---------------------------------------------------------------------------
 
-LETTER_CLASS = r"\p{L}"
-DIGIT_CLASS = r"\p{Nd}"
-SPECIAL_CLASS = r"[^\p{L}\p{N}/?=#&.\-_:]"
+# Runs of characters that are NOT counted; removing them leaves exactly the
+# counted characters (one regex match per run instead of one per character).
+NOT_LETTER_RUN = r"[^\p{L}]+"
+NOT_DIGIT_RUN = r"[^\p{Nd}]+"
+NOT_SPECIAL_RUN = r"[\p{L}\p{N}/?=#&.\-_:]+"
 
 
 def _count_char(s: Column, ch: str) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
 
 
-def _count_regex(s: Column, pattern: str) -> Column:
-    return F.regexp_count(s, F.lit(pattern))
+def _count_kept(s: Column, drop_run: str) -> Column:
+    return F.length(F.regexp_replace(s, F.lit(drop_run), F.lit("")))
 
 
 def safe_text(c: Column) -> Column:
@@ -117,9 +119,9 @@ def text_entropy(s: Column) -> Column:
 
 def lexical_counts(s: Column, n: Column) -> dict[str, Column]:
     """Character-level counts and ratios of a text."""
-    letters = _count_regex(s, LETTER_CLASS)
-    digits = _count_regex(s, DIGIT_CLASS)
-    special = _count_regex(s, SPECIAL_CLASS)
+    letters = _count_kept(s, NOT_LETTER_RUN)
+    digits = _count_kept(s, NOT_DIGIT_RUN)
+    special = _count_kept(s, NOT_SPECIAL_RUN)
     denom = F.greatest(F.lit(1), n)
     out = {"letter_cnt": letters, "digit_cnt": digits, "special_cnt": special}
     for name, ch in CHAR_COUNTS.items():

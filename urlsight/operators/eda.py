@@ -84,7 +84,13 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     names = [f"__x{i}" for i in range(len(cols))]
     x = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)])
     vec = VectorAssembler(inputCols=names, outputCol="__v", handleInvalid="skip").transform(x).select("__v")
-    m = Correlation.corr(vec, "__v", "pearson").head()[0].toArray()
+    # Correlation makes several passes (summary + Gramian); the result is
+    # collected here, so the input can be cached and released right after.
+    vec = vec.persist()
+    try:
+        m = Correlation.corr(vec, "__v", "pearson").head()[0].toArray()
+    finally:
+        vec.unpersist()
     k = len(cols)
     # Spark keeps 1.0 on the diagonal of a constant column; its other cells are NaN.
     constant = [k > 1 and all(math.isnan(m[i][j]) for j in range(k) if j != i) for i in range(k)]

@@ -34,9 +34,9 @@ def class_counts(df: DataFrame, label_col: str = "label") -> dict[int, int]:
     return {int(r[0]): int(r[1]) for r in df.groupBy(label_col).count().collect()}
 
 
-def balanced_weight(df: DataFrame, label_col: str = "label") -> Column:
+def balanced_weight(df: DataFrame, label_col: str = "label", counts: dict[int, int] | None = None) -> Column:
     """N / (2 * n_class), as a literal CASE (the class table is tiny)."""
-    counts = class_counts(df, label_col)
+    counts = counts if counts is not None else class_counts(df, label_col)
     total = sum(counts.values())
     expr = None
     for k, n in counts.items():
@@ -163,17 +163,21 @@ def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], p
         assembled = assemble(enc, names, [label_col])
     data = assembled.withColumn("label", F.col(label_col).cast("double"))
     w = None
+    counts = class_counts(data, "label")
     if trainer.weighting == "balanced":
-        data = data.withColumn("weight", balanced_weight(data, "label"))
+        data = data.withColumn("weight", balanced_weight(data, "label", counts))
         w = "weight"
     elif trainer.weighting == "pos":
         data = data.withColumn("weight", pos_weight("label"))
         w = "weight"
     est = trainer.build(preset, w)
-    if trainer.name == "LogisticRegression" and w:
-        # sklearn's default L2 (C=1) on the weighted sum equals regParam = 1 / sum(w)
-        total_w = data.agg(F.sum(w)).first()[0]
-        est.getStages()[1].setRegParam(1.0 / total_w)
+    if trainer.name == "LogisticRegression":
+        # sklearn's default L2 (C=1) on the weighted loss sum equals regParam = 1 / sum(w);
+        # balanced weights sum to the row count.
+        total_w = sum(counts.values())
+        if trainer.weighting == "pos":
+            total_w = counts.get(0, 0) + POS_WEIGHT * counts.get(1, 0)
+        est.getStages()[1].setRegParam(1.0 / max(total_w, 1))
     # Iterative trainers scan their input many times: materialise it once.
     data = data.persist()
     try:

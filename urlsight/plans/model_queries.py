@@ -13,13 +13,15 @@ from ..operators import score as S
 from ..operators import split as K
 from ..operators import zoo as Z
 from ..operators.encode import encode
+from ..session import materialize
 from ..sources import tables as T
 
 PRESET = "smoke"
 
 
 def _split(spark: SparkSession, d: str):
-    df = K.stratified_split(T.weak_labelled_urls(spark, d), "page_id")
+    # Every trainer job re-reads the split table: write it once (lineage cut).
+    df = materialize(K.stratified_split(T.weak_labelled_urls(spark, d), "page_id"))
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 

@@ -44,3 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="urlsight-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a table is re-read by many jobs (model fitting): it is
+    computed once, survives executor loss, and later jobs start from files.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
