@@ -43,10 +43,35 @@ STRIP_CLASS = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 ROUND_DIGITS = 9
 # ---------------------------------------------------------------------------
 
+
+
+def _non_decimal_digits() -> str:
+    """Regex class body for characters Python's ``str.isdigit`` accepts
+    beyond decimal digits (superscripts, circled digits, ...), derived from
+    the Unicode database by rule rather than listed by hand."""
+    import sys
+    import unicodedata  # noqa: F401  (str methods use it)
+    cps = [c for c in range(sys.maxunicode + 1) if chr(c).isdigit() and not chr(c).isdecimal()]
+    ranges, start, prev = [], None, None
+    for c in cps:
+        if start is None:
+            start = prev = c
+        elif c == prev + 1:
+            prev = c
+        else:
+            ranges.append((start, prev))
+            start = prev = c
+    if start is not None:
+        ranges.append((start, prev))
+    return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+
+
+# Characters counted as digits: decimal digits plus the other isdigit() characters.
+DIGIT_CLASS_BODY = r"\p{Nd}" + _non_decimal_digits()
 # Runs of characters that are NOT counted; removing them leaves exactly the
 # counted characters (one regex match per run instead of one per character).
 NOT_LETTER_RUN = r"[^\p{L}]+"
-NOT_DIGIT_RUN = r"[^\p{Nd}]+"
+NOT_DIGIT_RUN = f"[^{DIGIT_CLASS_BODY}]+"
 NOT_SPECIAL_RUN = r"[\p{L}\p{N}/?=#&.\-_:]+"
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["url_queries", "eda_queries", "encode_queries", "metric_queries", "explain_queries", "model_queries"]
+_MODULES = ["url_queries", "eda_queries", "encode_queries", "metric_queries", "explain_queries", "model_queries", "stream_queries"]
 
 
 def _collect():

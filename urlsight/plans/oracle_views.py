@@ -5,7 +5,7 @@ DuckDB uses RE2; the patterns below are written for RE2 directly.
 """
 from __future__ import annotations
 
-from ..functions.url import (CHAR_COUNTS, IP_PATTERN, NUMERIC_FEATURES, SECOND_LEVEL_LABELS,
+from ..functions.url import (CHAR_COUNTS, DIGIT_CLASS_BODY, IP_PATTERN, NUMERIC_FEATURES, SECOND_LEVEL_LABELS,
                              STRIP_CLASS, TWO_LABEL_SUFFIXES)
 
 
@@ -23,7 +23,7 @@ def _rcnt(col: str, pat: str) -> str:
 
 def lexical_sql(col: str, n: str) -> list[str]:
     letters = _rcnt(col, r"\p{L}")
-    digits = _rcnt(col, r"\p{Nd}")
+    digits = _rcnt(col, f"[{DIGIT_CLASS_BODY}]")
     special = _rcnt(col, r"[^\p{L}\p{N}/?=#&.\-_:]")
     out = [f"CAST({letters} AS INTEGER) AS letter_cnt", f"CAST({digits} AS INTEGER) AS digit_cnt",
            f"CAST({special} AS INTEGER) AS special_cnt"]
