@@ -82,3 +82,20 @@ def test_roc_points_drop_collinear(spark):
     sc = spark.createDataFrame(rows, "model string, y int, p double").withColumn("yhat", F.lit(1))
     pts = M.roc_points(M.curve(sc)).orderBy(F.col("threshold").desc_nulls_first()).collect()
     assert [(r["fpr"], r["tpr"]) for r in pts] == [(0.0, 0.0), (0.0, 1 / 3), (0.0, 1.0), (1.0, 1.0)]
+
+
+def test_exact_quantiles_match_numpy_with_many_buckets(spark, monkeypatch):
+    import numpy as np
+
+    import urlsight.operators.cumulative as C
+    from urlsight.operators.eda import exact_quantiles
+    orig = C.score_buckets
+    monkeypatch.setattr(C, "score_buckets", lambda d, g, s, **kw: orig(d, g, s, target_rows=13, max_buckets=64))
+    rng = np.random.default_rng(1)
+    vals = np.round(rng.normal(size=3000), 2)
+    grp = rng.integers(0, 3, size=3000)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, value double")
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], [0.1, 0.25, 0.5, 0.75, 0.9]).collect()}
+    for g in range(3):
+        exp = np.quantile(vals[grp == g], [0.1, 0.25, 0.5, 0.75, 0.9])
+        assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx(list(exp), abs=1e-9)

@@ -8,7 +8,7 @@ partition key runs over raw rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CLASS_NAMES = {0: "Legitimate", 1: "Phishing"}
@@ -143,20 +143,56 @@ def to_long(df: DataFrame, cols: list[str], ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, cols, "feature", "value")
 
 
+def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy 'linear', SQL quantile_cont)
+    per group, without holding a group's values in one task.
+
+    Values are first collapsed to (group, value, count) with a partial
+    aggregate; running counts over the distinct values come from the
+    bucketed :func:`cumulative.running_sums`; the order statistics at
+    positions floor/ceil((n-1)q) are then picked with one more aggregate.
+    Output: group columns + ``q0, q1, ...`` (one column per prob).
+    """
+    from .cumulative import running_sums, score_buckets
+
+    key = F.to_json(F.struct(*group_cols)) if len(group_cols) != 1 else F.col(group_cols[0]).cast("string")
+    d = long.where(F.col("value").isNotNull()).groupBy(key.alias("_g"), *group_cols, "value") \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    bucket = score_buckets(d, "_g", "value")
+    c = running_sums(d, "_g", "value", ["cnt"], descending=False, bucket=bucket)
+    totals = d.groupBy("_g").agg(F.sum("cnt").alias("_n"))
+    c = c.join(F.broadcast(totals), "_g")
+    before = F.col("cum_cnt") - F.col("cnt")   # rows strictly below this value
+    aggs = []
+    for i, q in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(q)
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("_n") - 1)
+        aggs += [F.max(F.when((before <= lo) & (lo < F.col("cum_cnt")), F.col("value"))).alias(f"_lo{i}"),
+                 F.max(F.when((before <= hi) & (hi < F.col("cum_cnt")), F.col("value"))).alias(f"_hi{i}"),
+                 F.first(h - lo).alias(f"_f{i}")]
+    a = c.groupBy("_g", *group_cols).agg(*aggs)
+    return a.select(*group_cols, *[(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                                   .alias(f"q{i}") for i in range(len(probs))])
+
+
 def describe(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample sd, min, linear quartiles, max per feature.
 
-    ``exact`` uses ``percentile`` (value->count map buffers: exact, memory
-    grows with the number of distinct values); ``exact=False`` uses the
-    bounded ``percentile_approx`` sketch for unbounded data.
+    ``exact`` uses :func:`exact_quantiles` (bounded memory per task);
+    ``exact=False`` uses the ``percentile_approx`` sketch (one pass).
     """
     long = to_long(df, cols, [])
-    q = (F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-         else F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy))
-    agg = long.groupBy("feature").agg(
+    moments = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), q.alias("q"), F.max("value").alias("max"))
-    return agg.select(
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        *([] if exact else [F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q")]))
+    if exact:
+        q = exact_quantiles(long, ["feature"], [0.25, 0.5, 0.75])
+        # one row per feature on each side
+        moments = moments.join(q, "feature", "left").select(
+            "*", F.array("q0", "q1", "q2").alias("q")).drop("q0", "q1", "q2")
+    return moments.select(
         "feature", "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
         F.round("min", 6).alias("min"), F.round(F.col("q")[0], 6).alias("q25"),
         F.round(F.col("q")[1], 6).alias("q50"), F.round(F.col("q")[2], 6).alias("q75"),
@@ -199,10 +235,8 @@ def histogram(df: DataFrame, cols: list[str], label_col: str = "label", bins: in
 def box_stats(df: DataFrame, cols: list[str], label_col: str = "label") -> DataFrame:
     """Quartiles, 1.5*IQR fences, whisker ends and outlier count per feature and class."""
     long = to_long(df, cols, [label_col]).withColumnRenamed(label_col, "label")
-    q = long.groupBy("feature", "label").agg(
-        F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select("feature", "label", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    q = exact_quantiles(long, ["feature", "label"], [0.25, 0.5, 0.75]).select(
+        "feature", "label", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
         .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
