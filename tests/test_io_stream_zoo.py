@@ -89,3 +89,23 @@ def test_stream_score_equals_batch_score(spark):
     b = E.queries()["batch_score"](spark, SF_SMALL)
     cols = ["page_id", "verdict", "probability", "risk_score"]
     assert s.select(cols).exceptAll(b.select(cols)).count() == 0 and s.count() == b.count()
+
+
+@pytest.mark.parametrize("name", ["CatBoost", "RandomForest"])
+def test_tree_attribution_adds_up_to_model_output(spark, name):
+    from pyspark.ml.functions import vector_to_array
+
+    from urlsight.operators.attribution import tree_attribution
+    from urlsight.operators.encode import encode
+    train, test = _split(spark, SF_MID)
+    vm, names = Z.prepare(train)
+    fm = Z.fit_one(Z.TRAINERS[name], train, vm, names, "smoke")
+    X = Z.assemble(encode(test, vm.getVocabulary(), keep=["page_id"]), names, ["page_id"])
+    attr = tree_attribution(fm.model, X, "page_id", names)
+    total = attr.groupBy(F.col("row_id").alias("page_id")).agg(F.sum("attribution").alias("s"))
+    out = fm.model.transform(X)
+    col = "rawPrediction" if name == "CatBoost" else "probability"
+    ref = out.select("page_id", vector_to_array(col)[1].alias("m"))
+    j = total.join(ref, "page_id")
+    assert j.count() == test.count()
+    assert j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0

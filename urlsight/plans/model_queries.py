@@ -80,7 +80,41 @@ def loss_curve(spark: SparkSession, d: str) -> DataFrame:
     return Z.loss_curve(fm.model, X)
 
 
+def _sample_assembled(fm, test: DataFrame, n: int = 2000) -> DataFrame:
+    """K2 sample of the held-out rows, encoded and assembled for the model."""
+    sample = K.hash_sample(test, "page_id", n)
+    enc = encode(sample, fm.vocab_model.getVocabulary(), keep=["page_id", "label"])
+    return Z.assemble(enc, fm.feature_names, ["page_id", "label"])
+
+
+def tree_attribution(spark: SparkSession, d: str) -> DataFrame:
+    """Path attribution of a boosted-tree model on a 2,000-row held-out sample."""
+    from ..operators.attribution import tree_attribution as attribute
+    train, test = _split(spark, d)
+    vocab_model, names = Z.prepare(train)
+    fm = Z.fit_one(Z.TRAINERS["CatBoost"], train, vocab_model, names, PRESET)
+    return attribute(fm.model, _sample_assembled(fm, test), "page_id", names)
+
+
+def tree_mean_abs_attribution(spark: SparkSession, d: str) -> DataFrame:
+    """E6 over the tree attributions."""
+    attr = tree_attribution(spark, d).where(F.col("feature") != "__bias__")
+    return E.mean_abs_attribution(attr)
+
+
+def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
+    """E5: model-agnostic importance of every feature for the logistic model."""
+    from ..operators.attribution import permutation_importance as perm
+    train, test = _split(spark, d)
+    vocab_model, names = Z.prepare(train)
+    fm = Z.fit_one(Z.TRAINERS["LogisticRegression"], train, vocab_model, names, PRESET)
+    return perm(fm.model, _sample_assembled(fm, test), "page_id", names)
+
+
 QUERIES = {
+    "tree_attribution": tree_attribution,
+    "tree_mean_abs_attribution": tree_mean_abs_attribution,
+    "permutation_importance": permutation_importance,
     "train_random_forest": _train_one("RandomForest"),
     "train_extra_trees": _train_one("ExtraTrees"),
     "train_gbt_deep": _train_one("XGBoost"),
