@@ -8,8 +8,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "urlsight", **conf) -> SparkSession:
+    parts = str(os.cpu_count() or 8) if str(cpus) == "*" else str(cpus)
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
-               .config("spark.sql.shuffle.partitions", str(cpus))
+               .config("spark.sql.shuffle.partitions", parts)
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.ui.enabled", "false")
