@@ -67,11 +67,14 @@ def _non_decimal_digits() -> str:
 
 
 # Characters counted as digits: decimal digits plus the other isdigit() characters.
-DIGIT_CLASS_BODY = r"\p{Nd}" + _non_decimal_digits()
+EXTRA_DIGIT_CLASS_BODY = _non_decimal_digits()   # all of them are in \p{No}
+DIGIT_CLASS_BODY = r"\p{Nd}" + EXTRA_DIGIT_CLASS_BODY
 # Runs of characters that are NOT counted; removing them leaves exactly the
 # counted characters (one regex match per run instead of one per character).
 NOT_LETTER_RUN = r"[^\p{L}]+"
 NOT_DIGIT_RUN = f"[^{DIGIT_CLASS_BODY}]+"
+NOT_DECIMAL_RUN = r"[^\p{Nd}]+"
+NOT_EXTRA_DIGIT_RUN = f"[^{EXTRA_DIGIT_CLASS_BODY}]+"
 NOT_SPECIAL_RUN = r"[\p{L}\p{N}/?=#&.\-_:]+"
 
 
@@ -145,7 +148,10 @@ def text_entropy(s: Column) -> Column:
 def lexical_counts(s: Column, n: Column) -> dict[str, Column]:
     """Character-level counts and ratios of a text."""
     letters = _count_kept(s, NOT_LETTER_RUN)
-    digits = _count_kept(s, NOT_DIGIT_RUN)
+    # Decimal digits with a one-property class; the long class of other
+    # isdigit() characters only runs on texts that contain some \p{No}.
+    digits = _count_kept(s, NOT_DECIMAL_RUN) + F.when(
+        s.rlike(r"\p{No}"), _count_kept(s, NOT_EXTRA_DIGIT_RUN)).otherwise(F.lit(0))
     special = _count_kept(s, NOT_SPECIAL_RUN)
     denom = F.greatest(F.lit(1), n)
     out = {"letter_cnt": letters, "digit_cnt": digits, "special_cnt": special}
