@@ -63,16 +63,12 @@ def scored(spark: SparkSession, sf_dir: str, models: list[str] | None = None) ->
     li = table(spark, sf_dir, "lineitem").select(
         "l_returnflag", "l_quantity", "l_discount", "l_tax")
     y = (F.col("l_returnflag") == "R").cast("int")
-    parts = []
-    for m in models:
-        src, scale = SCORE_MODELS[m]
-        p = (F.col(src) / F.lit(scale)).cast("double")
-        parts.append(li.select(F.lit(m).alias("model"), y.alias("y"), p.alias("p"),
-                               (p >= 0.5).cast("int").alias("yhat")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    # One scan for all models: each row fans out to one (model, p) pair per model.
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"),
+                               (F.col(SCORE_MODELS[m][0]) / F.lit(SCORE_MODELS[m][1])).cast("double").alias("p"))
+                      for m in models])
+    out = li.select(y.alias("y"), F.explode(pairs).alias("s")).select("s.model", "y", "s.p")
+    return out.select("model", "y", "p", (F.col("p") >= 0.5).cast("int").alias("yhat"))
 
 
 def scored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
