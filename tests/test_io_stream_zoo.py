@@ -109,3 +109,63 @@ def test_tree_attribution_adds_up_to_model_output(spark, name):
     j = total.join(ref, "page_id")
     assert j.count() == test.count()
     assert j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0
+
+
+def test_tree_shap_matches_brute_force_shapley():
+    import itertools
+    import math
+
+    import numpy as np
+
+    from urlsight.operators.attribution import tree_shap_batch
+    t = {"feature": np.array([0, 1, -1, -1, 1, -1, 2, -1, -1]),
+         "threshold": np.array([.5, .5, 0, 0, .5, 0, .5, 0, 0]),
+         "left": np.array([1, 2, -1, -1, 5, -1, 7, -1, -1]), "right": np.array([4, 3, -1, -1, 6, -1, 8, -1, -1]),
+         "value": np.zeros(9), "cover": np.array([100., 60, 20, 40, 40, 10, 30, 12, 18])}
+    for j, v in {2: 1., 3: 3., 5: 5., 7: 7., 8: 11.}.items():
+        t["value"][j] = v
+
+    def node_val(j):
+        if t["feature"][j] < 0:
+            return t["value"][j]
+        lft, rgt = t["left"][j], t["right"][j]
+        return (node_val(lft) * t["cover"][lft] + node_val(rgt) * t["cover"][rgt]) / t["cover"][j]
+    for j in range(9):
+        t["value"][j] = node_val(j)
+
+    def expect(x, S, j=0):
+        if t["feature"][j] < 0:
+            return t["value"][j]
+        d, lft, rgt = t["feature"][j], t["left"][j], t["right"][j]
+        if d in S:
+            return expect(x, S, lft if x[d] <= t["threshold"][j] else rgt)
+        return (expect(x, S, lft) * t["cover"][lft] + expect(x, S, rgt) * t["cover"][rgt]) / t["cover"][j]
+
+    k = 4
+    for x in [np.array([0.2, 0.8, 0.9, 0.3]), np.array([0.9, 0.9, 0.1, 0.0]), np.array([0.9, 0.1, 0.9, 0.9])]:
+        brute = np.zeros(k)
+        for i in range(k):
+            others = [f for f in range(k) if f != i]
+            for size in range(k):
+                for S in itertools.combinations(others, size):
+                    w = math.factorial(size) * math.factorial(k - size - 1) / math.factorial(k)
+                    brute[i] += w * (expect(x, set(S) | {i}) - expect(x, set(S)))
+        phi, bias = tree_shap_batch(x[None, :], [t], [1.0])
+        assert np.allclose(phi[0], brute)
+        assert bias[0] + phi[0].sum() == pytest.approx(expect(x, set(range(k))))
+
+
+def test_tree_shap_adds_up_on_spark_gbt(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from urlsight.operators.attribution import tree_attribution
+    from urlsight.operators.encode import encode
+    train, test = _split(spark, SF_MID)
+    vm, names = Z.prepare(train)
+    fm = Z.fit_one(Z.TRAINERS["CatBoost"], train, vm, names, "smoke")
+    X = Z.assemble(encode(test, vm.getVocabulary(), keep=["page_id"]), names, ["page_id"])
+    attr = tree_attribution(fm.model, X, "page_id", names, method="shap")
+    total = attr.groupBy(F.col("row_id").alias("page_id")).agg(F.sum("attribution").alias("s"))
+    ref = fm.model.transform(X).select("page_id", vector_to_array("rawPrediction")[1].alias("m"))
+    j = total.join(ref, "page_id")
+    assert j.count() == test.count() and j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0

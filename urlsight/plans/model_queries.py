@@ -87,13 +87,13 @@ def _sample_assembled(fm, test: DataFrame, n: int = 2000) -> DataFrame:
     return Z.assemble(enc, fm.feature_names, ["page_id", "label"])
 
 
-def tree_attribution(spark: SparkSession, d: str) -> DataFrame:
-    """Path attribution of a boosted-tree model on a 2,000-row held-out sample."""
+def tree_attribution(spark: SparkSession, d: str, method: str = "path") -> DataFrame:
+    """Attribution of a boosted-tree model on a 2,000-row held-out sample."""
     from ..operators.attribution import tree_attribution as attribute
     train, test = _split(spark, d)
     vocab_model, names = Z.prepare(train)
     fm = Z.fit_one(Z.TRAINERS["CatBoost"], train, vocab_model, names, PRESET)
-    return attribute(fm.model, _sample_assembled(fm, test), "page_id", names)
+    return attribute(fm.model, _sample_assembled(fm, test), "page_id", names, method=method)
 
 
 def tree_mean_abs_attribution(spark: SparkSession, d: str) -> DataFrame:
@@ -114,6 +114,7 @@ def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "tree_attribution": tree_attribution,
     "tree_mean_abs_attribution": tree_mean_abs_attribution,
+    "tree_shap": lambda s, d: tree_attribution(s, d, method="shap"),
     "permutation_importance": permutation_importance,
     "train_random_forest": _train_one("RandomForest"),
     "train_extra_trees": _train_one("ExtraTrees"),
