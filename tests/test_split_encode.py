@@ -55,3 +55,10 @@ def test_vocab_estimator_roundtrip(spark, tmp_out):
 def test_hash_sample_is_topk(spark):
     s = K.hash_sample(T.url_features(spark, SF_MID), "page_id", 10).collect()
     assert [r["sample_rank"] for r in s] == list(range(1, 11)) or sorted(r["sample_rank"] for r in s) == list(range(1, 11))
+
+
+def test_numeric_discovery_and_text_drop(spark):
+    uf = T.url_features(spark, SF_MID).withColumn("label", F.lit(0))
+    cols = N.numeric_feature_columns(uf, exclude=("label", "tld", "page_id"))
+    assert cols == NUMERIC_FEATURES
+    assert "url" not in N.drop_text_columns(uf).columns and "dom" not in N.drop_text_columns(uf).columns

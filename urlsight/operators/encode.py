@@ -25,6 +25,17 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numeric_feature_columns(df: DataFrame, exclude: tuple = ("label", "tld")) -> list[str]:
+    """P5: numeric columns discovered from the schema (integral or fractional), minus exclusions."""
+    from pyspark.sql.types import NumericType
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
+def drop_text_columns(df: DataFrame, cols: tuple = ("url", "dom")) -> DataFrame:
+    """Drop the raw text columns the model cannot use (missing ones are ignored)."""
+    return df.drop(*[c for c in cols if c in df.columns])
+
+
 def tld_vocabulary(df: DataFrame, tld_col: str = "tld", top_n: int = DEFAULT_TOP_N) -> DataFrame:
     """(rank, tld, n) of the ``top_n`` most frequent TLDs; ties by tld (Q18)."""
     counts = df.groupBy(F.coalesce(F.col(tld_col).cast("string"), F.lit("")).alias("tld")) \

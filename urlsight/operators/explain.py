@@ -92,7 +92,7 @@ def with_tips(contribs: DataFrame, spark: SparkSession) -> DataFrame:
 def explanation_text(tipped: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """One sentence list per row, in rank order; a default sentence for
     rows without any explained contribution. Groups hold at most TOP_K rows."""
-    item = F.concat(F.col("display"), F.lit(" · value signal "), F.format_number("score", 2),
+    item = F.concat(F.col("display"), F.lit(" · value signal "), F.format_string("%.2f", F.col("score")),
                     F.lit(" — "), F.col("tip"))
     per = tipped.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", item.alias("t")))).alias("items"))
     per = per.select(key, F.transform("items", lambda x: x["t"]).alias("explanation"))
