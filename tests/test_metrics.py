@@ -99,3 +99,34 @@ def test_exact_quantiles_match_numpy_with_many_buckets(spark, monkeypatch):
     for g in range(3):
         exp = np.quantile(vals[grp == g], [0.1, 0.25, 0.5, 0.75, 0.9])
         assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx(list(exp), abs=1e-9)
+
+
+def test_hot_score_group_is_collapsed(spark):
+    """A third of all rows share one score: the distinct-score table has one row for it,
+    and the metrics equal a pandas brute force."""
+    import numpy as np
+    n = 3000
+    df = spark.range(n).select(
+        F.lit("m").alias("model"), (F.col("id") % 5 == 0).cast("int").alias("y"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise((F.col("id") % 97) / 97.0).alias("p"))
+    df = df.withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
+    d = M.score_table(df)
+    assert d.where(F.col("p") == 0.5).first()["pos"] + d.where(F.col("p") == 0.5).first()["neg"] >= n // 3
+    got = M.auc_metrics(M.curve(df, target_rows=10)).first()
+    pdf = df.toPandas()
+    pos, neg = pdf[pdf.y == 1].p.to_numpy(), pdf[pdf.y == 0].p.to_numpy()
+    greater = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    assert got["roc_auc"] == pytest.approx(greater / (len(pos) * len(neg)))
+    order = np.argsort(-pdf.p.to_numpy(), kind="stable")
+    ys, ps = pdf.y.to_numpy()[order], pdf.p.to_numpy()[order]
+    ap, tp, fp, i = 0.0, 0, 0, 0
+    while i < len(ps):
+        j = i
+        while j < len(ps) and ps[j] == ps[i]:
+            j += 1
+        dp = ys[i:j].sum()
+        tp += dp
+        fp += (j - i) - dp
+        ap += dp / len(pos) * tp / (tp + fp)
+        i = j
+    assert got["pr_auc"] == pytest.approx(ap)
