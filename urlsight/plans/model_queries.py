@@ -111,7 +111,24 @@ def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
     return perm(fm.model, _sample_assembled(fm, test), "page_id", names)
 
 
+def train_logistic_docs(spark: SparkSession, d: str) -> DataFrame:
+    """M10 + V16 on documents: scaled logistic regression on the lexical
+    features of whole texts, toxicity label supplied with the data."""
+    from ..functions.url import TEXT_FEATURES
+    from ..operators.metrics import metric_suite
+    from ..operators.score import positive_probability
+    sp = materialize(K.stratified_split(T.labelled_docs(spark, d), "doc_id"))
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    X = Z.assemble(train, TEXT_FEATURES, ["label"])
+    fm = Z.fit_one(Z.TRAINERS["LogisticRegression"], train, None, TEXT_FEATURES, PRESET, assembled=X)
+    pred = positive_probability(fm.model.transform(Z.assemble(test, TEXT_FEATURES, ["doc_id", "label"])))
+    scored = pred.select(F.lit("LogisticRegression").alias("model"), F.col("label").cast("int").alias("y"), "p",
+                         (F.col("p") >= 0.5).cast("int").alias("yhat"))
+    return metric_suite(scored).withColumn("train_seconds", F.lit(round(fm.train_seconds, 2)))
+
+
 QUERIES = {
+    "train_logistic_docs": train_logistic_docs,
     "tree_attribution": tree_attribution,
     "tree_mean_abs_attribution": tree_mean_abs_attribution,
     "tree_shap": lambda s, d: tree_attribution(s, d, method="shap"),
