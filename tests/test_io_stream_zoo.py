@@ -169,3 +169,23 @@ def test_tree_shap_adds_up_on_spark_gbt(spark):
     ref = fm.model.transform(X).select("page_id", vector_to_array("rawPrediction")[1].alias("m"))
     j = total.join(ref, "page_id")
     assert j.count() == test.count() and j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0
+
+
+def test_cli_train_and_score(spark, tmp_out):
+    from urlsight.cli import main
+    T.weak_labelled_urls(spark, SF_SMALL).select("page_id", "url", "label").write.parquet(f"{tmp_out}/lab")
+    main(["train", "--input", f"{tmp_out}/lab", "--output-dir", f"{tmp_out}/run", "--preset", "smoke",
+          "--models", "LogisticRegression", "RandomForest", "--key", "page_id"])
+    for sub in ["metrics/model_comparison_csv", "metrics/roc_curves", "metrics/confusion", "metrics/best_meta",
+                "models/best", "attribution"]:
+        assert io.path_exists(spark, f"{tmp_out}/run/{sub}"), sub
+    main(["score", "--input", f"{tmp_out}/lab", "--model-dir", f"{tmp_out}/run/models/best",
+          "--output", f"{tmp_out}/preds"])
+    preds = spark.read.option("header", True).csv(f"{tmp_out}/preds")
+    assert preds.count() == 50 and {"verdict", "probability", "risk_score", "label"} <= set(preds.columns)
+
+
+def test_train_logistic_docs_runs(spark):
+    import __spark_entry__ as E
+    r = E.queries()["train_logistic_docs"](spark, SF_SMALL).first()
+    assert r["tp"] + r["fp"] + r["tn"] + r["fn"] > 0 and 0.0 <= r["roc_auc"] <= 1.0

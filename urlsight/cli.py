@@ -33,7 +33,7 @@ def cmd_train(spark, a):
     from .operators import metrics as M
     from .operators import split as K
     from .operators import zoo as Z
-    from .operators.attribution import tree_attribution
+    from .operators.attribution import permutation_importance, tree_attribution
     from .operators.encode import encode
     from .sources import io
 
@@ -72,8 +72,13 @@ def cmd_train(spark, a):
     try:  # E8: attribution failure must not fail training
         fm = fitted[best]
         sample = K.hash_sample(test, a.key, 2000)
-        X = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), keep=[a.key]), fm.feature_names, [a.key])
-        io.write_table(tree_attribution(fm.model, X, a.key, fm.feature_names), f"{out}/attribution")
+        X = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), keep=[a.key, "label"]),
+                       fm.feature_names, [a.key, "label"])
+        if hasattr(fm.model, "trees") or hasattr(fm.model, "_call_java") and "Tree" in type(fm.model).__name__:
+            table = tree_attribution(fm.model, X, a.key, fm.feature_names, method="shap")   # E4
+        else:
+            table = permutation_importance(fm.model, X, a.key, fm.feature_names)             # E5
+        io.write_table(table, f"{out}/attribution")
     except Exception as exc:
         print(f"attribution skipped: {type(exc).__name__}: {exc}")
 
