@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 TARGET_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
+MAX_GROUPS = 1000   # groups x buckets bounds the broadcast offset table and the CASE tree
 
 
 def _search_tree(x: Column, bounds: list[float], lo: int, hi: int) -> Column:
@@ -49,7 +50,10 @@ def score_buckets(d: DataFrame, group_col: str, score_col: str,
 
     Driver traffic: one row per group with at most ``max_buckets`` bounds.
     """
-    sizes = {r[0]: r[1] for r in d.groupBy(group_col).count().collect()}
+    sizes = {r[0]: r[1] for r in d.groupBy(group_col).count().limit(MAX_GROUPS + 1).collect()}
+    if len(sizes) > MAX_GROUPS:
+        raise ValueError(f"{group_col} has more than {MAX_GROUPS} groups; bucket bounds are kept per group "
+                         "and broadcast, so use a low-cardinality group column")
     n_buckets = min(max_buckets, max(1, math.ceil(max(sizes.values(), default=0) / target_rows)))
     if n_buckets == 1:
         return F.lit(0)

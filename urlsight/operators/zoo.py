@@ -31,7 +31,10 @@ POS_WEIGHT = 100000 / 16600  # fixed positive-class weight of the XGBoost-style
 
 def class_counts(df: DataFrame, label_col: str = "label") -> dict[int, int]:
     """Per-class row counts (one row per class reaches the driver)."""
-    return {int(r[0]): int(r[1]) for r in df.groupBy(label_col).count().collect()}
+    rows = df.groupBy(label_col).count().limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError(f"{label_col} has more than 1000 classes; class weights expect a class label")
+    return {int(r[0]): int(r[1]) for r in rows}
 
 
 def balanced_weight(df: DataFrame, label_col: str = "label", counts: dict[int, int] | None = None) -> Column:
