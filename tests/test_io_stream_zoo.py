@@ -75,7 +75,7 @@ def test_class_weights_balanced(spark):
 
 def test_stream_windows_equal_batch_for_closed_windows(spark):
     batch = ST.windowed_verdicts(T.table(spark, SF_SMALL, "events"))
-    stream = ST.windowed_verdicts_stream(spark, SF_SMALL)
+    stream = ST.windowed_verdicts_stream(spark, SF_SMALL, mode="append")
     # append mode emits a window once the watermark (max ts - 10 min) passes its end
     cutoff = T.table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
     import datetime
@@ -189,3 +189,11 @@ def test_train_logistic_docs_runs(spark):
     import __spark_entry__ as E
     r = E.queries()["train_logistic_docs"](spark, SF_SMALL).first()
     assert r["tp"] + r["fp"] + r["tn"] + r["fn"] > 0 and 0.0 <= r["roc_auc"] <= 1.0
+
+
+def test_stream_windows_update_mode_equal_batch(spark):
+    batch = ST.windowed_verdicts(T.table(spark, SF_SMALL, "events"))
+    stream = ST.windowed_verdicts_stream(spark, SF_SMALL)
+    cols = ["window_start", "window_end", "verdict", "n"]
+    assert stream.select(cols).exceptAll(batch.select(cols)).count() == 0
+    assert batch.select(cols).exceptAll(stream.select(cols)).count() == 0

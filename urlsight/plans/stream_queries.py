@@ -25,8 +25,12 @@ QUERIES = {
     "stream_score": stream_score,
 }
 
-ORACLE = {
-    "windowed_verdicts": """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+_WINDOWED_SQL = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
         CASE WHEN least(value / 100.0, 1.0) >= 0.5 THEN 'phishing' ELSE 'safe' END AS verdict, count(*) AS n
-        FROM events GROUP BY ALL""",
+        FROM events GROUP BY ALL"""
+
+ORACLE = {
+    "windowed_verdicts": _WINDOWED_SQL,
+    # the update-mode stream ends in the same state as the batch twin
+    "windowed_verdicts_stream": _WINDOWED_SQL,
 }
