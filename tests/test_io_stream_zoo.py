@@ -197,3 +197,15 @@ def test_stream_windows_update_mode_equal_batch(spark):
     cols = ["window_start", "window_end", "verdict", "n"]
     assert stream.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(stream.select(cols)).count() == 0
+
+
+def test_cli_features_and_eda(spark, tmp_out):
+    from urlsight.cli import main
+    T.table(spark, SF_SMALL, "pages").select("page_id", "url").write.parquet(f"{tmp_out}/pages")
+    main(["features", "--input", f"{tmp_out}/pages", "--output", f"{tmp_out}/feats"])
+    feats = spark.read.parquet(f"{tmp_out}/feats")
+    assert feats.count() == 50 and {"tld", "entropy", "url_error", "odd_scheme"} <= set(feats.columns)
+    T.labelled_urls(spark, SF_SMALL).write.parquet(f"{tmp_out}/lab")
+    main(["eda", "--input", f"{tmp_out}/lab", "--output-dir", f"{tmp_out}/eda"])
+    for sub in ["class_balance", "corr_matrix", "class_means", "describe", "histogram", "box", "null_profile"]:
+        assert spark.read.parquet(f"{tmp_out}/eda/{sub}").count() > 0, sub
