@@ -17,7 +17,9 @@ def local_session(cpus: int | str = 8, app: str = "urlsight", **conf) -> SparkSe
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("URLSIGHT_DRIVER_MEMORY", "12g"))
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # whole documents go through the entropy UDF: keep Arrow batches small
+               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
