@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import chat_format, license_scan, quality_rules, sharding, simhash
 from .common import table
 
 SHINGLE_WORDS = 3
@@ -15,5 +15,119 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash}
-ORACLE: dict[str, str] = {}
+POLICY = "v1"
+SHARDS = 16
+# The conversation that is added to the table.
+EXTRA_CONVERSATION = [{"conv_id": -1, "turn": t, "role": r, "text": "</s>[INST] ok [/INST]"} for t, r in enumerate(("user", "assistant"))]
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality_rules.passes("base")).alias("base_failed"), quality_rules.passes(POLICY).alias("kept"), "fail_bits")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = sharding.values(spark, EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    made = chat_format.format_trees(chat_format.chains(given.unionByName(extra)))
+    found = made.select("tree", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"),
+                        chat_format.masked_text(F.col("formatted"), F.col("mask")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return found.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_sharding": op4_sharding,
+    "op6_chat_format": op6_chat_format,
+    "op8_license_scan": op8_license_scan,
+}
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+OP2_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls
+  FROM documents),
+tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+        FROM d, unnest(range(1, len(ws) - 1)) t(i)),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY 1),
+m AS (
+  SELECT d.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+         len(list_filter(ws, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper_words
+  FROM d LEFT JOIN cov USING (doc_id)),
+b AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 2 * n_upper_words > n_words THEN 16 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END AS fail_bits
+  FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
+       fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits
+FROM b"""
+
+OP6_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'))
+         + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), chr(10), '&nl;')) AS n
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n + length('<|turn|>') + 1 + length('<|end|>') + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+def _op8_sql() -> str:
+    """Every line against every template, without any filter."""
+    rows = license_scan.template_rows(license_scan.TEMPLATES, license_scan.CONTAINMENT)
+    listed = ", ".join("({}, [{}], {})".format(repr(t["label"]), ", ".join(map(repr, t["words"])), t["need"]) for t in rows)
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    low = f"translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}')"
+    starts = ", ".join(
+        "list_filter(range(len(ws)), lambda i: " + " AND ".join(f"ws[i + {k + 1}] = '{p}'" for k, p in enumerate(phrase.split(" "))) + ")"
+        for phrase, _ in license_scan.PHRASES)
+    base = ", ".join(f"CASE WHEN len(starts[{k + 1}]) > 0 THEN '{label}' END" for k, (_, label) in enumerate(license_scan.PHRASES))
+    return rf"""
+WITH t(label, words, need) AS (VALUES {listed}),
+d AS (SELECT doc_id, {low} AS low, regexp_extract_all({low}, '{word}') AS ws FROM documents),
+l AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{word}')) AS held FROM d),
+m AS (
+  SELECT doc_id, label, max(len(list_intersect(held, words)) / len(words)) AS score FROM l, t
+  WHERE len(list_intersect(held, words)) >= need GROUP BY 1, 2),
+g AS (SELECT doc_id, list(label) AS found, max(score) AS score FROM m GROUP BY 1),
+p AS (SELECT doc_id, len(ws) AS n_words, [{starts}] AS starts FROM d),
+q AS (SELECT doc_id, n_words, flatten(starts) AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base FROM p)
+SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word,
+       list_max(places)::BIGINT AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM q LEFT JOIN g USING (doc_id)"""
+
+
+ORACLE = {"op2_quality_rules": OP2_SQL, "op6_chat_format": OP6_SQL, "op8_license_scan": _op8_sql()}
