@@ -5,11 +5,12 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
-__all__ = ["bounded_batches", "stage", "table", "with_columns_checked", "word_lists"]
+__all__ = ["bounded_batches", "checked_broadcast", "stage", "table", "with_columns_checked", "word_lists"]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -49,3 +50,9 @@ def word_lists(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
             end += 1
         yield text[begin:end].split()
         begin = end
+
+
+def checked_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df``, a slim table, to be broadcast if it has at most ``rows`` rows; else it is joined by a shuffle."""
+    staged = stage(df)
+    return F.broadcast(staged) if staged.count() <= rows else staged

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, quality_rules, sharding, simhash
+from . import chat_format, license_scan, quality_model, quality_rules, sharding, simhash
 from .common import table
 
 SHINGLE_WORDS = 3
@@ -34,6 +34,19 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> quality_model.Model:
+    """Fitted on ``documents`` and ``labels.quality``, without the held-out third of the ids."""
+    usable = ~quality_model.held_out(F.col("doc_id"), 3, 1)
+    return quality_model.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", usable)
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_model.score(docs, quality_classifier(spark, sf_dir))
+    return scored.select("doc_id", quality_model.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = sharding.values(spark, EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
@@ -55,6 +68,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op4_sharding": op4_sharding,
+    "op5_quality_model": op5_quality_model,
     "op6_chat_format": op6_chat_format,
     "op8_license_scan": op8_license_scan,
 }
