@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, quality_model, quality_rules, sharding, simhash
+from . import (chat_format, decontaminate, html_extract, license_scan, lm_score, packing, quality_model, quality_rules,
+               sharding, simhash)
 from .common import table
 
 SHINGLE_WORDS = 3
@@ -28,6 +29,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality_rules.passes("base")).alias("base_failed"), quality_rules.passes(POLICY).alias("kept"), "fail_bits")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.texts(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -60,17 +66,35 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = quality_model.held_out(F.col("doc_id"), 7, 2)
+    scored = lm_score.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
+    "op3_html_extract": op3_html_extract,
     "op4_sharding": op4_sharding,
     "op5_quality_model": op5_quality_model,
     "op6_chat_format": op6_chat_format,
+    "op7_packing": op7_packing,
     "op8_license_scan": op8_license_scan,
+    "op9_lm_score": op9_lm_score,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
