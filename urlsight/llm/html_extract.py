@@ -32,6 +32,8 @@ BOILER = {"nav": "menu", "menu": "menu", "header": "header", "footer": "footer",
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
           "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "input"}
 CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "body", "html", "blockquote", "figure", "details", "center"}
+LOOSE = {"p", "li", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6"}  # their end tags may be left out
+PROSE = LOOSE | INLINE
 ROLES = {"navigation": "menu", "menu": "menu", "menubar": "menu", "banner": "header", "contentinfo": "footer", "complementary": "side",
          "search": "form", "form": "form", "alert": "notice", "alertdialog": "notice", "dialog": "notice"}
 # Words in class names and ids that tell what a container is for.
@@ -55,7 +57,7 @@ def container_kind(name: str, attributes: str) -> str | None:
         return "content"
     if name in BOILER:
         return BOILER[name]
-    if name not in CONTAINERS or not attributes.strip():
+    if name in INLINE or not attributes.strip():
         return None
     for key, value in NAMES.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
@@ -96,7 +98,12 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 skip_to = close.end() if close else end
                 yield "tag", kinds[-1], name
                 continue
+            if name not in INLINE and stack and stack[-1][0] in LOOSE:
+                stack.pop()  # a paragraph ends where the next block begins
+                kinds.pop()
             kind = container_kind(name, m.group(3))
+            if name == "header" and kinds[-1] == "content":
+                kind = None  # an article's own heading
             if kind or name in CONTAINERS:
                 stack.append((name, kind))
                 kinds.append(kind or kinds[-1])
@@ -151,7 +158,7 @@ def blocks(page: str) -> list[tuple[str, str, int, int, list[str]]]:
 KNOWN = (INLINE | CONTAINERS | CONTENT | set(BOILER) | UNSEEN | {f"h{i}" for i in range(1, 7)}
          | {"p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "pre", "hr", "meta", "link", "figcaption", "caption", "summary", "address"})
 LIMIT = 4.0
-DEFAULTS = {"word": 1.0, "link": -1.0, "tag": -2.0}
+DEFAULTS = {"word": 1.0, "link": -1.0, "prose tag": -0.5, "tag": -2.0}
 
 
 def page_counts(page: str) -> Counter:
@@ -207,7 +214,7 @@ def weigh(weights: dict[str, float], feature: str) -> float:
         return weights[feature]
     what, kind = feature.split(" ")[:2]
     if what == "tag":
-        return -0.1 if kind == "content" else DEFAULTS["tag"]
+        return -0.1 if kind == "content" else DEFAULTS["prose tag" if feature.split(" ")[2] in PROSE else "tag"]
     return {"content": 1.0, "body": DEFAULTS[what], "outside": DEFAULTS[what]}.get(kind, -1.0)
 
 

@@ -125,6 +125,24 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits
 FROM b"""
 
+# The pages' own markup, block by block; references are decoded as they occur in these tables.
+OP3_SQL = r"""
+WITH b AS (
+  SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1),
+                                             '</?(h1|p)( [^>]*)?>') AS parts
+  FROM pages),
+t AS (
+  SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>?', '', 'g')) AS parts FROM b),
+u AS (
+  SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(replace(replace(replace(replace(replace(replace(
+           x, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;?', '&', 'g')) AS parts
+  FROM t),
+v AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))),
+                                                   lambda x: x <> ''), chr(10)) AS text
+  FROM u)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM v"""
+
 OP6_SQL = """
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -168,4 +186,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_m
 FROM q LEFT JOIN g USING (doc_id)"""
 
 
-ORACLE = {"op2_quality_rules": OP2_SQL, "op6_chat_format": OP6_SQL, "op8_license_scan": _op8_sql()}
+ORACLE = {"op2_quality_rules": OP2_SQL, "op3_html_extract": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_license_scan": _op8_sql()}
