@@ -73,12 +73,12 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     step = stage(real.select("tkey", "msg", F.col("m2").alias("up"), F.col("score").alias("part")))
     steps = [step]
     longest = step.groupBy("tkey").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    while (1 << len(steps)) <= longest:
+    while (1 << (len(steps) - 1)) < longest:
         step = stage(_doubled(step, step, "up").select(
             "tkey", "msg", F.col("up2").alias("up"), (F.col("part") + F.coalesce("part2", F.lit(0.0))).alias("part")))
         steps.append(step)
     parents = nodes.where("parent IS NOT NULL").select(F.col("tkey").alias("t2"), F.col("parent").alias("m2")).distinct()
-    leaves = step.join(parents, (step.tkey == parents.t2) & (step.msg == parents.m2), "left_anti").where("up IS NULL OR up = msg")
+    leaves = step.join(parents, (step.tkey == parents.t2) & (step.msg == parents.m2), "left_anti").where("up IS NULL")
     best = Window.partitionBy("tkey").orderBy(F.desc("part"), "msg")
     walk = (leaves.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
             .select("tkey", F.col("msg").alias("leaf"), "rank", "msg", F.lit(0).cast("long").alias("dist")))

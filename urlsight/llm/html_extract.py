@@ -77,7 +77,7 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
     """``(what, kind, value)``: "tag" with its name, "text" with its characters ("link": inside a link).
 
     ``kind`` is that of the innermost telling container: "content", a kind of
-    boilerplate, or "body".
+    boilerplate ("in-" and the kind inside of content), or "body".
     """
     stack: list[tuple[str, str | None]] = []
     kinds = ["body"]
@@ -104,6 +104,8 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
             kind = container_kind(name, m.group(3))
             if name == "header" and kinds[-1] == "content":
                 kind = None  # an article's own heading
+            if kind and kind != "content" and (kinds[-1] == "content" or kinds[-1].startswith("in-")):
+                kind = f"in-{kind}"  # left out of the text, but no reason to end the region
             if kind or name in CONTAINERS:
                 stack.append((name, kind))
                 kinds.append(kind or kinds[-1])
@@ -210,9 +212,11 @@ def learn(pages: DataFrame) -> dict[str, float]:
 
 def weigh(weights: dict[str, float], feature: str) -> float:
     """A learned weight, or what a feature that no labelled page shows gets."""
+    what, kind = feature.split(" ")[:2]
+    if kind.startswith("in-"):
+        return -0.05
     if feature in weights:
         return weights[feature]
-    what, kind = feature.split(" ")[:2]
     if what == "tag":
         return -0.1 if kind == "content" else DEFAULTS["prose tag" if feature.split(" ")[2] in PROSE else "tag"]
     return {"content": 1.0, "body": DEFAULTS[what], "outside": DEFAULTS[what]}.get(kind, -1.0)
