@@ -6,13 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from urlsight.operators import metrics as M
-from urlsight.operators.cumulative import running_sums, score_buckets
+from urlsight.operators.cumulative import running_sums
 from urlsight.sources import tables as T
 
 from .conftest import SF_MID
 
-# Ten golden rows of the reference's published comparison (tp, fp, tn, fn and
-# the metrics they imply): accuracy, precision, recall, F1, MCC.
+# Ten published comparison rows (tp, fp, tn, fn and the metrics
+# they imply): accuracy, precision, recall, F1, MCC.
 GOLDEN = [
     ("HistGradientBoosting", 3203, 359, 19640, 116, 0.9796294707950939, 0.89921392476137, 0.9650497137692076, 0.9309693358523471, 0.9198279328905697),
     ("LightGBM", 3202, 320, 19679, 117, 0.9812591131314864, 0.9091425326519024, 0.9647484181982525, 0.9361204502265751, 0.9257102374353477),
@@ -51,10 +51,9 @@ def test_reference_values_at_sf001(spark):
     assert ll["log_loss"] == pytest.approx(0.961844, abs=1e-6)
 
 
-def test_bucketed_running_sums_equal_plain_window(spark):
+def test_ranged_running_sums_equal_plain_window(spark):
     d = M.score_table(T.scored_models(spark, SF_MID))
-    bucket = score_buckets(d, "model", "p", target_rows=7)   # forces many buckets
-    got = running_sums(d, "model", "p", ["pos", "neg"], bucket=bucket)
+    got = running_sums(d, "model", "p", ["pos", "neg"], rows_per_range=7)   # forces many ranges
     w = Window.partitionBy("model").orderBy(F.desc("p"))
     plain = d.select("*", F.sum("pos").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_pos"),
                      F.sum("neg").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_neg"),
@@ -67,7 +66,7 @@ def test_bucketed_running_sums_equal_plain_window(spark):
 def test_auc_brute_force_and_symmetry(spark):
     rows = [("m", y, p) for y, p in [(1, .9), (0, .8), (1, .8), (0, .3), (1, .3), (0, .1), (0, .3), (1, .95)]]
     sc = spark.createDataFrame(rows, "model string, y int, p double").withColumn("yhat", (F.col("p") >= .5).cast("int"))
-    auc = M.auc_metrics(M.curve(sc, target_rows=2)).first()["roc_auc"]
+    auc = M.auc_metrics(M.curve(sc, rows_per_range=2)).first()["roc_auc"]
     pos = [p for _, y, p in rows if y == 1]
     neg = [p for _, y, p in rows if y == 0]
     brute = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in itertools.product(pos, neg)) / (len(pos) * len(neg))
@@ -84,18 +83,15 @@ def test_roc_points_drop_collinear(spark):
     assert [(r["fpr"], r["tpr"]) for r in pts] == [(0.0, 0.0), (0.0, 1 / 3), (0.0, 1.0), (1.0, 1.0)]
 
 
-def test_exact_quantiles_match_numpy_with_many_buckets(spark, monkeypatch):
+def test_exact_quantiles_match_numpy_with_many_ranges(spark):
     import numpy as np
 
-    import urlsight.operators.cumulative as C
     from urlsight.operators.eda import exact_quantiles
-    orig = C.score_buckets
-    monkeypatch.setattr(C, "score_buckets", lambda d, g, s, **kw: orig(d, g, s, target_rows=13, max_buckets=64))
     rng = np.random.default_rng(1)
     vals = np.round(rng.normal(size=3000), 2)
     grp = rng.integers(0, 3, size=3000)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, value double")
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], [0.1, 0.25, 0.5, 0.75, 0.9]).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], [0.1, 0.25, 0.5, 0.75, 0.9], rows_per_range=13).collect()}
     for g in range(3):
         exp = np.quantile(vals[grp == g], [0.1, 0.25, 0.5, 0.75, 0.9])
         assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx(list(exp), abs=1e-9)
@@ -112,7 +108,7 @@ def test_hot_score_group_is_collapsed(spark):
     df = df.withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
     d = M.score_table(df)
     assert d.where(F.col("p") == 0.5).first()["pos"] + d.where(F.col("p") == 0.5).first()["neg"] >= n // 3
-    got = M.auc_metrics(M.curve(df, target_rows=10)).first()
+    got = M.auc_metrics(M.curve(df, rows_per_range=10)).first()
     pdf = df.toPandas()
     pos, neg = pdf[pdf.y == 1].p.to_numpy(), pdf[pdf.y == 0].p.to_numpy()
     greater = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
@@ -130,3 +126,45 @@ def test_hot_score_group_is_collapsed(spark):
         ap += dp / len(pos) * tp / (tp + fp)
         i = j
     assert got["pr_auc"] == pytest.approx(ap)
+
+
+def test_more_than_a_thousand_groups_and_null_groups(spark):
+    d = spark.range(6000).select(
+        F.when(F.col("id") % 1500 != 7, F.col("id") % 1500).alias("g"), (F.col("id") % 2).alias("h"),
+        F.col("id").cast("double").alias("v"), (F.col("id") % 5 + 1).alias("n"))
+    got = running_sums(d, ["g", "h"], "v", ["n"], descending=False, rows_per_range=100)
+    w = Window.partitionBy("g", "h").orderBy("v")
+    plain = d.select("*", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_n"), F.lead("n").over(w).alias("next_n"))
+    assert got.count() == 6000 and got.exceptAll(plain).count() == 0
+
+
+def test_null_scores_are_refused_and_reported(spark):
+    sc = spark.createDataFrame([("m", 1, 0.5), ("m", 0, None), ("m", None, 0.1)], "model string, y int, p double")
+    assert M.unscored(sc).collect() == [("m", 1, 1)]
+    for bad in (sc.where("y IS NOT NULL"), sc.where("p IS NOT NULL")):
+        with pytest.raises(Exception, match="scored rows hold NULL"):
+            M.log_loss(bad).collect()
+        with pytest.raises(Exception, match="scored rows hold NULL"):
+            M.curve(bad).collect()
+
+
+def test_correlation_is_pairwise_complete(spark):
+    import pandas as pd
+
+    from urlsight.operators.eda import correlation_matrix
+    rows = [(1.0, 2.0, 5.0, 1.0), (2.0, 1.0, None, 1.0), (3.0, 5.0, 2.0, 1.0), (4.0, 0.5, None, 1.0), (5.0, 1.5, 9.0, 1.0)]
+    exp = pd.DataFrame(rows, columns=list("abck"), dtype=float).corr()
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in correlation_matrix(
+        spark.createDataFrame(rows, "a double, b double, c double, k double"), list("abck")).collect()}
+    assert len(got) == 16
+    for (a, b), v in got.items():
+        assert v is None if pd.isna(exp.loc[a, b]) else v == pytest.approx(exp.loc[a, b], abs=1e-6)
+
+
+def test_null_labels_keep_their_rows(spark):
+    from urlsight.operators import eda
+    df = spark.createDataFrame([(float(i), None if i % 3 == 0 else i % 2) for i in range(30)], "x double, label int")
+    box = {r.label: r for r in eda.box_stats(df, ["x"]).collect()}
+    assert set(box) == {None, 0, 1} and box[None].median == 13.5
+    dens = eda.histogram(df, ["x"], bins=3, density=True).collect()
+    assert sum(r.n for r in dens) == 30 and sum(r.n for r in dens if r.label is None) == 10

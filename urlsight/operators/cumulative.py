@@ -1,98 +1,73 @@
 """Running sums in score order without a one-task window.
 
 A plain ``sum() over (partition by model order by score)`` puts every
-distinct score of a model into one task. Here the score axis is cut into
-quantile buckets (bounds from ``percentile_approx``, a bounded sketch):
-
-1. bucket id = binary search of the bounds, a codegen'd CASE tree of depth
-   log2(B) (no per-row array scan, no join);
-2. window sums inside each (group, bucket): one shuffle, each task holds
-   about n/B rows;
-3. per-bucket totals (group x B rows) give the offsets of earlier buckets
-   and the first row of the next bucket; that table is broadcast back.
-
-Every step is a deterministic function of the data, so a recomputed
-partition after executor loss yields the same buckets.
+distinct score of a model into one task. Here the table of distinct (group,
+score) rows is written once to the shared folder and cut into ranges of
+(group, score): a group of any size spans as many ranges as it needs, and any
+number of small groups share one. Then
+
+1. window sums inside each (range, group): each task holds one range;
+2. one row for each (range, group) with its total and first value gives the
+   sums of the earlier ranges and the first value of the next one;
+3. those rows are joined back by (range, group).
+
+No bound, bucket or group list passes through the driver, and the plan has
+the same form at every size; only the number of ranges follows the row count.
 """
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
-MAX_GROUPS = 1000   # groups x buckets bounds the broadcast offset table and the CASE tree
-
+from ..session import written
 
-def _search_tree(x: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Number of bounds strictly below ``x`` among bounds[lo:hi] (offset lo)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x <= F.lit(float(bounds[mid])), _search_tree(x, bounds, lo, mid)) \
-        .otherwise(_search_tree(x, bounds, mid + 1, hi))
+ROWS_PER_RANGE = 2_000_000
 
 
-def _bucket_expr(x: Column, group_col: str, bounds_by_group: dict) -> Column:
-    expr = None
-    for g, bounds in bounds_by_group.items():
-        tree = _search_tree(x, bounds, 0, len(bounds))
-        expr = F.when(F.col(group_col) == F.lit(g), tree) if expr is None else \
-            expr.when(F.col(group_col) == F.lit(g), tree)
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality of the key columns of two tables."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def score_buckets(d: DataFrame, group_col: str, score_col: str,
-                  target_rows: int = TARGET_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> Column:
-    """Bucket expression whose ascending order follows ``score_col``.
-
-    Driver traffic: one row per group with at most ``max_buckets`` bounds.
-    """
-    sizes = {r[0]: r[1] for r in d.groupBy(group_col).count().limit(MAX_GROUPS + 1).collect()}
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"{group_col} has more than {MAX_GROUPS} groups; bucket bounds are kept per group "
-                         "and broadcast, so use a low-cardinality group column")
-    n_buckets = min(max_buckets, max(1, math.ceil(max(sizes.values(), default=0) / target_rows)))
-    if n_buckets == 1:
-        return F.lit(0)
-    pct = [i / n_buckets for i in range(1, n_buckets)]
-    rows = d.groupBy(group_col).agg(
-        F.percentile_approx(score_col, pct, max(10000, 4 * n_buckets)).alias("b")).collect()
-    bounds = {r[0]: sorted(set(r[1])) for r in rows}
-    return _bucket_expr(F.col(score_col), group_col, bounds)
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join that keeps the left table's key columns."""
+    names = {k: f"__right_{i}" for i, k in enumerate(keys)}
+    renamed = right.withColumnsRenamed(names)
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[n]) for k, n in names.items()])
+    return left.join(renamed, cond, how).drop(*names.values())
 
 
-def running_sums(d: DataFrame, group_col: str, score_col: str, value_cols: list[str],
-                 descending: bool = True, bucket: Column | None = None) -> DataFrame:
+def running_sums(d: DataFrame, groups: str | list[str], score_col: str, value_cols: list[str],
+                 descending: bool = True, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Adds ``cum_<v>`` (inclusive running sum in score order) and
     ``next_<v>`` (value of the next score, NULL on the last) for each value.
 
     ``d`` must have one row per (group, score): aggregate ties first, which
-    also removes any hot-score skew.
+    also removes any hot-score skew. Groups may be null and of any number.
     """
-    if bucket is None:
-        bucket = score_buckets(d, group_col, score_col)
-    b = d.withColumn("_bk", bucket.cast("int"))
-    order = F.col(score_col).desc() if descending else F.col(score_col).asc()
-    w = Window.partitionBy(group_col, "_bk").orderBy(order)
-    local = b.select("*", *[F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_lc_{v}")
-                            for v in value_cols],
-                     *[F.lead(v).over(w).alias(f"_ln_{v}") for v in value_cols])
-    # Bucket table: group x buckets rows (bounded by MAX_BUCKETS per group).
+    groups = [groups] if isinstance(groups, str) else list(groups)
+    d = written(d)
+    ranges = max(1, math.ceil(d.count() / rows_per_range))
+    # the range number is written with the row, so no later job cuts the table anew
+    cut = written(d.repartitionByRange(ranges, *groups, score_col).withColumn("_range", F.spark_partition_id()))
+    keys = ["_range", *groups]
+    way = (lambda c: c.desc()) if descending else (lambda c: c.asc())
+    w = Window.partitionBy(*keys).orderBy(way(F.col(score_col)))
+    local = cut.select("*", *[F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_in_{v}")
+                              for v in value_cols],
+                       *[F.lead(v).over(w).alias(f"_after_{v}") for v in value_cols])
     first = F.max_by if descending else F.min_by
-    tot = b.groupBy(group_col, "_bk").agg(
-        *[F.sum(v).alias(f"_bt_{v}") for v in value_cols],
-        *[first(v, F.col(score_col)).alias(f"_bf_{v}") for v in value_cols])
-    bo = F.col("_bk").desc() if descending else F.col("_bk").asc()
-    wb = Window.partitionBy(group_col).orderBy(bo)
-    tot = tot.select(group_col, "_bk",
-                     *[F.coalesce(F.sum(f"_bt_{v}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                  F.lit(0)).alias(f"_off_{v}") for v in value_cols],
-                     *[F.lead(f"_bf_{v}").over(wb).alias(f"_nb_{v}") for v in value_cols])
-    j = local.join(F.broadcast(tot), [group_col, "_bk"])
-    out = [F.col(c) for c in d.columns]
-    out += [(F.col(f"_lc_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}") for v in value_cols]
-    out += [F.coalesce(F.col(f"_ln_{v}"), F.col(f"_nb_{v}")).alias(f"next_{v}") for v in value_cols]
-    return j.select(*out)
+    totals = cut.groupBy(*keys).agg(*[F.sum(v).alias(f"_total_{v}") for v in value_cols],
+                                    *[first(v, F.col(score_col)).alias(f"_first_{v}") for v in value_cols])
+    over = Window.partitionBy(*groups).orderBy(way(F.col("_range")))
+    earlier = totals.select(
+        *keys, *[F.coalesce(F.sum(f"_total_{v}").over(over.rowsBetween(Window.unboundedPreceding, -1)),
+                            F.lit(0)).alias(f"_before_{v}") for v in value_cols],
+        *[F.lead(f"_first_{v}").over(over).alias(f"_next_{v}") for v in value_cols])
+    j = join_on(local, earlier, keys)
+    return j.select(*[F.col(c) for c in d.columns],
+                    *[(F.col(f"_in_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in value_cols],
+                    *[F.coalesce(F.col(f"_after_{v}"), F.col(f"_next_{v}")).alias(f"next_{v}") for v in value_cols])

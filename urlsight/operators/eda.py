@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cumulative import ROWS_PER_RANGE, join_on, running_sums
+
 CLASS_NAMES = {0: "Legitimate", 1: "Phishing"}
 
 
@@ -63,40 +65,48 @@ def null_profile(df: DataFrame) -> DataFrame:
     return long.select("column", F.col("__n").alias("n_rows"), "n_null")
 
 
-def _cov_name(i: int, j: int) -> str:
-    return f"__cov_{i}_{j}"
+def _pair_sums(k: int, shift: list[float]):
+    """Arrow-batch function: per task, the sums of every column pair over the rows where both are set."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - shift
+            here = ~np.isnan(x)
+            x = np.where(here, x, 0.0)
+            here = here.astype(float)
+            # n, sum of a, sum of a squared (rows where b is set too), sum of a times b
+            total += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        i, j = np.divmod(np.arange(k * k, dtype=np.int32), np.int32(k))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t.ravel()) for t in total]],
+                                         ["i", "j", "n", "sa", "saa", "sab"])
+    return run
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson matrix in long form (feature_a, feature_b, corr).
+    """Pearson matrix in long form (feature_a, feature_b, corr), pairwise complete.
 
-    The k x k matrix comes from one distributed pass
-    (``pyspark.ml.stat.Correlation``: a tree-aggregated Gramian, map-side
-    combined), so the cost is one scan whatever the row count. Only the
-    k x k result (fixed by the column count) passes through the driver.
-    A zero standard deviation gives NULL (Spark returns NaN there).
+    Every pair uses the rows where both columns are set, as ``DataFrame.corr``
+    does in pandas. Each task turns its rows into k x k sums with matrix
+    products, and the sums are added up: nothing is cached, and k x k
+    rows a task are shuffled. Values are shifted by the column minimum (one plain
+    aggregate before). A pair with a constant column gives NULL.
     """
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    names = [f"__x{i}" for i in range(len(cols))]
-    x = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)])
-    vec = VectorAssembler(inputCols=names, outputCol="__v", handleInvalid="skip").transform(x).select("__v")
-    # Correlation makes several passes (summary + Gramian); the result is
-    # collected here, so the input can be cached and released right after.
-    vec = vec.persist()
-    try:
-        m = Correlation.corr(vec, "__v", "pearson").head()[0].toArray()
-    finally:
-        vec.unpersist()
     k = len(cols)
-    # Spark keeps 1.0 on the diagonal of a constant column; its other cells are NaN.
-    constant = [k > 1 and all(math.isnan(m[i][j]) for j in range(k) if j != i) for i in range(k)]
-    cells = [(a, b, None if math.isnan(m[i][j]) or (i == j and constant[i]) else round(float(m[i][j]), 6))
-             for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, corr double")
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    least = x.agg(*[F.min(F.nanvl(f"x{i}", F.lit(None).cast("double"))) for i in range(k)]).first()
+    sums = x.mapInArrow(_pair_sums(k, [v or 0.0 for v in least]), "i int, j int, n double, sa double, saa double, sab double")
+    s = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "saa", "sab")])
+    t = s.select(F.col("i").alias("tj"), F.col("j").alias("ti"), F.col("sa").alias("sb"), F.col("saa").alias("sbb"))
+    both = s.join(t, (s.i == t.ti) & (s.j == t.tj))
+    n = F.col("n")
+    var = lambda q, m: F.when((n > 1) & (F.col(q) - F.col(m) * F.try_divide(F.col(m), n) > 1e-12 * F.col(q)),
+                              F.col(q) - F.col(m) * F.try_divide(F.col(m), n))
+    corr = (F.col("sab") - F.col("sa") * F.try_divide(F.col("sb"), n)) / F.sqrt(var("saa", "sa") * var("sbb", "sb"))
+    corr = F.when(F.col("i") == F.col("j"), F.when(var("saa", "sa").isNotNull(), F.lit(1.0))).otherwise(F.round(corr, 6))
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"), corr.alias("corr"))
 
 
 def label_correlation(df: DataFrame, cols: list[str], label_col: str = "label", k: int | None = 15) -> DataFrame:
@@ -143,25 +153,21 @@ def to_long(df: DataFrame, cols: list[str], ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, cols, "feature", "value")
 
 
-def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float]) -> DataFrame:
+def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float],
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy 'linear', SQL quantile_cont)
     per group, without holding a group's values in one task.
 
     Values are first collapsed to (group, value, count) with a partial
     aggregate; running counts over the distinct values come from the
-    bucketed :func:`cumulative.running_sums`; the order statistics at
+    :func:`cumulative.running_sums` (ranges); the order statistics at
     positions floor/ceil((n-1)q) are then picked with one more aggregate.
     Output: group columns + ``q0, q1, ...`` (one column per prob).
     """
-    from .cumulative import running_sums, score_buckets
-
-    key = F.to_json(F.struct(*group_cols)) if len(group_cols) != 1 else F.col(group_cols[0]).cast("string")
-    d = long.where(F.col("value").isNotNull()).groupBy(key.alias("_g"), *group_cols, "value") \
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    bucket = score_buckets(d, "_g", "value")
-    c = running_sums(d, "_g", "value", ["cnt"], descending=False, bucket=bucket)
-    totals = d.groupBy("_g").agg(F.sum("cnt").alias("_n"))
-    c = c.join(F.broadcast(totals), "_g")
+    d = long.where(F.col("value").isNotNull()).groupBy(*group_cols, "value").agg(F.count(F.lit(1)).alias("cnt"))
+    c = running_sums(d, group_cols, "value", ["cnt"], descending=False, rows_per_range=rows_per_range)
+    totals = c.groupBy(*group_cols).agg(F.sum("cnt").alias("_n"))
+    c = join_on(c, totals, group_cols)
     before = F.col("cum_cnt") - F.col("cnt")   # rows strictly below this value
     aggs = []
     for i, q in enumerate(probs):
@@ -171,7 +177,7 @@ def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float])
         aggs += [F.max(F.when((before <= lo) & (lo < F.col("cum_cnt")), F.col("value"))).alias(f"_lo{i}"),
                  F.max(F.when((before <= hi) & (hi < F.col("cum_cnt")), F.col("value"))).alias(f"_hi{i}"),
                  F.first(h - lo).alias(f"_f{i}")]
-    a = c.groupBy("_g", *group_cols).agg(*aggs)
+    a = c.groupBy(*group_cols).agg(*aggs)
     return a.select(*group_cols, *[(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
                                    .alias(f"q{i}") for i in range(len(probs))])
 
@@ -224,10 +230,9 @@ def histogram(df: DataFrame, cols: list[str], label_col: str = "label", bins: in
                 F.round(F.col("vmin") + (F.col("bin") + 1) * w, 6).alias("bin_hi"), "n"]
     if not density:
         return counts.select(*cols_out)
-    # Per (feature, class) totals: #features x #classes rows, broadcast back.
     totals = counts.groupBy("feature", "label").agg(F.sum("n").alias("n_class"))
     dens = F.when(w > 0, F.col("n") / (F.col("n_class") * w))
-    out = counts.join(F.broadcast(totals), ["feature", "label"]).select(
+    out = join_on(counts, totals, ["feature", "label"]).select(  # a NULL label is a class of its own
         *cols_out, F.round(dens, 6).alias("density"))
     return out
 
@@ -240,8 +245,8 @@ def box_stats(df: DataFrame, cols: list[str], label_col: str = "label") -> DataF
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
         .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    # q has (#features x #classes) rows: a proven-small broadcast side.
-    j = long.join(F.broadcast(q), ["feature", "label"])
+    # joined as Spark sees fit by size; a NULL label is a class of its own
+    j = join_on(long, q, ["feature", "label"])
     v = F.col("value")
     agg = j.groupBy("feature", "label", "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),

@@ -4,31 +4,43 @@ Input: the scored long table ``(model, y, p, yhat)``. Everything is grouped
 by ``model``; scores are first collapsed to one row per (model, score)
 with a partial aggregate, so a hot score or a class with a third of all
 rows costs one row, and the ordered work runs on the distinct-score table
-through :func:`cumulative.running_sums` (bucketed, no one-task window).
+through :func:`cumulative.running_sums` (ranges, no one-task window).
+Rows without a score or a class are refused by :func:`unscored`, not dropped.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cumulative import TARGET_ROWS_PER_BUCKET, running_sums, score_buckets
+from .cumulative import ROWS_PER_RANGE, join_on, running_sums
 
 LOG_LOSS_EPS = 2.220446049250313e-16  # float64 machine epsilon (clip for log loss)
 
 
+def unscored(scored: DataFrame) -> DataFrame:
+    """Rows per model that no ordered metric can use (NULL score or class); one row per model."""
+    return scored.groupBy("model").agg(F.count_if(F.col("p").isNull()).alias("n_null_score"),
+                                       F.count_if(F.col("y").isNull()).alias("n_null_class"))
+
+
+def _present(column: str):
+    """The column, or an error that names it when a row holds NULL there."""
+    return F.coalesce(F.col(column), F.raise_error(F.lit(f"scored rows hold NULL in {column}; see unscored()"))
+                      .cast("double" if column == "p" else "int"))
+
+
 def score_table(scored: DataFrame) -> DataFrame:
-    """(model, p, pos, neg): one row per distinct score."""
-    return scored.where(F.col("p").isNotNull()).groupBy("model", "p").agg(
+    """(model, p, pos, neg): one row per distinct score. A NULL score or class is an error."""
+    rows = scored.select("model", _present("p").alias("p"), _present("y").alias("y"))
+    return rows.groupBy("model", "p").agg(
         F.sum("y").cast("long").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).cast("long").alias("neg"))
 
 
-def curve(scored: DataFrame, target_rows: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+def curve(scored: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Distinct scores in descending order with running TP/FP and class totals."""
-    d = score_table(scored)
-    bucket = score_buckets(d, "model", "p", target_rows=target_rows)
-    c = running_sums(d, "model", "p", ["pos", "neg"], descending=True, bucket=bucket)
-    totals = d.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return c.join(F.broadcast(totals), "model")
+    c = running_sums(score_table(scored), "model", "p", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
+    totals = c.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    return join_on(c, totals, ["model"])
 
 
 def confusion_counts(scored: DataFrame) -> DataFrame:
@@ -76,9 +88,9 @@ def auc_metrics(cv: DataFrame) -> DataFrame:
 
 
 def log_loss(scored: DataFrame, eps: float = LOG_LOSS_EPS) -> DataFrame:
-    """Mean binary cross-entropy with p clipped to [eps, 1 - eps]."""
-    p = F.least(F.greatest(F.col("p"), F.lit(eps)), F.lit(1 - eps))
-    y = F.col("y").cast("double")
+    """Mean binary cross-entropy with p clipped to [eps, 1 - eps]. A NULL score or class is an error."""
+    p = F.least(F.greatest(_present("p"), F.lit(eps)), F.lit(1 - eps))
+    y = _present("y").cast("double")
     return scored.groupBy("model").agg((-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
 
 
@@ -97,17 +109,16 @@ def roc_points(cv: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     fpr = F.when(F.col("n_neg") != 0, F.col("cum_neg") / F.col("n_neg"))
     tpr = F.when(F.col("n_pos") != 0, F.col("cum_pos") / F.col("n_pos"))
     body = pts.select("model", F.col("p").alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
-    origin = cv.select("model").distinct().select(
+    # the row where the running sums begin: one for each model, without another pass over the scores
+    origin = cv.where(first).select(
         "model", F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(body)
 
 
-def random_baseline(models: DataFrame) -> DataFrame:
+def random_baseline(spark: SparkSession) -> DataFrame:
     """The diagonal of a random classifier as two rows."""
-    return models.select(F.lit("random").alias("model")).distinct().select(
-        "model", F.explode(F.array(F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")),
-                                   F.struct(F.lit(1.0).alias("fpr"), F.lit(1.0).alias("tpr")))).alias("c")
-    ).select("model", F.lit(None).cast("double").alias("threshold"), "c.fpr", "c.tpr")
+    return spark.range(2).select(F.lit("random").alias("model"), F.lit(None).cast("double").alias("threshold"),
+                                 F.col("id").cast("double").alias("fpr"), F.col("id").cast("double").alias("tpr"))
 
 
 def threshold_for_recall(cv: DataFrame, target: float = 0.95) -> DataFrame:
@@ -120,10 +131,13 @@ def threshold_for_recall(cv: DataFrame, target: float = 0.95) -> DataFrame:
         F.max_by(F.col("cum_neg") / F.when(F.col("n_neg") != 0, F.col("n_neg")), F.col("p")).alias("fpr"))
 
 
-def metric_suite(scored: DataFrame, target_rows: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
-    """One row per model with the full metric set (A4 without train time)."""
+def metric_suite(scored: DataFrame, rows_per_range: int = ROWS_PER_RANGE, cv: DataFrame | None = None) -> DataFrame:
+    """One row per model with the full metric set (A4 without train time).
+
+    ``cv``: the curve of the same rows, if it is there already.
+    """
     cm = class_metrics_from_counts(confusion_counts(scored))
-    auc = auc_metrics(curve(scored, target_rows))
+    auc = auc_metrics(curve(scored, rows_per_range) if cv is None else cv)
     ll = log_loss(scored)
     return cm.join(auc, "model").join(ll, "model").select(
         "model", "accuracy", "precision_phish", "recall_phish", "f1_phish", "roc_auc", "pr_auc",

@@ -28,11 +28,13 @@ def _roc(s, d):
 
 
 def _model_card(s, d):
-    suite = _suite(s, d)
-    pts = M.roc_points(M.curve(_sm(s, d))).groupBy("model").agg(F.count(F.lit(1)).alias("n_roc_points"))
-    cm = M.confusion_long(_sm(s, d)).groupBy("model").agg(F.count(F.lit(1)).alias("n_confusion_cells"))
-    return rounded(suite.join(pts, "model").join(cm, "model").select(
-        "model", "roc_auc", "accuracy", "n_roc_points", "n_confusion_cells", "tp", "fp", "tn", "fn"))
+    scored = _sm(s, d)
+    cv = M.curve(scored)
+    pts = M.roc_points(cv).groupBy("model").agg(F.count(F.lit(1)).alias("n_roc_points"))
+    suite = M.metric_suite(scored, cv=cv)
+    # a confusion matrix always has its four cells
+    return rounded(suite.join(pts, "model").select(
+        "model", "roc_auc", "accuracy", "n_roc_points", F.lit(4).cast("long").alias("n_confusion_cells"), "tp", "fp", "tn", "fn"))
 
 
 QUERIES = {
@@ -42,7 +44,7 @@ QUERIES = {
     "pr_auc": lambda s, d: rounded(M.auc_metrics(M.curve(_sm(s, d))).select("model", "pr_auc")),
     "log_loss": lambda s, d: rounded(M.log_loss(_sm(s, d))),
     "roc_curve": _roc,
-    "roc_curve_with_baseline": lambda s, d: _roc(s, d).unionByName(M.random_baseline(_sm(s, d))),
+    "roc_curve_with_baseline": lambda s, d: _roc(s, d).unionByName(M.random_baseline(s)),
     "threshold_for_recall": lambda s, d: rounded(M.threshold_for_recall(M.curve(_sm(s, d)), 0.95)),
     "metric_suite": lambda s, d: rounded(_suite(s, d)),
     "metric_report": lambda s, d: M.metric_report(_suite(s, d)),

@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "urlsight", **conf) -> SparkSession:
@@ -57,3 +58,15 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Evaluates the input once; what follows reads columns from shared files,
+    so it survives lost executors.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
