@@ -1,5 +1,6 @@
 """Sources/sinks (S2-S14), streaming (Z1, Z2) and the trainer zoo."""
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def test_class_weights_balanced(spark):
 
 def test_stream_windows_equal_batch_for_closed_windows(spark):
     batch = ST.windowed_verdicts(T.table(spark, SF_SMALL, "events"))
-    stream = ST.windowed_verdicts_stream(spark, SF_SMALL, mode="append")
+    stream = ST.windowed_verdicts_stream(spark, SF_SMALL, "10 minutes", mode="append")
     # append mode emits a window once the watermark (max ts - 10 min) passes its end
     cutoff = T.table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
     import datetime
@@ -193,12 +194,31 @@ def test_train_logistic_docs_runs(spark):
 
 def test_stream_windows_update_mode_equal_batch(spark):
     batch = ST.windowed_verdicts(T.table(spark, SF_SMALL, "events"))
-    stream = ST.windowed_verdicts_stream(spark, SF_SMALL)
+    stream = ST.windowed_verdicts_stream(spark, SF_SMALL, "10 minutes")
     cols = ["window_start", "window_end", "verdict", "n"]
     assert stream.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(stream.select(cols)).count() == 0
 
 
+def _same(a, b):
+    cols = ["window_start", "window_end", "verdict", "n"]
+    return a.select(cols).exceptAll(b.select(cols)).count() == 0 and b.select(cols).exceptAll(a.select(cols)).count() == 0
+
+
+def test_stream_over_a_folder_of_files_out_of_order(spark, tmp_out):
+    events = T.table(spark, SF_SMALL, "events")
+    batch = ST.windowed_verdicts(events).cache()
+    day = F.dayofmonth("ts")
+    for i in range(5):  # newest first, so that every later file is late
+        events.where((day > 24 - 6 * i) & ((day <= 30 - 6 * i) | (i == 0))).coalesce(1).write.mode("append").parquet(f"{tmp_out}/events.parquet")
+        time.sleep(0.05)  # files are taken in order of their time
+    assert spark.read.parquet(f"{tmp_out}/events.parquet").count() == events.count()
+    assert _same(ST.windowed_verdicts_stream(spark, tmp_out, "31 days"), batch)
+    assert _same(ST.windowed_verdicts_stream(spark, tmp_out, "31 days", max_files=1), batch)
+    with pytest.raises(ST.LateRowsError, match="10 minutes late"):
+        ST.windowed_verdicts_stream(spark, tmp_out, "10 minutes", max_files=1)
+
+
 def test_cli_features_and_eda(spark, tmp_out):
     from urlsight.cli import main
     T.table(spark, SF_SMALL, "pages").select("page_id", "url").write.parquet(f"{tmp_out}/pages")

@@ -17,7 +17,10 @@ from ..operators.score import THRESHOLD, verdict, with_verdict
 from ..session import ensure_checkpoint_dir
 
 WINDOW = "1 hour"
-WATERMARK = "10 minutes"
+
+
+class LateRowsError(RuntimeError):
+    """A bounded replay met rows later than the watermark delay, and Spark dropped them."""
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -25,11 +28,18 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, schema=None):
-    """``readStream`` over one driver table (the parquet file as a stream source)."""
-    schema = schema or spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+def stream_table(spark: SparkSession, sf_dir: str, name: str, schema=None, max_files: int | None = None):
+    """``readStream`` over one driver table, a file or a folder of part files.
+
+    ``max_files`` bounds the files of one micro-batch (default: Spark's, no bound).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = schema or spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # a pattern that only this path matches: Spark takes a pattern for a file as well as for a folder
+    return reader.parquet(f"{path[:-1]}[t]")
 
 
 def score_stream(urls: DataFrame, fitted, keep: list[str]) -> DataFrame:
@@ -38,23 +48,36 @@ def score_stream(urls: DataFrame, fitted, keep: list[str]) -> DataFrame:
     return with_verdict(fitted.score(feats, keep)).select(*keep, "verdict", "probability", "risk_score")
 
 
-def run_available_now(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
-    """Drain everything available into a parquet sink, exactly once (checkpointed)."""
-    q = (stream_df.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination()
+def run_available_now(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> int:
+    """Drain everything available into a parquet sink, exactly once (checkpointed).
+    Returns how many (partially aggregated) rows the watermark dropped."""
+    return _drain(stream_df.writeStream.format("parquet").option("path", sink)
+                  .option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True), stream_df.sparkSession)
 
 
-def run_update_available_now(stream_df: DataFrame, sink: str, checkpoint: str) -> None:
+def run_update_available_now(stream_df: DataFrame, sink: str, checkpoint: str) -> int:
     """Drain a stateful aggregation in update mode: every micro-batch appends
     its changed rows tagged with the batch id (a retried batch rewrites the
-    same rows with the same id, so reading the latest row per key is exact)."""
+    same rows with the same id, so reading the latest row per key is exact).
+    Returns how many (partially aggregated) rows the watermark dropped."""
     def write(batch_df, batch_id):
         batch_df.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(sink)
 
-    q = (stream_df.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _drain(stream_df.writeStream.outputMode("update").foreachBatch(write)
+                  .option("checkpointLocation", checkpoint).trigger(availableNow=True), stream_df.sparkSession)
+
+
+def _drain(writer, spark: SparkSession) -> int:
+    """Run a query over all that is available; the rows dropped by its watermark."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "1000000")  # the progress of every micro-batch, not only of the last hundred
+    try:
+        q = writer.start()
+        q.awaitTermination()
+        return sum(int(s["numRowsDroppedByWatermark"]) for p in q.recentProgress for s in p["stateOperators"])
+    finally:
+        spark.conf.set(key, kept)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
@@ -75,30 +98,34 @@ def windowed_verdicts(events: DataFrame, window: str = WINDOW, threshold: float
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "verdict", "n")
 
 
-def windowed_verdicts_stream(spark: SparkSession, sf_dir: str, window: str = WINDOW,
-                             watermark: str = WATERMARK, mode: str = "update") -> DataFrame:
+def windowed_verdicts_stream(spark: SparkSession, sf_dir: str, delay: str, window: str = WINDOW,
+                             mode: str = "update", max_files: int | None = None) -> DataFrame:
     """The same counts computed by a watermarked streaming aggregation.
 
+    ``delay`` is how late an event may come: at least the disorder of the
+    input. The result equals the batch twin only if no row is later than that;
+    a later row raises :class:`LateRowsError` instead of going missing.
     ``mode='update'`` (default) writes every changed window per micro-batch
     and returns the final count per window, so windows still open when the
-    input ends are included and the result equals the batch twin.
-    ``mode='append'`` emits a window only once the watermark passes its end.
-    State is bounded by the watermark delay in both modes.
+    input ends are included. ``mode='append'`` emits a window only once the
+    watermark passes its end. State is bounded by the delay in both modes.
     """
-    ev = stream_table(spark, sf_dir, "events")
+    ev = stream_table(spark, sf_dir, "events", max_files=max_files)
     ntz = dict(ev.dtypes)["ts"] == "timestamp_ntz"
     if ntz:
         # Watermarks need an instant: read the wall-clock time as UTC so the
         # hour windows line up with the batch twin whatever the session zone.
         ev = ev.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
-    counts = windowed_verdicts(ev.withWatermark("ts", watermark), window)
+    counts = windowed_verdicts(ev.withWatermark("ts", delay), window)
     if ntz:
         back = {c: F.from_utc_timestamp(F.col(c), F.current_timezone()).cast("timestamp_ntz")
                 for c in ("window_start", "window_end")}
         counts = counts.withColumns(back)
     sink, ckpt = _scratch(spark, "windowed_verdicts"), _scratch(spark, "windowed_verdicts-ckpt")
+    run = run_available_now if mode == "append" else run_update_available_now
+    dropped = run(counts, sink, ckpt)
+    if dropped:
+        raise LateRowsError(f"{dropped} aggregated row(s) came more than {delay} late; use a longer delay")
     if mode == "append":
-        run_available_now(counts, sink, ckpt, "append")
         return spark.read.parquet(sink)
-    run_update_available_now(counts, sink, ckpt)
     return latest_per_key(spark.read.parquet(sink), ["window_start", "window_end", "verdict"], ["n"])
