@@ -44,3 +44,19 @@ def test_linear_attribution_sums_to_centered_margin(spark):
         i = r["row_id"]
         exp = 0.5 * (i - stats["mx"]) / stats["sx"] - 2.0 * ((i % 3) - stats["mz"]) / stats["sz"]
         assert r["s"] == pytest.approx(exp)
+
+
+def test_row_local_explanations_equal_the_joined_ones(spark):
+    df = spark.createDataFrame([(1, 1.0, 40.0, 2.0), (2, 0.0, 0.0, 0.0), (3, 0.0, 3.0, 9.0)], "id int, is_https double, url_len double, weird double")
+    names = ["is_https", "url_len", "weird"]
+    got = {r.id: r for r in E.explained(df, names).collect()}
+    joined = {}
+    for r in E.with_tips(E.top_contributions(df, names, "id"), spark).orderBy("id", "rank").collect():
+        joined.setdefault(r.id, []).append(f"{r.display} · value signal {r.score:.2f} — {r.tip}")
+    assert {i: r.explanation for i, r in got.items()} == {1: joined[1], 2: [E.NO_SIGNAL_TEXT], 3: joined[3]}
+    assert [got[i].top_trigger for i in (1, 2, 3)] == ["Url Len", None, "Weird"]
+
+
+def test_null_probability_has_no_verdict(spark):
+    r = S.with_verdict(spark.createDataFrame([(None,)], "p double")).first()
+    assert [r.verdict, r.probability, r.risk_score, r.gauge_position, r.risk_band, r.recommendation] == [None] * 6

@@ -43,7 +43,7 @@ def _split(spark, d):
     return sp.where("split = 'train'"), sp.where("split = 'test'")
 
 
-@pytest.mark.parametrize("name", ["LogisticRegression", "AdaBoost", "RandomForest"])
+@pytest.mark.parametrize("name", ["LogisticRegression", "AdaBoost", "RandomForest", "ExtraTrees"])
 def test_model_save_load_same_scores(spark, tmp_out, name):
     train, test = _split(spark, SF_MID)
     vm, names = Z.prepare(train)
@@ -62,8 +62,50 @@ def test_train_all_isolates_failures(spark, monkeypatch):
     def boom(preset, w):
         raise RuntimeError("broken trainer")
     monkeypatch.setitem(Z.TRAINERS, "Broken", Z.Trainer("Broken", boom, None))
-    fitted, rows, failures = Z.train_all(train, test, "page_id", names=["Broken", "LogisticRegression"])
-    assert "Broken" in failures and list(fitted) == ["LogisticRegression"] and len(rows) == 1
+    fitted, scored, rows, failures = Z.train_all(train, test, names=["Broken", "LogisticRegression"], preset="smoke")
+    assert "Broken" in failures and list(fitted) == ["LogisticRegression"] and rows.count() == 1 and scored.count() == test.count()
+    with pytest.raises(Z.EveryModelFailed, match="broken trainer"):
+        Z.train_all(train, test, names=["Broken"], preset="smoke")
+
+
+def test_a_model_without_probabilities(spark):
+    """V4: the class is the model's prediction; no percent, no log loss, ranked by its margin."""
+    from pyspark.ml.classification import LinearSVC
+    from urlsight.operators import score as S
+    train, test = _split(spark, SF_MID)
+    vm, names = Z.prepare(train)
+    data = Z.training_table(train, vm, names)
+    fm = Z.FittedModel("SVC", vm, names, LinearSVC(maxIter=20).fit(data), 0.0)
+    rows = S.with_verdict(fm.score(test, ["page_id"])).collect()
+    assert all(r.p is None and r.probability is None and r.risk_score is None and r.risk_band is None and r.gauge_position is None for r in rows)
+    assert all(r.verdict == ("phishing" if r.prediction == 1 else "safe") for r in rows) and {r.verdict for r in rows} == {"phishing", "safe"}
+    m = Z.evaluate(fm, test).first()
+    assert m.log_loss is None and m.roc_auc > 0.9 and m.tp + m.fp + m.tn + m.fn == test.count()
+
+
+def test_an_exact_tie_is_class_zero_in_evaluation(spark):
+    class Half:
+        def transform(self, df):
+            return Z.AdaBoostModel([((0, 0.0, 0.0, 1.0), 1.0), ((0, 0.0, 1.0, 0.0), 1.0)]).transform(df)
+    train, test = _split(spark, SF_SMALL)
+    vm, names = Z.prepare(train)
+    m = Z.evaluate(Z.FittedModel("Half", vm, names, Half(), 0.0), test).first()
+    assert m.tp == m.fp == 0 and m.tn + m.fn == test.count()
+    scored = Z.FittedModel("Half", vm, names, Half(), 0.0).score(test, ["page_id"])
+    from urlsight.operators.score import with_verdict
+    assert {r.verdict for r in with_verdict(scored).collect()} == {"phishing"}   # P11 keeps >= 0.5
+
+
+def test_adaboost_weights_follow_from_the_stumps(spark):
+    import math
+    rows = [(0.0, [1.0]), (0.0, [2.0]), (1.0, [3.0]), (0.0, [4.0]), (1.0, [5.0])]
+    from pyspark.ml.functions import array_to_vector
+    df = spark.createDataFrame(rows, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
+    stumps = [((0, 2.5, 0.0, 1.0), 0.7), ((0, 4.5, 0.0, 1.0), 0.3)]
+    got = [r.w for r in df.select(Z.stump_weight(stumps, F.col("features"), F.col("label")).alias("w")).collect()]
+    assert got == pytest.approx([1.0, 1.0, math.exp(0.3), math.exp(0.7), 1.0])
+    model = Z.AdaBoostStumps(rounds=30, learning_rate=0.5).fit(df)
+    assert 1 <= len(model.stumps) <= 30
 
 
 def test_class_weights_balanced(spark):
@@ -85,93 +127,13 @@ def test_stream_windows_equal_batch_for_closed_windows(spark):
 
 
 def test_stream_score_equals_batch_score(spark):
-    import __spark_entry__ as E
-    s = E.queries()["stream_score"](spark, SF_SMALL)
-    b = E.queries()["batch_score"](spark, SF_SMALL)
+    from urlsight.plans import model_queries, stream_queries
+    s = stream_queries.stream_score_rows(spark, SF_SMALL)
+    b = model_queries.batch_score_rows(spark, SF_SMALL)
     cols = ["page_id", "verdict", "probability", "risk_score"]
     assert s.select(cols).exceptAll(b.select(cols)).count() == 0 and s.count() == b.count()
 
 
-@pytest.mark.parametrize("name", ["CatBoost", "RandomForest"])
-def test_tree_attribution_adds_up_to_model_output(spark, name):
-    from pyspark.ml.functions import vector_to_array
-
-    from urlsight.operators.attribution import tree_attribution
-    from urlsight.operators.encode import encode
-    train, test = _split(spark, SF_MID)
-    vm, names = Z.prepare(train)
-    fm = Z.fit_one(Z.TRAINERS[name], train, vm, names, "smoke")
-    X = Z.assemble(encode(test, vm.getVocabulary(), keep=["page_id"]), names, ["page_id"])
-    attr = tree_attribution(fm.model, X, "page_id", names)
-    total = attr.groupBy(F.col("row_id").alias("page_id")).agg(F.sum("attribution").alias("s"))
-    out = fm.model.transform(X)
-    col = "rawPrediction" if name == "CatBoost" else "probability"
-    ref = out.select("page_id", vector_to_array(col)[1].alias("m"))
-    j = total.join(ref, "page_id")
-    assert j.count() == test.count()
-    assert j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0
-
-
-def test_tree_shap_matches_brute_force_shapley():
-    import itertools
-    import math
-
-    import numpy as np
-
-    from urlsight.operators.attribution import tree_shap_batch
-    t = {"feature": np.array([0, 1, -1, -1, 1, -1, 2, -1, -1]),
-         "threshold": np.array([.5, .5, 0, 0, .5, 0, .5, 0, 0]),
-         "left": np.array([1, 2, -1, -1, 5, -1, 7, -1, -1]), "right": np.array([4, 3, -1, -1, 6, -1, 8, -1, -1]),
-         "value": np.zeros(9), "cover": np.array([100., 60, 20, 40, 40, 10, 30, 12, 18])}
-    for j, v in {2: 1., 3: 3., 5: 5., 7: 7., 8: 11.}.items():
-        t["value"][j] = v
-
-    def node_val(j):
-        if t["feature"][j] < 0:
-            return t["value"][j]
-        lft, rgt = t["left"][j], t["right"][j]
-        return (node_val(lft) * t["cover"][lft] + node_val(rgt) * t["cover"][rgt]) / t["cover"][j]
-    for j in range(9):
-        t["value"][j] = node_val(j)
-
-    def expect(x, S, j=0):
-        if t["feature"][j] < 0:
-            return t["value"][j]
-        d, lft, rgt = t["feature"][j], t["left"][j], t["right"][j]
-        if d in S:
-            return expect(x, S, lft if x[d] <= t["threshold"][j] else rgt)
-        return (expect(x, S, lft) * t["cover"][lft] + expect(x, S, rgt) * t["cover"][rgt]) / t["cover"][j]
-
-    k = 4
-    for x in [np.array([0.2, 0.8, 0.9, 0.3]), np.array([0.9, 0.9, 0.1, 0.0]), np.array([0.9, 0.1, 0.9, 0.9])]:
-        brute = np.zeros(k)
-        for i in range(k):
-            others = [f for f in range(k) if f != i]
-            for size in range(k):
-                for S in itertools.combinations(others, size):
-                    w = math.factorial(size) * math.factorial(k - size - 1) / math.factorial(k)
-                    brute[i] += w * (expect(x, set(S) | {i}) - expect(x, set(S)))
-        phi, bias = tree_shap_batch(x[None, :], [t], [1.0])
-        assert np.allclose(phi[0], brute)
-        assert bias[0] + phi[0].sum() == pytest.approx(expect(x, set(range(k))))
-
-
-def test_tree_shap_adds_up_on_spark_gbt(spark):
-    from pyspark.ml.functions import vector_to_array
-
-    from urlsight.operators.attribution import tree_attribution
-    from urlsight.operators.encode import encode
-    train, test = _split(spark, SF_MID)
-    vm, names = Z.prepare(train)
-    fm = Z.fit_one(Z.TRAINERS["CatBoost"], train, vm, names, "smoke")
-    X = Z.assemble(encode(test, vm.getVocabulary(), keep=["page_id"]), names, ["page_id"])
-    attr = tree_attribution(fm.model, X, "page_id", names, method="shap")
-    total = attr.groupBy(F.col("row_id").alias("page_id")).agg(F.sum("attribution").alias("s"))
-    ref = fm.model.transform(X).select("page_id", vector_to_array("rawPrediction")[1].alias("m"))
-    j = total.join(ref, "page_id")
-    assert j.count() == test.count() and j.where(F.abs(F.col("s") - F.col("m")) > 1e-9).count() == 0
-
-
 def test_cli_train_and_score(spark, tmp_out):
     from urlsight.cli import main
     T.weak_labelled_urls(spark, SF_SMALL).select("page_id", "url", "label").write.parquet(f"{tmp_out}/lab")
@@ -184,12 +146,39 @@ def test_cli_train_and_score(spark, tmp_out):
           "--output", f"{tmp_out}/preds"])
     preds = spark.read.option("header", True).csv(f"{tmp_out}/preds")
     assert preds.count() == 50 and {"verdict", "probability", "risk_score", "label"} <= set(preds.columns)
+    assert spark.read.parquet(f"{tmp_out}/preds_summary/kpis").first().n == 50
+    assert spark.read.parquet(f"{tmp_out}/preds_summary/histogram").agg(F.sum("n")).first()[0] == 50
+    main(["report", "--input", f"{tmp_out}/run/metrics", "--output-dir", f"{tmp_out}/report"])
+    card = spark.read.parquet(f"{tmp_out}/report/card").collect()
+    assert {r.model for r in card} == {"LogisticRegression", "RandomForest"} and all(r.n_confusion_cells == 4 for r in card)
+    assert spark.read.parquet(f"{tmp_out}/report/comparison").where("is_best").count() == 1
+    assert spark.read.parquet(f"{tmp_out}/report/bars").count() == 8
+
+
+def test_cli_from_csv_files(spark, tmp_out):
+    """Precomputed features, URLs only, and a malformed line."""
+    from urlsight.cli import main
+    lab = T.weak_labelled_urls(spark, SF_SMALL).drop("page_id")
+    lab.coalesce(1).write.option("header", True).csv(f"{tmp_out}/full/csv")
+    lab.select("url", "label").coalesce(1).write.option("header", True).csv(f"{tmp_out}/urls/csv")
+    part = next(f for f in os.listdir(f"{tmp_out}/urls/csv") if f.endswith(".csv"))
+    with open(f"{tmp_out}/urls/csv/{part}", "a") as f:
+        f.write("http://b.com/,1,surplus,more\nhttp://c.com/\n")
+    for kind, rejected in (("full", 0), ("urls", 2)):
+        main(["train", "--input", f"{tmp_out}/{kind}/csv", "--output-dir", f"{tmp_out}/{kind}/run", "--preset", "smoke", "--models", "LogisticRegression"])
+        assert spark.read.parquet(f"{tmp_out}/{kind}/run/split").count() == 50
+        assert spark.read.parquet(f"{tmp_out}/{kind}/run/rejected").count() == rejected
+    main(["score", "--input", f"{tmp_out}/urls/csv", "--model-dir", f"{tmp_out}/full/run/models/best", "--output", f"{tmp_out}/p", "--format", "parquet"])
+    assert spark.read.parquet(f"{tmp_out}/p").count() == 50
+    main(["eda", "--input", f"{tmp_out}/full/csv", "--output-dir", f"{tmp_out}/eda"])
+    assert spark.read.parquet(f"{tmp_out}/eda/kpis").first().n_rows == 50
+    assert spark.read.parquet(f"{tmp_out}/eda/label_correlation").count() > 0 and spark.read.parquet(f"{tmp_out}/eda/top_tlds").count() > 0
 
 
 def test_train_logistic_docs_runs(spark):
     import __spark_entry__ as E
     r = E.queries()["train_logistic_docs"](spark, SF_SMALL).first()
-    assert r["tp"] + r["fp"] + r["tn"] + r["fn"] > 0 and 0.0 <= r["roc_auc"] <= 1.0
+    assert r["held_out_positives"] > 0 and r["held_out_negatives"] > 0
 
 
 def test_stream_windows_update_mode_equal_batch(spark):

@@ -1,30 +1,36 @@
-"""Command-line jobs: features, train, score, eda (S4: inputs are explicit arguments).
+"""Command-line jobs: features, train, score, eda, report (S4: inputs are explicit arguments).
 
     python -m urlsight.cli features --input urls.csv --output out/
-    python -m urlsight.cli train --input labelled.parquet --output-dir run/ [--preset reference]
+    python -m urlsight.cli train --input labelled.csv --output-dir run/
     python -m urlsight.cli score --input urls.csv --model-dir run/models/best --output preds/
     python -m urlsight.cli eda --input labelled.parquet --output-dir eda/
+    python -m urlsight.cli report --input run/metrics --output-dir report/
+
+The session is whatever Spark is configured for (``spark-submit``, spark-defaults);
+``--master`` names one explicitly, e.g. ``--master local[8]``.
 """
 from __future__ import annotations
 
 import argparse
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark, a, rejected: str):
+    """The input's good rows; malformed lines of a CSV file are written to ``rejected``."""
     from .sources import io
-    if path.endswith(".csv") or path.endswith("/csv"):
-        return io.read_csv(spark, path)
-    return spark.read.parquet(path)
+    df, bad = io.split_corrupt(io.read_input(spark, a.input, a.input_format))
+    if bad is not None:
+        io.write_table(bad, rejected)
+        print(f"{spark.read.parquet(rejected).count()} malformed line(s) in {a.input}, see {rejected}")
+    return df
 
 
 def cmd_features(spark, a):
     from .functions.url import with_url_features
     from .sources import io
-    df = io.require_columns(_read(spark, a.input), [a.url_col])
+    df = io.require_columns(_read(spark, a, f"{a.output.rstrip('/')}_rejected"), [a.url_col])
     io.write_table(with_url_features(df, a.url_col, quality_columns=True), a.output, a.format)
 
 
@@ -33,11 +39,12 @@ def cmd_train(spark, a):
     from .operators import metrics as M
     from .operators import split as K
     from .operators import zoo as Z
-    from .operators.attribution import permutation_importance, tree_attribution
+    from .operators.attribution import permutation_importance
     from .operators.encode import encode
     from .sources import io
 
-    df = io.require_columns(_read(spark, a.input), ["label"])
+    out = a.output_dir.rstrip("/")
+    df = io.require_columns(_read(spark, a, f"{out}/rejected"), ["label"])
     # P1 on the input columns. Features derived from the URL are never null;
     # filtering on them would make Catalyst inline every feature expression
     # into the pushed-down predicate.
@@ -50,99 +57,113 @@ def cmd_train(spark, a):
     if a.key not in df.columns:
         df = df.withColumn(a.key, F.xxhash64(*[F.col(c) for c in df.columns]))
     # The split is re-read by every trainer: write it once to the output folder.
-    out = a.output_dir.rstrip("/")
     io.write_table(K.stratified_split(df.withColumn("label", F.col("label").cast("int")), a.key), f"{out}/split")
     split = spark.read.parquet(f"{out}/split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    fitted, rows, failures = Z.train_all(train, test, a.key, names=a.models, preset=a.preset)
+    fitted, scored, rows, failures = Z.train_all(train, test, names=a.models, preset=a.preset)
     for name, err in failures.items():
         print(f"model {name} failed: {err}")
-    metrics = M.rank_models(reduce(DataFrame.unionByName, rows))
-    io.write_metrics(metrics, f"{out}/metrics")
+    io.write_metrics(M.rank_models(rows), f"{out}/metrics")
+    # everything below reads the written metrics and the written scored rows
+    metrics = spark.read.schema(M.rank_models(rows).schema).json(f"{out}/metrics/model_comparison_json")
     best = metrics.where("is_best").first()["model"]
     for name, fm in fitted.items():
         io.save_model(fm, f"{out}/models/{name}")
     io.save_model(fitted[best], f"{out}/models/best")
-    scored = reduce(DataFrame.unionByName, [
-        fm.score(test, [a.key, "label"]).select(F.lit(n).alias("model"), F.col("label").alias("y"), "p")
-        for n, fm in fitted.items()]).withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
-    io.write_roc(M.roc_points(M.curve(scored)), f"{out}/metrics")
+    io.write_roc(M.roc_points(M.curve(scored)), metrics, f"{out}/metrics")
     io.write_confusion(M.confusion_long(scored), f"{out}/metrics")
-    io.write_best_meta(metrics, fitted[best].feature_names, train.count(), test.count(), f"{out}/metrics")
+    io.write_best_meta(metrics.drop("rank", "is_best"), fitted[best].feature_names, train.count(), test.count(), f"{out}/metrics")
     try:  # E8: attribution failure must not fail training
         fm = fitted[best]
         sample = K.hash_sample(test, a.key, 2000)
-        X = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), keep=[a.key, "label"]),
+        x = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), keep=[a.key, "label"]),
                        fm.feature_names, [a.key, "label"])
-        if hasattr(fm.model, "trees") or hasattr(fm.model, "_call_java") and "Tree" in type(fm.model).__name__:
-            table = tree_attribution(fm.model, X, a.key, fm.feature_names, method="shap")   # E4
-        else:
-            table = permutation_importance(fm.model, X, a.key, fm.feature_names)             # E5
-        io.write_table(table, f"{out}/attribution")
+        io.write_table(permutation_importance(fm.model, x, a.key, fm.feature_names), f"{out}/attribution")   # E5
     except Exception as exc:
         print(f"attribution skipped: {type(exc).__name__}: {exc}")
 
 
 def cmd_score(spark, a):
     from .functions.url import with_url_features
-    from .operators.score import with_verdict
+    from .operators import score as S
+    from .session import written
     from .sources import io
-    urls = io.read_urls(spark, a.input, "csv" if a.input.endswith(".csv") else "parquet")
-    urls = urls.withColumn("__row", F.monotonically_increasing_id())
+    out = a.output.rstrip("/")
+    urls = io.require_columns(_read(spark, a, f"{out}_rejected"), ["url"])
     fm = io.load_model(spark, a.model_dir)
-    feats = with_url_features(urls.select("__row", "url"), "url")
-    scored = with_verdict(fm.score(feats, ["__row"])).select("__row", "verdict", "probability", "risk_score")
-    io.write_predictions(urls.join(scored, "__row").drop("__row"), a.output, a.format)
+    # the input columns travel as one struct, so none can clash with a feature
+    feats = with_url_features(urls.select(F.struct("*").alias("__in"), "url"), "url")
+    scored = written(S.with_verdict(fm.score(feats, ["__in"])))
+    added = [c for c in ("verdict", "probability", "risk_score") if c not in urls.columns]
+    io.write_predictions(scored.select("__in.*", *added), a.output, a.format)
+    io.write_table(S.batch_kpis(scored), f"{out}_summary/kpis")                   # G13
+    io.write_table(S.score_histogram(scored), f"{out}_summary/histogram")         # G12
 
 
 def cmd_eda(spark, a):
     from .functions.url import NUMERIC_FEATURES
     from .operators import eda
+    from .session import written
     from .sources import io
-    df = _read(spark, a.input)
-    feats = [c for c in NUMERIC_FEATURES if c in df.columns]
     out = a.output_dir.rstrip("/")
+    df = written(_read(spark, a, f"{out}/rejected"))
+    feats = [c for c in NUMERIC_FEATURES if c in df.columns]
+    io.write_table(eda.dataset_kpis(df, feats), f"{out}/kpis")
     io.write_table(eda.class_balance(df), f"{out}/class_balance")
+    if "tld" in df.columns:
+        top = df.groupBy("tld").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc("tld")).limit(20)
+        io.write_table(top, f"{out}/top_tlds")
     io.write_table(eda.correlation_matrix(df, feats + ["label"]), f"{out}/corr_matrix")
+    io.write_table(eda.label_correlation(df, feats), f"{out}/label_correlation")
     io.write_table(eda.class_means(df, feats), f"{out}/class_means")
     io.write_table(eda.describe(df, feats), f"{out}/describe")
-    io.write_table(eda.histogram(df, feats, bins=60), f"{out}/histogram")
+    io.write_table(eda.histogram(df, feats, bins=60, density=True), f"{out}/histogram")
     io.write_table(eda.box_stats(df, feats), f"{out}/box")
     io.write_table(eda.null_profile(df), f"{out}/null_profile")
 
 
+def cmd_report(spark, a):
+    """Comparison, bars and model card from the artifacts of a training run; nothing is scored again."""
+    from .operators import metrics as M
+    from .sources import io
+    src, out = a.input.rstrip("/"), a.output_dir.rstrip("/")
+    metrics = io.read_artifact(spark, f"{src}/model_comparison_json", "json")
+    if metrics is None:
+        raise ValueError(f"no model comparison in {src}")
+    metrics = metrics.drop("rank", "is_best")
+    io.write_table(M.metric_report(metrics), f"{out}/comparison")
+    io.write_table(M.metric_bars(metrics), f"{out}/bars")
+    card = metrics.select("model", "roc_auc", "accuracy", "tp", "fp", "tn", "fn")
+    for name, column in (("roc_curves", "n_roc_points"), ("confusion", "n_confusion_cells")):
+        table = io.read_artifact(spark, f"{src}/{name}")
+        if table is not None:
+            card = card.join(table.groupBy("model").agg(F.count(F.lit(1)).alias(column)), "model", "left")
+    io.write_table(card, f"{out}/card")
+
+
 def main(argv=None):
     p = argparse.ArgumentParser(prog="urlsight")
+    p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
-    f = sub.add_parser("features")
-    f.add_argument("--input", required=True)
-    f.add_argument("--output", required=True)
-    f.add_argument("--url-col", default="url")
-    f.add_argument("--format", default="parquet")
-    t = sub.add_parser("train")
-    t.add_argument("--input", required=True)
-    t.add_argument("--output-dir", required=True)
-    t.add_argument("--preset", default="reference", choices=["reference", "smoke"])
-    t.add_argument("--models", nargs="*", default=None)
-    t.add_argument("--key", default="row_id")
-    s = sub.add_parser("score")
-    s.add_argument("--input", required=True)
-    s.add_argument("--model-dir", required=True)
-    s.add_argument("--output", required=True)
-    s.add_argument("--format", default="csv")
-    e = sub.add_parser("eda")
-    e.add_argument("--input", required=True)
-    e.add_argument("--output-dir", required=True)
+    jobs = {name: sub.add_parser(name) for name in ("features", "train", "score", "eda", "report")}
+    for name, job in jobs.items():
+        job.add_argument("--input", required=True)
+        job.add_argument("--input-format", default=None, choices=["csv", "json", "parquet"])
+        job.add_argument("--output" if name in ("features", "score") else "--output-dir", required=True)
+    jobs["features"].add_argument("--url-col", default="url")
+    jobs["features"].add_argument("--format", default="parquet")
+    jobs["train"].add_argument("--preset", default="reference", choices=["reference", "smoke"])
+    jobs["train"].add_argument("--models", nargs="*", default=None)
+    jobs["train"].add_argument("--key", default="row_id")
+    jobs["score"].add_argument("--model-dir", required=True)
+    jobs["score"].add_argument("--format", default="csv")
     a = p.parse_args(argv)
-    import os
 
-    from .session import ensure_checkpoint_dir, local_session
-    if os.environ.get("SPARK_ENV_LOADED") or os.environ.get("SPARK_SUBMIT_OPTS"):
-        spark = SparkSession.builder.appName(f"urlsight-{a.cmd}").getOrCreate()   # spark-submit: cluster config
-    else:
-        spark = local_session(os.environ.get("URLSIGHT_CPUS", "*"), app=f"urlsight-{a.cmd}")
+    from .session import ensure_checkpoint_dir
+    builder = SparkSession.builder.appName(f"urlsight-{a.cmd}")
+    spark = (builder.master(a.master) if a.master else builder).getOrCreate()
     ensure_checkpoint_dir(spark)
-    {"features": cmd_features, "train": cmd_train, "score": cmd_score, "eda": cmd_eda}[a.cmd](spark, a)
+    {"features": cmd_features, "train": cmd_train, "score": cmd_score, "eda": cmd_eda, "report": cmd_report}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

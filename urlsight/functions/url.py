@@ -26,8 +26,6 @@ DOUBLE_FEATURES = ["letter_ratio", "digit_ratio", "spec_ratio", "entropy"]
 # that qualify (e.g. co.uk, gov.au).
 TWO_LABEL_SUFFIXES = ["uk", "au", "jp", "nz", "za"]
 SECOND_LEVEL_LABELS = ["co", "com", "org", "ac", "gov", "edu", "net", "nhs"]
-# Characters that are neither alphanumeric nor counted as "special".
-NON_SPECIAL_DELIMITERS = "/?=#&.-_:"
 # Single characters counted one by one.
 CHAR_COUNTS = {"eq_cnt": "=", "qm_cnt": "?", "amp_cnt": "&", "dot_cnt": ".",
                "dash_cnt": "-", "under_cnt": "_", "slash_cnt": "/"}
@@ -66,6 +64,19 @@ def _non_decimal_digits() -> str:
     return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
 
 
+def _nfkc_delimiters() -> str:
+    """Regex class body of the characters whose NFKC form holds a URL delimiter (a netloc
+    with one of them would split differently after normalisation), by rule."""
+    import unicodedata
+    found = [c for c in map(chr, range(0x80, 0x10000)) if not "\ud800" <= c <= "\udfff"
+             and any(d in unicodedata.normalize("NFKC", c) for d in "/?#@:")]
+    return "".join(f"\\x{{{ord(c):x}}}" for c in found)
+
+
+NFKC_DELIMITERS = _nfkc_delimiters()
+# A bracketed host: an IPv6 address (hexadecimal groups, at least two colons,
+# perhaps an IPv4 tail and a zone) or a later version's literal.
+IP_LITERAL = r"^\[(?:(?=(?:[^\]]*:){2})[0-9a-fA-F:]+(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3})?(?:%[^\]]+)?|[vV][0-9a-fA-F]+\.[^\]]+)\](?::[^\]]*)?\z"
 # Characters counted as digits: decimal digits plus the other isdigit() characters.
 EXTRA_DIGIT_CLASS_BODY = _non_decimal_digits()   # all of them are in \p{No}
 DIGIT_CLASS_BODY = r"\p{Nd}" + EXTRA_DIGIT_CLASS_BODY
@@ -112,30 +123,8 @@ def shannon_entropy(s: Column, n: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(F.bround(ent, ROUND_DIGITS) + F.lit(0.0))
 
 
-def _entropy_batch(texts):
-    """Entropy of each text in an Arrow batch (code points, first-occurrence order)."""
-    import math
-
-    import numpy as np
-    import pandas as pd
-
-    out = np.zeros(len(texts), dtype="float64")
-    for i, t in enumerate(texts):
-        if not t:
-            continue
-        cps = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
-        _, first, counts = np.unique(cps, return_index=True, return_counts=True)
-        n = len(cps)
-        acc = 0.0
-        for c in counts[np.argsort(first, kind="stable")]:
-            p = c / n
-            acc += p * math.log2(p)
-        out[i] = round(-acc, ROUND_DIGITS) + 0.0
-    return pd.Series(out)
-
-
 def text_entropy(s: Column) -> Column:
-    """Entropy for long texts: Arrow-batched pandas UDF, O(len log len) per text.
+    """Entropy for long texts: Arrow-batched pandas UDF, one counting pass per text.
 
     The column-expression version costs O(len x distinct chars) string
     rewrites per row, which dominates on multi-kilobyte documents; URLs keep
@@ -176,8 +165,10 @@ def _parse_layer(u: Column) -> dict[str, Column]:
     path = F.regexp_replace(
         F.regexp_extract(raw, r"^[a-z]+://[^/?#]*([^?#]*)", 1), F.lit(r";[^/]*\z"), F.lit(""))
     query = F.regexp_extract(raw, r"^[^?#]*\?([^#]*)", 1)
-    # Q10: urllib raises on unbalanced brackets; we keep the row and flag it.
-    bad = F.when(netloc.contains("[") != netloc.contains("]"), F.lit("invalid_ipv6_netloc"))
+    # Q10: a standard URL parser rejects these hosts; we keep the row and flag it.
+    bad = (F.when(netloc.contains("[") != netloc.contains("]"), F.lit("invalid_ipv6_netloc"))
+           .when(netloc.contains("[") & ~hostinfo.rlike(IP_LITERAL), F.lit("invalid_ip_literal"))
+           .when(netloc.rlike(f"[{NFKC_DELIMITERS}]"), F.lit("netloc_changes_under_nfkc")))
     return {
         "_host": host, "_path": path, "_query": query,
         "is_https": r0.startswith("https://").cast("int"),

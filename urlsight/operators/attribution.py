@@ -1,215 +1,16 @@
-"""Model attribution (E4, E5): tree path attribution, exact TreeSHAP and permutation importance.
-
-Both run on a bounded row sample (the reference explains a 2,000-row
-sample): the sample is drawn with the hash top-k (K2), so its size is fixed
-whatever the table size, and all per-row work is distributed over it.
-
-* Tree path attribution: the fitted Spark trees are flattened into small
-  node arrays (size set by the model, not the data) that travel with the
-  ``mapInPandas`` closure; every task walks its rows through all trees with
-  NumPy, level by level, and credits each split feature with the change of
-  the node value along the path. Per row: bias + sum(attributions) equals
-  the model margin. ``method='shap'`` runs exact TreeSHAP (path-dependent,
-  polynomial-time) on the same flattened arrays inside the same tasks.
-* Permutation importance: one scored copy of the sample per feature, with
-  that feature taken from a hash-paired donor row; the ROC-AUC drop per
-  feature comes from the same bucketed metric code as everything else.
-"""
+"""Model attribution by permutation importance (E5)."""
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .metrics import auc_metrics, curve, log_loss
+from .score import class_scores
 from .split import hash_order
 
 
-def _flatten_tree(root, classification: bool) -> dict[str, np.ndarray]:
-    """Node arrays of one Spark tree (pre-order): feature, threshold, children, value."""
-    feats, thr, left, right, val, cover = [], [], [], [], [], []
-
-    def node_cover(node):
-        stats = list(node.impurityStats().stats())
-        # classification: weighted class counts; regression: [weight, sum, sum of squares]
-        return float(sum(stats)) if classification else float(stats[0])
-
-    def node_value(node):
-        if classification:
-            stats = list(node.impurityStats().stats())
-            tot = sum(stats)
-            return stats[1] / tot if tot > 0 and len(stats) > 1 else float(node.prediction())
-        return float(node.prediction())
-
-    stack = [(root, -1, 0)]
-    while stack:
-        node, parent, side = stack.pop()
-        idx = len(feats)
-        if parent >= 0:
-            (left if side == 0 else right)[parent] = idx
-        val.append(node_value(node))
-        cover.append(node_cover(node))
-        if node.getClass().getSimpleName() == "InternalNode":
-            split = node.split()
-            feats.append(int(split.featureIndex()))
-            thr.append(float(split.threshold()) if split.getClass().getSimpleName() == "ContinuousSplit"
-                       else float("nan"))
-            left.append(-1)
-            right.append(-1)
-            stack.append((node.rightChild(), idx, 1))
-            stack.append((node.leftChild(), idx, 0))
-        else:
-            feats.append(-1)
-            thr.append(0.0)
-            left.append(-1)
-            right.append(-1)
-    return {"feature": np.array(feats), "threshold": np.array(thr), "left": np.array(left),
-            "right": np.array(right), "value": np.array(val), "cover": np.array(cover)}
-
-
-def flatten_ensemble(model) -> tuple[list[dict], list[float], str]:
-    """(trees, weights, kind) for RandomForest / GBT / single-tree Spark models."""
-    name = type(model).__name__
-    classification = name.startswith("RandomForestClassification") or name.startswith("DecisionTreeClassification")
-    if hasattr(model, "trees"):
-        trees = [_flatten_tree(t._call_java("rootNode"), classification) for t in model.trees]
-        weights = list(model.treeWeights)
-    else:
-        trees, weights = [_flatten_tree(model._call_java("rootNode"), classification)], [1.0]
-    if name.startswith("RandomForest"):
-        weights = [w / sum(weights) for w in weights]   # forests average their trees
-        kind = "probability"
-    elif name.startswith("GBT"):
-        kind = "margin"
-    else:
-        kind = "probability" if classification else "margin"
-    return trees, weights, kind
-
-
-def path_attribution_batch(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Per-row, per-feature attributions and bias for a batch (vectorised over rows)."""
-    n, k = X.shape
-    contrib = np.zeros((n, k))
-    bias = np.zeros(n)
-    rows = np.arange(n)
-    for t, w in zip(trees, weights):
-        node = np.zeros(n, dtype=np.int64)
-        bias += w * t["value"][0]
-        active = t["feature"][node] >= 0
-        while active.any():
-            r = rows[active]
-            nd = node[active]
-            f = t["feature"][nd]
-            go_left = X[r, f] <= t["threshold"][nd]
-            child = np.where(go_left, t["left"][nd], t["right"][nd])
-            np.add.at(contrib, (r, f), w * (t["value"][child] - t["value"][nd]))
-            node[r] = child
-            active = t["feature"][node] >= 0
-    return contrib, bias
-
-
-def _tree_shap_row(x, t, phi, weight):
-    """Exact TreeSHAP for one row and one tree (path-dependent expectations,
-    polynomial algorithm of Lundberg et al., 2018). Adds into ``phi``."""
-    feature, thr, left, right, value, cover = (t["feature"], t["threshold"], t["left"], t["right"],
-                                               t["value"], t["cover"])
-
-    def extend(m, pz, po, pi):
-        m = [list(e) for e in m]
-        depth = len(m)
-        m.append([pi, pz, po, 1.0 if depth == 0 else 0.0])
-        for i in range(depth - 1, -1, -1):
-            m[i + 1][3] += po * m[i][3] * (i + 1) / (depth + 1)
-            m[i][3] = pz * m[i][3] * (depth - i) / (depth + 1)
-        return m
-
-    def unwind(m, i):
-        m = [list(e) for e in m]
-        depth = len(m) - 1
-        n = m[depth][3]
-        zi, oi = m[i][1], m[i][2]
-        for j in range(depth - 1, -1, -1):
-            if oi != 0:
-                tmp = m[j][3]
-                m[j][3] = n * (depth + 1) / ((j + 1) * oi)
-                n = tmp - m[j][3] * zi * (depth - j) / (depth + 1)
-            else:
-                m[j][3] = m[j][3] * (depth + 1) / (zi * (depth - j))
-        for j in range(i, depth):
-            m[j][0], m[j][1], m[j][2] = m[j + 1][0], m[j + 1][1], m[j + 1][2]
-        m.pop()
-        return m
-
-    def unwound_sum(m, i):
-        return sum(e[3] for e in unwind(m, i))
-
-    def recurse(j, m, pz, po, pi):
-        m = extend(m, pz, po, pi)
-        if feature[j] < 0:
-            for i in range(1, len(m)):
-                phi[m[i][0]] += weight * unwound_sum(m, i) * (m[i][2] - m[i][1]) * value[j]
-            return
-        d = feature[j]
-        hot, cold = (left[j], right[j]) if x[d] <= thr[j] else (right[j], left[j])
-        iz = io = 1.0
-        k = next((i for i in range(1, len(m)) if m[i][0] == d), None)
-        if k is not None:
-            iz, io = m[k][1], m[k][2]
-            m = unwind(m, k)
-        rj = cover[j]
-        recurse(hot, m, iz * cover[hot] / rj if rj else 0.0, io, d)
-        recurse(cold, m, iz * cover[cold] / rj if rj else 0.0, 0.0, d)
-
-    recurse(0, [], 1.0, 1.0, -1)
-
-
-def tree_shap_batch(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Exact TreeSHAP values and expected value for a batch of rows."""
-    n, k = X.shape
-    phi = np.zeros((n, k))
-    bias = np.zeros(n)
-    for t, w in zip(trees, weights):
-        root = float(np.dot(t["value"][t["feature"] < 0], t["cover"][t["feature"] < 0]) / t["cover"][0]) \
-            if t["cover"][0] else float(t["value"][0])
-        bias += w * root
-        for r in range(n):
-            _tree_shap_row(X[r], t, phi[r], w)
-    return phi, bias
-
-
-def tree_attribution(model, assembled: DataFrame, key: str, feature_names: list[str],
-                     method: str = "path") -> DataFrame:
-    """Long table (row_id, feature, value, attribution) plus a ``__bias__``
-    row per id, for the rows of ``assembled`` (key + ``features`` vector).
-    ``method='path'``: per-split value changes along the decision path;
-    ``method='shap'``: exact TreeSHAP (bias = cover-weighted mean leaf value).
-
-    The flattened ensemble (bounded by the model) is shipped to the tasks
-    inside the closure; rows never leave their partition.
-    """
-    trees, weights, _ = flatten_ensemble(model)
-    k = len(feature_names)
-    names = list(feature_names)
-
-    def attribute(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(pdf) else np.zeros((0, k))
-            batch_fn = tree_shap_batch if method == "shap" else path_attribution_batch
-            contrib, bias = batch_fn(X, trees, weights)
-            ids = np.repeat(pdf[key].to_numpy(), k + 1)
-            feats = np.tile(np.array(names + ["__bias__"], dtype=object), len(pdf))
-            vals = np.hstack([X, np.full((len(pdf), 1), np.nan)]).ravel()
-            attr = np.hstack([contrib, bias[:, None]]).ravel()
-            yield pd.DataFrame({"row_id": ids, "feature": feats, "value": vals, "attribution": attr})
-
-    src = assembled.select(F.col(key).cast("long").alias(key), vector_to_array("features").alias("x"))
-    return src.mapInPandas(attribute, "row_id long, feature string, value double, attribution double")
-
-
 def permutation_importance(model, assembled: DataFrame, key: str, feature_names: list[str],
                            label_col: str = "label", seed: int = 42) -> DataFrame:
     """E5: ROC-AUC and log-loss increase when one feature is replaced by the
@@ -225,16 +26,15 @@ def permutation_importance(model, assembled: DataFrame, key: str, feature_names:
     paired = by_key.join(by_hash, "_r").drop("_r")
     k = len(feature_names)
     names = F.array(*[F.lit(n) for n in feature_names])
-    copies = paired.select(key, "y", "x", "xd", F.explode(F.sequence(F.lit(-1), F.lit(k - 1))).alias("j"))
+    # one task for each feature: the sample itself comes out of its top-k in one partition
+    copies = paired.select(key, "y", "x", "xd", F.explode(F.sequence(F.lit(-1), F.lit(k - 1))).alias("j")).repartition(k + 1, "j")
     xj = F.transform(F.col("x"), lambda v, i: F.when(i == F.col("j"), F.col("xd")[i]).otherwise(v))
     feats = copies.select(key, "y", F.when(F.col("j") < 0, F.lit("__baseline__"))
                           .otherwise(F.element_at(names, F.col("j") + 1)).alias("model"),
                           array_to_vector(xj).alias("features"))
-    pred = model.transform(feats)
-    col = "probability" if "probability" in pred.columns else "rawPrediction"
-    scored = pred.select("model", "y", vector_to_array(col)[1].alias("p")).withColumn(
-        "yhat", (F.col("p") >= 0.5).cast("int"))
-    m = auc_metrics(curve(scored)).join(log_loss(scored), "model")
+    pred = class_scores(model.transform(feats))
+    scored = written(pred.select("model", "y", F.coalesce("p", "margin").alias("p"), F.col("p").isNotNull().alias("has_p")))
+    m = auc_metrics(curve(scored)).join(log_loss(scored.where("has_p")), "model", "left")
     basel = m.where(F.col("model") == "__baseline__").select(
         F.col("roc_auc").alias("_auc0"), F.col("log_loss").alias("_ll0"))
     return m.where(F.col("model") != "__baseline__").crossJoin(F.broadcast(basel)).select(

@@ -39,6 +39,7 @@ SECURITY_TIPS = {
     "spec_ratio": "High special-character ratio — encoded payloads and obfuscation.",
 }
 DEFAULT_TIP = "Unusual value in '{feature}' — review before trusting this site."
+SENTENCE = ("{display}", " · value signal ", "{score}", " — ", "{tip}")   # the parts of one sentence
 NO_SIGNAL_TEXT = "No single dominant signal — the URL closely matches legitimate patterns."
 # ---------------------------------------------------------------------------
 
@@ -51,14 +52,9 @@ def contribution_score(name: str, value: Column) -> Column | None:
     return F.abs(value).cast("double")
 
 
-def top_contributions(encoded: DataFrame, feature_names: list[str], key: str, k: int = TOP_K,
-                      min_score: float = MIN_SCORE) -> DataFrame:
-    """Per row, the ``k`` largest contributions (stable:
-    ties keep column order), then drop scores below ``min_score``.
-
-    Ranked inside each row with ``sort_array`` on structs: no shuffle.
-    Output: key, rank, feature, display, value, score.
-    """
+def ranked_contributions(feature_names: list[str], k: int = TOP_K, min_score: float = MIN_SCORE) -> Column:
+    """The ``k`` largest contributions of a row (ties keep column order),
+    without those below ``min_score``; ranked inside the row, no shuffle."""
     items = []
     for pos, name in enumerate(feature_names):
         v = qcol(name).cast("double")
@@ -66,14 +62,36 @@ def top_contributions(encoded: DataFrame, feature_names: list[str], key: str, k:
         items.append(F.struct(s.alias("score"), F.lit(-pos).alias("neg_pos"),
                               F.lit(name).alias("feature"), v.alias("value")))
     arr = F.filter(F.array(*items), lambda x: x["score"].isNotNull())
-    top = F.slice(F.sort_array(arr, asc=False), 1, k)
-    kept = F.filter(top, lambda x: x["score"] >= F.lit(min_score))
-    rows = encoded.select(key, F.posexplode(kept).alias("i", "c"))
+    return F.filter(F.slice(F.sort_array(arr, asc=False), 1, k), lambda x: x["score"] >= F.lit(min_score))
+
+
+def top_contributions(encoded: DataFrame, feature_names: list[str], key: str, k: int = TOP_K,
+                      min_score: float = MIN_SCORE) -> DataFrame:
+    """The ranked contributions in long form: key, rank, feature, display, value, score."""
+    rows = encoded.select(key, F.posexplode(ranked_contributions(feature_names, k, min_score)).alias("i", "c"))
     return rows.select(key, (F.col("i") + 1).cast("long").alias("rank"), F.col("c.feature").alias("feature"),
                        display_name(F.col("c.feature")).alias("display"), F.col("c.value").alias("value"),
                        F.col("c.score").alias("score"))
 
 
+def tip_of(feature: Column, value: Column) -> Column:
+    """The tip of a contribution from a literal map; the HTTPS tip only without HTTPS (Q16)."""
+    tips = F.create_map(*[F.lit(x) for item in SECURITY_TIPS.items() for x in item])
+    found = F.when((feature == "is_https") & (value == 1), F.lit(None).cast("string")).otherwise(F.try_element_at(tips, feature))
+    return F.coalesce(found, F.replace(F.lit(DEFAULT_TIP), F.lit("{feature}"), feature))
+
+
+def explained(scored: DataFrame, feature_names: list[str]) -> DataFrame:
+    """E1-E3 for rows that carry their features: top trigger and sentence list as columns, all inside the row."""
+    def sentence(c: Column) -> Column:
+        parts = {"{display}": display_name(c["feature"]), "{score}": F.format_string("%.2f", c["score"]), "{tip}": tip_of(c["feature"], c["value"])}
+        return F.concat(*[parts.get(x, F.lit(x)) for x in SENTENCE])
+
+    top = scored.withColumn("__top", ranked_contributions(feature_names))
+    text = F.when(F.size("__top") == 0, F.array(F.lit(NO_SIGNAL_TEXT))).otherwise(F.transform("__top", sentence))
+    return top.withColumns({"top_trigger": display_name(F.get("__top", F.lit(0))["feature"]), "explanation": text}).drop("__top")
+
+
 def tips_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SECURITY_TIPS.items()), "feature string, tip string")
 
@@ -89,17 +107,6 @@ def with_tips(contribs: DataFrame, spark: SparkSession) -> DataFrame:
     return j.withColumn("tip", F.coalesce(F.col("tip"), default)).drop("tip_feature")
 
 
-def explanation_text(tipped: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """One sentence list per row, in rank order; a default sentence for
-    rows without any explained contribution. Groups hold at most TOP_K rows."""
-    item = F.concat(F.col("display"), F.lit(" · value signal "), F.format_string("%.2f", F.col("score")),
-                    F.lit(" — "), F.col("tip"))
-    per = tipped.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", item.alias("t")))).alias("items"))
-    per = per.select(key, F.transform("items", lambda x: x["t"]).alias("explanation"))
-    return keys.select(key).join(per, key, "left").select(
-        key, F.coalesce("explanation", F.array(F.lit(NO_SIGNAL_TEXT))).alias("explanation"))
-
-
 def linear_attribution(df: DataFrame, key: str, features: list[str], coef: dict[str, Column] | None = None,
                        label_col: str = "label") -> DataFrame:
     """E5: exact attribution of a linear model on standardized inputs,

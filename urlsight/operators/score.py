@@ -23,8 +23,8 @@ RECOMMENDATION_SAFE = ("This URL appears legitimate. Always remain cautious and
 
 
 def verdict(p: Column, threshold: float = THRESHOLD) -> Column:
-    """P11: 'phishing' when p >= threshold (inclusive), else 'safe'."""
-    return F.when(p >= F.lit(threshold), F.lit(VERDICT_PHISHING)).otherwise(F.lit(VERDICT_SAFE))
+    """P11: 'phishing' when p >= threshold (inclusive), 'safe' below it, NULL without a probability."""
+    return F.when(p >= F.lit(threshold), F.lit(VERDICT_PHISHING)).when(p < F.lit(threshold), F.lit(VERDICT_SAFE))
 
 
 def probability_pct(p: Column) -> Column:
@@ -39,35 +39,44 @@ def risk_score(p: Column) -> Column:
 
 def gauge_position(p: Column) -> Column:
     """Risk score clamped to 0..100."""
-    return F.greatest(F.lit(0), F.least(F.lit(100), risk_score(p)))
+    return F.when(p.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), risk_score(p))))
 
 
 def risk_band(p: Column, low: float = LOW_BAND_BELOW, medium: float = MEDIUM_BAND_BELOW) -> Column:
-    """Low / medium / high."""
-    return F.when(p < F.lit(low), F.lit("low")).when(p < F.lit(medium), F.lit("medium")).otherwise(F.lit("high"))
+    """Low / medium / high, NULL without a probability."""
+    return F.when(p < F.lit(low), F.lit("low")).when(p < F.lit(medium), F.lit("medium")).when(p.isNotNull(), F.lit("high"))
 
 
 def recommendation(v: Column) -> Column:
-    """Advice text per verdict."""
-    return F.when(v == F.lit(VERDICT_PHISHING), F.lit(RECOMMENDATION_PHISHING)).otherwise(F.lit(RECOMMENDATION_SAFE))
+    """Advice text per verdict, NULL without one."""
+    return F.when(v == F.lit(VERDICT_PHISHING), F.lit(RECOMMENDATION_PHISHING)).when(v.isNotNull(), F.lit(RECOMMENDATION_SAFE))
 
 
 def with_verdict(df: DataFrame, p_col: str = "p", threshold: float = THRESHOLD) -> DataFrame:
-    """P11-P14 + E3 as extra columns."""
+    """P11-P14 + E3 as extra columns.
+
+    Rows without a probability get the verdict of the model's ``prediction``, if
+    there is one, and no percent, risk score or band.
+    """
     p = F.col(p_col)
     v = verdict(p, threshold)
+    if "prediction" in df.columns:
+        v = F.coalesce(v, F.when(F.col("prediction") == 1, F.lit(VERDICT_PHISHING)).when(F.col("prediction") == 0, F.lit(VERDICT_SAFE)))
     return df.select("*", v.alias("verdict"), probability_pct(p).alias("probability"),
                      risk_score(p).alias("risk_score"), gauge_position(p).alias("gauge_position"),
                      risk_band(p).alias("risk_band"), (1 - p).alias("p_safe"), p.alias("p_phishing"),
                      recommendation(v).alias("recommendation"))
 
 
-def positive_probability(pred: DataFrame, out_col: str = "p") -> DataFrame:
-    """V1/V4: class-1 probability from a fitted model's output; models
-    without a probability column fall back to the raw margin."""
-    if "probability" in pred.columns:
-        return pred.withColumn(out_col, vector_to_array("probability")[1])
-    return pred.withColumn(out_col, vector_to_array("rawPrediction")[1])
+def class_scores(pred: DataFrame) -> DataFrame:
+    """V1/V4: ``p``, the class-1 probability of a fitted model's output, and ``margin``, its ranking score.
+
+    A model without probabilities has ``p`` NULL: its raw margin is no
+    probability, and its class is ``prediction``, never a threshold on the margin.
+    """
+    raw = vector_to_array("rawPrediction")[1] if "rawPrediction" in pred.columns else F.lit(None).cast("double")
+    p = vector_to_array("probability")[1] if "probability" in pred.columns else F.lit(None).cast("double")
+    return pred.withColumn("p", p).withColumn("margin", raw)
 
 
 def batch_kpis(scored: DataFrame, p_col: str = "p", threshold: float = THRESHOLD) -> DataFrame:
@@ -75,7 +84,7 @@ def batch_kpis(scored: DataFrame, p_col: str = "p", threshold: float = THRESHOLD
     p = F.col(p_col)
     n = F.count(F.lit(1))
     n_ph = F.count_if(p >= F.lit(threshold))
-    n_safe = F.count_if(p < F.lit(threshold))
+    n_safe = F.count_if(p < F.lit(threshold))  # rows without a probability are in n alone
     return scored.agg(
         n.alias("n"), n_ph.alias("n_phishing"), n_safe.alias("n_safe"),
         F.round(F.try_divide(n_ph * 100.0, n), 6).alias("pct_phishing"),

@@ -1,40 +1,55 @@
 """Class weights and the distributed classifier zoo.
 
-Each reference model maps to a ``pyspark.ml`` estimator (or, for AdaBoost,
-a DataFrame loop over ``pyspark.ml`` stumps). Two presets: ``reference``
-(the reference's settings) and ``smoke`` (at most 10 rounds/trees, for
-tests and the registered checks). The assembled training table is
-persisted once and shared by every model.
+Each reference model maps to a ``pyspark.ml`` estimator (AdaBoost and extra
+trees: loops over ``pyspark.ml`` trees). Two presets: ``reference`` (the
+reference's settings, the default) and ``smoke`` (at most 10 rounds/trees, for
+unit tests). The assembled training table is written once to the shared folder
+and read by every model; nothing is cached on executors here.
 """
 from __future__ import annotations
 
+import json
 import math
 import time
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from .encode import TldVocab, qcol
 from .metrics import class_metrics_from_counts, confusion_counts, auc_metrics, curve, log_loss
 
-# --- Fixed values that must equal the reference -----------------------------
+# --- Fixed values that must equal the reference: model settings --------------
 POS_WEIGHT = 100000 / 16600  # fixed positive-class weight of the XGBoost-style model
+RANDOM_FOREST = dict(numTrees=200, minInstancesPerNode=2, maxDepth=30)
+EXTRA_TREES = dict(numTrees=200, minInstancesPerNode=2, maxDepth=30)
+XGBOOST = dict(maxIter=300, maxDepth=8, stepSize=0.08, subsamplingRate=0.9, featureSubsetStrategy="0.9")
+LIGHTGBM = dict(maxIter=300, maxDepth=6, stepSize=0.08, subsamplingRate=0.9, featureSubsetStrategy="0.9")
+CATBOOST = dict(maxIter=300, maxDepth=8, stepSize=0.08)
+GRADIENT_BOOSTING = dict(maxIter=100, maxDepth=4, stepSize=0.1)
+HIST_GRADIENT_BOOSTING = dict(maxIter=400, maxDepth=6, stepSize=0.05, maxBins=255)
+ADABOOST = dict(rounds=200, learning_rate=0.5)
+BAGGING = dict(numTrees=30, minInstancesPerNode=1, maxDepth=30, featureSubsetStrategy="all")
+LOGISTIC_ITERATIONS = 500
+SEED = 42
 # ---------------------------------------------------------------------------
+ROWS_PER_TASK = 50_000   # of a training table
 
 
 def class_counts(df: DataFrame, label_col: str = "label") -> dict[int, int]:
-    """Per-class row counts (one row per class reaches the driver)."""
-    rows = df.groupBy(label_col).count().limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{label_col} has more than 1000 classes; class weights expect a class label")
-    return {int(r[0]): int(r[1]) for r in rows}
+    """Rows of class 0 and 1 (two rows reach the driver); any other label is an error."""
+    rows = df.select(F.when(F.col(label_col).isin(0, 1), F.col(label_col)).cast("int").alias("c")).groupBy("c").count().collect()
+    found = {r[0]: int(r[1]) for r in rows}
+    if None in found:
+        raise ValueError(f"{found[None]} row(s) have a {label_col} other than 0 and 1")
+    return found
 
 
 def balanced_weight(df: DataFrame, label_col: str = "label", counts: dict[int, int] | None = None) -> Column:
@@ -54,13 +69,8 @@ def pos_weight(label_col: str = "label") -> Column:
 
 
 def with_class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Both weight columns; class counts joined back from a one-row-per-class table."""
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__t"), F.count(F.lit(1)).alias("__k"))
-    w = F.broadcast(counts.crossJoin(total))
-    return df.join(w, label_col).withColumn(
-        "w_balanced", F.col("__t") / (F.col("__k") * F.col("__n"))).withColumn(
-        "w_pos", pos_weight(label_col)).drop("__n", "__t", "__k")
+    """Both weight columns, from the counts of the two classes."""
+    return df.withColumn("w_balanced", balanced_weight(df, label_col)).withColumn("w_pos", pos_weight(label_col))
 
 
 # ------------------------------------------------------------------ trainers
@@ -71,49 +81,39 @@ class Trainer:
     weighting: str | None                        # None | 'balanced' | 'pos'
 
 
-def _rf(preset, w, **kw):
-    base = dict(numTrees=200, minInstancesPerNode=2, maxDepth=30, seed=42)
-    base.update(kw)
-    if preset == "smoke":
-        base.update(numTrees=min(base["numTrees"], 10), maxDepth=min(base["maxDepth"], 8))
-    return RandomForestClassifier(weightCol=w, **base) if w else RandomForestClassifier(**base)
+def _small(preset: str, settings: dict) -> dict:
+    """The settings, or at most 10 trees/rounds of a small depth for unit tests."""
+    if preset != "smoke":
+        return settings
+    most = {"numTrees": 10, "maxIter": 10, "maxDepth": 5, "rounds": 5}
+    return {k: min(v, most[k]) if k in most else v for k, v in settings.items()}
 
 
-def _gbt(preset, w, **kw):
-    base = dict(seed=42)
-    base.update(kw)
-    if preset == "smoke":
-        base.update(maxIter=min(base.get("maxIter", 20), 10), maxDepth=min(base.get("maxDepth", 5), 5))
-    base.setdefault("checkpointInterval", 10)
-    return GBTClassifier(weightCol=w, **base) if w else GBTClassifier(**base)
+def _rf(preset, w, settings):
+    return RandomForestClassifier(seed=SEED, **({"weightCol": w} if w else {}), **_small(preset, settings))
+
+
+def _gbt(preset, w, settings):
+    return GBTClassifier(seed=SEED, checkpointInterval=10, **({"weightCol": w} if w else {}), **_small(preset, settings))
 
 
 def _logistic(preset, w):
-    iters = 500 if preset == "reference" else 10
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    kw = dict(featuresCol="scaled", maxIter=iters, standardization=False, regParam=0.0)
+    kw = dict(featuresCol="scaled", maxIter=10 if preset == "smoke" else LOGISTIC_ITERATIONS, standardization=False, regParam=0.0)
     lr = LogisticRegression(weightCol=w, **kw) if w else LogisticRegression(**kw)
     return Pipeline(stages=[scaler, lr])
 
 
 TRAINERS: dict[str, Trainer] = {
-    "RandomForest": Trainer("RandomForest", lambda p, w: _rf(p, w), "balanced"),
-    # No random-threshold splits in Spark: no bootstrap, sqrt features, coarse bins (approximation).
-    "ExtraTrees": Trainer("ExtraTrees", lambda p, w: _rf(p, w, bootstrap=False, featureSubsetStrategy="sqrt",
-                                                         maxBins=8), "balanced"),
-    "XGBoost": Trainer("XGBoost", lambda p, w: _gbt(p, w, maxIter=300, maxDepth=8, stepSize=0.08,
-                                                     subsamplingRate=0.9, featureSubsetStrategy="0.9"), "pos"),
-    "LightGBM": Trainer("LightGBM", lambda p, w: _gbt(p, w, maxIter=300, maxDepth=6, stepSize=0.08,
-                                                       subsamplingRate=0.9, featureSubsetStrategy="0.9"), "balanced"),
-    "CatBoost": Trainer("CatBoost", lambda p, w: _gbt(p, w, maxIter=300, maxDepth=8, stepSize=0.08), "balanced"),
-    "GradientBoosting": Trainer("GradientBoosting", lambda p, w: _gbt(p, w, maxIter=100, maxDepth=4,
-                                                                       stepSize=0.1), None),
-    "HistGradientBoosting": Trainer("HistGradientBoosting", lambda p, w: _gbt(p, w, maxIter=400, maxDepth=6,
-                                                                               stepSize=0.05, maxBins=255), "balanced"),
-    "AdaBoost": Trainer("AdaBoost", lambda p, w: AdaBoostStumps(rounds=200 if p == "reference" else 5,
-                                                                 learning_rate=0.5), None),
-    "Bagging": Trainer("Bagging", lambda p, w: _rf(p, w, numTrees=30, featureSubsetStrategy="all",
-                                                    minInstancesPerNode=1), None),
+    "RandomForest": Trainer("RandomForest", lambda p, w: _rf(p, w, RANDOM_FOREST), "balanced"),
+    "ExtraTrees": Trainer("ExtraTrees", lambda p, w: ExtraTrees(weight_col=w, **_small(p, EXTRA_TREES)), "balanced"),
+    "XGBoost": Trainer("XGBoost", lambda p, w: _gbt(p, w, XGBOOST), "pos"),
+    "LightGBM": Trainer("LightGBM", lambda p, w: _gbt(p, w, LIGHTGBM), "balanced"),
+    "CatBoost": Trainer("CatBoost", lambda p, w: _gbt(p, w, CATBOOST), "balanced"),
+    "GradientBoosting": Trainer("GradientBoosting", lambda p, w: _gbt(p, w, GRADIENT_BOOSTING), None),
+    "HistGradientBoosting": Trainer("HistGradientBoosting", lambda p, w: _gbt(p, w, HIST_GRADIENT_BOOSTING), "balanced"),
+    "AdaBoost": Trainer("AdaBoost", lambda p, w: AdaBoostStumps(**_small(p, ADABOOST)), None),
+    "Bagging": Trainer("Bagging", lambda p, w: _rf(p, w, BAGGING), None),
     "LogisticRegression": Trainer("LogisticRegression", lambda p, w: _logistic(p, w), "balanced"),
 }
 
@@ -141,13 +141,12 @@ class FittedModel:
     train_seconds: float
 
     def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """V1/V2: encode -> assemble -> model -> class-1 probability ``p``."""
+        """V1/V2/V4: encode -> assemble -> model -> ``p``, ``margin`` and the model's ``prediction``."""
         from .encode import encode
+        from .score import class_scores
         enc = encode(df, self.vocab_model.getVocabulary(), keep=keep)
-        X = assemble(enc, self.feature_names, keep)
-        pred = self.model.transform(X)
-        from .score import positive_probability
-        return positive_probability(pred).select(*keep, "p")
+        pred = self.model.transform(assemble(enc, self.feature_names, keep))
+        return class_scores(pred).select(*keep, "p", "margin", "prediction")
 
 
 def prepare(train: DataFrame, label_col: str = "label", top_n: int = 50):
@@ -157,14 +156,26 @@ def prepare(train: DataFrame, label_col: str = "label", top_n: int = 50):
     return vocab_model, names
 
 
-def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], preset: str = "smoke",
+def training_table(train: DataFrame, vocab_model, names: list[str], label_col: str = "label") -> DataFrame:
+    """The encoded, assembled training rows, written once: ``(label, features)``.
+
+    Iterative trainers scan it many times; a small table is read by few tasks,
+    since each pass costs a job.
+    """
+    from .encode import encode
+    enc = encode(train, vocab_model.getVocabulary(), keep=[label_col])
+    return sized(written(assemble(enc, names, [label_col]).select(F.col(label_col).cast("double").alias("label"), "features")))
+
+
+def sized(table: DataFrame) -> DataFrame:
+    """A written table in one task for every ``ROWS_PER_TASK`` rows at most."""
+    return table.coalesce(max(1, math.ceil(table.count() / ROWS_PER_TASK)))
+
+
+def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], preset: str = "reference",
             label_col: str = "label", assembled: DataFrame | None = None) -> FittedModel:
     """Fit one model; the wall time covers ``fit`` only (as in the reference)."""
-    from .encode import encode
-    if assembled is None:
-        enc = encode(train, vocab_model.getVocabulary(), keep=[label_col])
-        assembled = assemble(enc, names, [label_col])
-    data = assembled.withColumn("label", F.col(label_col).cast("double"))
+    data = training_table(train, vocab_model, names, label_col) if assembled is None else assembled
     w = None
     counts = class_counts(data, "label")
     if trainer.weighting == "balanced":
@@ -181,80 +192,151 @@ def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], p
         if trainer.weighting == "pos":
             total_w = counts.get(0, 0) + POS_WEIGHT * counts.get(1, 0)
         est.getStages()[1].setRegParam(1.0 / max(total_w, 1))
-    # Iterative trainers scan their input many times: materialise it once.
-    data = data.persist()
-    try:
-        data.count()
-        t0 = time.time()
-        model = est.fit(data)
-        elapsed = time.time() - t0
-    finally:
-        data.unpersist()
-    return FittedModel(trainer.name, vocab_model, names, model, elapsed)
-
-
-def evaluate(fitted: FittedModel, test: DataFrame, key: str, label_col: str = "label",
-             threshold: float = 0.5) -> DataFrame:
-    """V16 for one fitted model: metric row + train seconds."""
-    scored = fitted.score(test, [key, label_col]).select(
-        F.lit(fitted.name).alias("model"), F.col(label_col).cast("int").alias("y"), "p",
-        (F.col("p") >= threshold).cast("int").alias("yhat"))
+    t0 = time.time()
+    model = est.fit(data)
+    return FittedModel(trainer.name, vocab_model, names, model, time.time() - t0)
+
+
+def scored_rows(fitted: FittedModel, test: DataFrame, label_col: str = "label") -> DataFrame:
+    """A3 rows of one model on the test rows: the class is the model's own prediction.
+
+    A model without probabilities is ranked by its margin (``has_p`` false).
+    """
+    return fitted.score(test, [label_col]).select(
+        F.lit(fitted.name).alias("model"), F.col(label_col).cast("int").alias("y"), F.coalesce("p", "margin").alias("p"),
+        F.col("prediction").cast("int").alias("yhat"), F.col("p").isNotNull().alias("has_p"))
+
+
+def evaluate_scored(scored: DataFrame, train_seconds: dict[str, float]) -> DataFrame:
+    """V16 for scored rows of any number of models, with their train seconds; log loss NULL without probabilities."""
+    spark = scored.sparkSession
+    seconds = spark.createDataFrame([(k, round(v, 2)) for k, v in train_seconds.items()], "model string, train_seconds double")
     cm = class_metrics_from_counts(confusion_counts(scored))
     auc = auc_metrics(curve(scored))
-    return cm.join(auc, "model").join(log_loss(scored), "model").select(
+    ll = log_loss(scored.where("has_p"))
+    return cm.join(auc, "model").join(ll, "model", "left").join(seconds, "model").select(
         "model", "accuracy", "precision_phish", "recall_phish", "f1_phish", "roc_auc", "pr_auc", "mcc", "log_loss",
-        "tp", "fp", "tn", "fn", F.lit(round(fitted.train_seconds, 2)).alias("train_seconds"))
+        "tp", "fp", "tn", "fn", "train_seconds")
+
 
+def evaluate(fitted: FittedModel, test: DataFrame, label_col: str = "label") -> DataFrame:
+    """V16 for one fitted model: metric row + train seconds. The test rows are scored once."""
+    return evaluate_scored(written(scored_rows(fitted, test, label_col)), {fitted.name: fitted.train_seconds})
 
-def train_all(train: DataFrame, test: DataFrame, key: str, names: list[str] | None = None, preset: str = "smoke",
+
+class EveryModelFailed(RuntimeError):
+    """No model could be fitted; the message holds each model's error."""
+
+
+def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None, preset: str = "reference",
               label_col: str = "label"):
-    """Fit every trainer on one persisted assembled table; a failing
-    model is skipped and reported with its error (reference behaviour)."""
+    """Fit every trainer on one written table, score the test rows of each once.
+
+    A failing model is skipped and reported with its error (reference
+    behaviour); if all fail that is an error. Returns the fitted models, the
+    written scored rows of all of them, the metric rows and the failures.
+    """
+    from functools import reduce
     vocab_model, feat_names = prepare(train, label_col)
-    from .encode import encode
-    enc = encode(train, vocab_model.getVocabulary(), keep=[label_col])
-    assembled = assemble(enc, feat_names, [label_col]).persist()
-    fitted, rows, failures = {}, [], {}
-    try:
-        for name in (names or list(TRAINERS)):
-            try:
-                fm = fit_one(TRAINERS[name], train, vocab_model, feat_names, preset, label_col, assembled)
-            except Exception as exc:  # per-model failure isolation
-                failures[name] = f"{type(exc).__name__}: {exc}"[:500]
-                continue
-            fitted[name] = fm
-            rows.append(evaluate(fm, test, key, label_col))
-    finally:
-        assembled.unpersist()
-    return fitted, rows, failures
+    data = training_table(train, vocab_model, feat_names, label_col)
+    fitted, failures = {}, {}
+    for name in (names or list(TRAINERS)):
+        try:
+            fitted[name] = fit_one(TRAINERS[name], train, vocab_model, feat_names, preset, label_col, data)
+        except Exception as exc:  # per-model failure isolation
+            failures[name] = f"{type(exc).__name__}: {exc}"[:500]
+    if not fitted:
+        raise EveryModelFailed("; ".join(f"{n}: {e}" for n, e in failures.items()))
+    scored = written(reduce(DataFrame.unionByName, [scored_rows(fm, test, label_col) for fm in fitted.values()]))
+    return fitted, scored, evaluate_scored(scored, {n: fm.train_seconds for n, fm in fitted.items()}), failures
+
+
+# --------------------------------------------------------------- extra trees
+class ExtraTrees:
+    """M2: trees over random thresholds, an approximation of extremely randomised trees.
+
+    Spark's trees choose among fixed bin edges. Each group of trees gets edges
+    of its own, drawn uniformly between each feature's minimum and maximum, and
+    sees only which edges a value passes; without bootstrap, square root of the
+    features at each split.
+    """
+
+    EDGES = 15     # random thresholds of a feature in a group
+    GROUP = 10     # trees that share them
+
+    def __init__(self, weight_col: str | None, numTrees: int, minInstancesPerNode: int, maxDepth: int):
+        self.weight_col, self.trees = weight_col, numTrees
+        self.settings = dict(minInstancesPerNode=minInstancesPerNode, maxDepth=maxDepth, bootstrap=False,
+                             featureSubsetStrategy="sqrt", maxBins=self.EDGES + 1)
+        if weight_col:
+            self.settings["weightCol"] = weight_col
+
+    def fit(self, data: DataFrame) -> "ExtraTreesModel":
+        import random
+        from pyspark.ml.stat import Summarizer
+        low, high = data.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("s")).select("s.min", "s.max").first()
+        groups = []
+        for first in range(0, self.trees, self.GROUP):
+            rng = random.Random(SEED + first)
+            edges = [sorted(rng.uniform(a, b) for _ in range(self.EDGES)) for a, b in zip(low, high)]
+            forest = RandomForestClassifier(numTrees=min(self.GROUP, self.trees - first), seed=SEED + first, **self.settings)
+            groups.append((edges, forest.fit(passed(data, edges))))
+        return ExtraTreesModel(groups)
+
+
+def passed(df: DataFrame, edges: list[list[float]]) -> DataFrame:
+    """``df`` with each feature replaced by the number of its edges that it reaches."""
+    table = F.lit([[float(e) for e in row] for row in edges])
+    counts = F.transform(vector_to_array("features"), lambda v, i: F.size(F.filter(F.get(table, i), lambda e: e <= v)).cast("double"))
+    return df.withColumn("features", array_to_vector(counts))
+
+
+class ExtraTreesModel:
+    def __init__(self, groups: list[tuple]):
+        self.groups = groups
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Mean of the trees' class shares, as the forest's probability."""
+        out, total = df.withColumn("__given", F.col("features")), sum(m.getNumTrees for _, m in self.groups)
+        out = out.withColumn("__sum", F.lit(0.0))
+        for edges, model in self.groups:
+            part = model.transform(passed(out.withColumn("features", F.col("__given")), edges))
+            out = part.withColumn("__sum", F.col("__sum") + vector_to_array("probability")[1] * (model.getNumTrees / total)).drop(
+                "rawPrediction", "probability", "prediction")
+        p = F.col("__sum")
+        return (out.withColumn("features", F.col("__given")).withColumn("probability", array_to_vector(F.array(1 - p, p)))
+                .withColumn("prediction", (p > 0.5).cast("double")).drop("__given", "__sum"))
 
 
 # ------------------------------------------------------------------ AdaBoost
+# A stump that misses every label: its alpha is the log of a factor of all weights. (A constant in the
+# plan would make Spark compile new code each round; the table of stumps is data.)
+ALWAYS = (0, float("inf"), -1.0, -1.0)
+
+
 class AdaBoostStumps:
     """M8: discrete AdaBoost (SAMME, two classes) over depth-1 Spark trees.
 
-    Each round fits a weighted ``DecisionTreeClassifier(maxDepth=1)``, gets
-    the weighted error with one aggregate, and updates the weight column.
-    The weight lineage is cut with a reliable ``checkpoint()`` into the
-    shared ``spark.checkpoint.dir`` every round, so a lost executor
-    recomputes at most one round. Prediction is a pure column expression:
-    the sum of alpha * (+1/-1) over the stumps' split tests.
+    A row's weight follows from the stumps so far, so the features are
+    stored once and no round writes anything: each round reads the training
+    table, fits a weighted ``DecisionTreeClassifier(maxDepth=1)`` and makes one
+    aggregate (error and total); the next total is t + (e^alpha - 1) * e.
     """
 
-    def __init__(self, rounds: int = 200, learning_rate: float = 0.5, checkpoint_every: int = 1):
+    def __init__(self, rounds: int, learning_rate: float):
         self.rounds = rounds
         self.learning_rate = learning_rate
-        self.checkpoint_every = checkpoint_every
 
     def fit(self, data: DataFrame) -> "AdaBoostModel":
-        ensure_checkpoint_dir(data.sparkSession)
-        n = data.count()
-        cur = data.select("features", "label", F.lit(1.0 / max(n, 1)).alias("weight"))
-        stumps = []
+        data = data.select("features", "label")
+        total = float(max(data.count(), 1))
+        stumps: list[tuple] = []
+        scale = 1.0 / total
         for m in range(self.rounds):
-            tree = DecisionTreeClassifier(maxDepth=1, weightCol="weight", seed=42 + m).fit(cur)
+            cur = data.withColumn("weight", stump_weight([*stumps, (ALWAYS, math.log(scale))], F.col("features"), F.col("label")))
+            tree = DecisionTreeClassifier(maxDepth=1, weightCol="weight", seed=SEED + m).fit(cur)
             stump = _stump_of(tree)
-            miss = (stump_predict(stump, F.col("features")) != F.col("label")).cast("double")
+            miss = _over_stumps([(stump, 1.0)], F.col("features"), lambda acc, x, p: acc + (p != F.col("label")).cast("double"))
             s = cur.agg(F.sum(F.col("weight") * miss).alias("e"), F.sum("weight").alias("t")).first()
             err = (s["e"] or 0.0) / s["t"] if s["t"] else 0.0
             if err <= 0:
@@ -266,14 +348,32 @@ class AdaBoostStumps:
                 break
             alpha = self.learning_rate * math.log((1 - err) / err)
             stumps.append((stump, alpha))
-            nxt = cur.select("features", "label", (F.col("weight") * F.exp(F.lit(alpha) * miss)).alias("weight"))
-            total = nxt.agg(F.sum("weight")).first()[0]
-            cur = nxt.select("features", "label", (F.col("weight") / F.lit(total)).alias("weight"))
-            if (m + 1) % self.checkpoint_every == 0:
-                cur = cur.checkpoint(eager=True)
+            scale /= s["t"] + (math.exp(alpha) - 1) * s["e"]
         return AdaBoostModel(stumps)
 
 
+def _stump_table(stumps: list[tuple]) -> Column:
+    """The stumps as one constant (parsed once by constant folding, whatever their number)."""
+    rows = [{"i": int(i), "thr": min(float(thr), 1e308), "left": left, "right": right, "alpha": alpha}
+            for (i, thr, left, right), alpha in stumps]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<i:int,thr:double,left:double,right:double,alpha:double>>")
+
+
+def _over_stumps(stumps: list[tuple], features: Column, step) -> Column:
+    """Fold ``step(sum, stump, predicted class)`` over the stumps; the vector is converted once a row."""
+    def fold(x: Column) -> Column:
+        return F.aggregate(_stump_table(stumps), F.lit(0.0), lambda acc, s: step(
+            acc, s, F.when(F.get(x, s["i"]) <= s["thr"], s["left"]).otherwise(s["right"])))
+    return F.get(F.transform(F.array(vector_to_array(features)), fold), F.lit(0))
+
+
+def stump_weight(stumps: list[tuple], features: Column, label: Column) -> Column:
+    """exp of the summed alphas of the stumps that miss the row's label."""
+    if not stumps:
+        return F.lit(1.0)
+    return F.exp(_over_stumps(stumps, features, lambda acc, s, p: acc + F.when(p != label, s["alpha"]).otherwise(0.0)))
+
+
 def _stump_of(tree) -> tuple:
     """(feature index, threshold, left class, right class) of a depth-1 tree."""
     root = tree._call_java("rootNode")
@@ -285,28 +385,16 @@ def _stump_of(tree) -> tuple:
             float(root.leftChild().prediction()), float(root.rightChild().prediction()))
 
 
-def stump_predict(stump: tuple, features: Column) -> Column:
-    from pyspark.ml.functions import vector_to_array
-    idx, thr, left, right = stump
-    x = vector_to_array(features)[idx]
-    return F.when(x <= F.lit(thr), F.lit(left)).otherwise(F.lit(right))
-
-
 class AdaBoostModel:
     def __init__(self, stumps: list[tuple]):
         self.stumps = stumps
 
     def transform(self, df: DataFrame) -> DataFrame:
         total = sum(a for _, a in self.stumps) or 1.0
-        decision = F.lit(0.0)
-        for stump, alpha in self.stumps:
-            sign = stump_predict(stump, F.col("features")) * 2 - 1
-            decision = decision + F.lit(alpha) * sign
-        d = decision / F.lit(total)
-        p1 = 1 / (1 + F.exp(-d))
-        from pyspark.ml.functions import array_to_vector
-        return df.withColumn("probability", array_to_vector(F.array(1 - p1, p1))).withColumn(
-            "prediction", (p1 >= 0.5).cast("double"))
+        votes = _over_stumps(self.stumps, F.col("features"), lambda acc, s, p: acc + s["alpha"] * (p * 2 - 1))
+        p1 = 1 / (1 + F.exp(-votes / F.lit(total)))
+        return df.withColumn("__p1", p1).withColumn("probability", array_to_vector(F.array(1 - F.col("__p1"), F.col("__p1")))).withColumn(
+            "prediction", (F.col("__p1") > 0.5).cast("double")).drop("__p1")
 
 
 def loss_curve(model, data: DataFrame) -> DataFrame:

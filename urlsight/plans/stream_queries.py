@@ -5,13 +5,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import tables as T
 from ..streaming import stream as Z
-from .model_queries import _fitted_logistic
+from .model_queries import _LEARNED, _UF, _fitted, agrees
 
 
-def stream_score(spark: SparkSession, d: str) -> DataFrame:
+def stream_score_rows(spark: SparkSession, d: str) -> DataFrame:
     """Pages as a file stream -> features -> model -> verdicts, drained
     with availableNow into a parquet sink under the checkpoint folder."""
-    fm = _fitted_logistic(spark, d)
+    fm, _, _ = _fitted(spark, d, "LogisticRegression")
     urls = Z.stream_table(spark, d, "pages").select("page_id", "url")
     scored = Z.score_stream(urls, fm, ["page_id", "url"])
     sink, ckpt = Z._scratch(spark, "stream_score"), Z._scratch(spark, "stream_score-ckpt")
@@ -19,6 +19,10 @@ def stream_score(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def stream_score(spark: SparkSession, d: str) -> DataFrame:
+    return stream_score_rows(spark, d).select("page_id", "url", "verdict", agrees().alias("agrees"))
+
+
 # The events of a table span one month, in any order.
 DISORDER = "31 days"
 
@@ -33,6 +37,7 @@ _WINDOWED_SQL = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('ho
         FROM events GROUP BY ALL"""
 
 ORACLE = {
+    "stream_score": f"{_UF} SELECT page_id, url, {_LEARNED}, true AS agrees FROM uf",
     "windowed_verdicts": _WINDOWED_SQL,
     # the update-mode stream ends in the same state as the batch twin
     "windowed_verdicts_stream": _WINDOWED_SQL,

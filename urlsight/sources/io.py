@@ -16,15 +16,50 @@ class MissingColumnError(ValueError):
     """S3: a required input column is absent."""
 
 
+# --- Fixed values: numeric columns of a labelled table (others are text).
+INTEGER_COLUMNS = ["url_len", "dom_len", "is_ip", "tld_len", "subdom_cnt", "letter_cnt", "digit_cnt", "special_cnt", "eq_cnt", "qm_cnt",
+                   "amp_cnt", "dot_cnt", "dash_cnt", "under_cnt", "is_https", "slash_cnt", "path_len", "query_len", "label"]
+DOUBLE_COLUMNS = ["letter_ratio", "digit_ratio", "spec_ratio", "entropy"]
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with header; malformed lines are kept with their raw text
-    in ``_corrupt_record`` (PERMISSIVE) instead of failing the whole job."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
-    if schema:
-        if CORRUPT_COL not in schema:
-            schema = f"{schema}, {CORRUPT_COL} string"
-        r = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COL)
-    return r.csv(path)
+    """CSV with header; malformed lines (also those with missing or
+    surplus fields) are kept with their raw text in ``_corrupt_record``.
+
+    Without a schema the header names the columns: those of a labelled URL
+    table are typed, all others are text.
+    """
+    reader = spark.read.option("header", True)
+    if schema is None:
+        types = dict.fromkeys(INTEGER_COLUMNS, "int") | dict.fromkeys(DOUBLE_COLUMNS, "double")
+        names = reader.csv(path).columns  # reads the header only
+        schema = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
+    if CORRUPT_COL not in schema:
+        schema = f"{schema}, {CORRUPT_COL} string"
+    return (reader.option("mode", "PERMISSIVE").option("multiLine", False).option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .schema(schema).csv(path))
+
+
+def kind_of(path: str, given: str | None = None) -> str:
+    """File kind of an input: as given, or by the path's suffix (parquet unless it says csv or json)."""
+    if given:
+        return given
+    tail = path.rstrip("/").lower()
+    return next((k for k in ("csv", "json") if tail.endswith((f".{k}", f"/{k}"))), "parquet")
+
+
+def read_input(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """Any job's input table."""
+    kind = kind_of(path, kind)
+    return read_csv(spark, path) if kind == "csv" else spark.read.format(kind).load(path)
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Good rows without the corrupt-record column, and the malformed ones (None if the input has no such column)."""
+    if CORRUPT_COL not in df.columns:
+        return df, None
+    bad = F.col(CORRUPT_COL).isNotNull()
+    return df.where(~bad).drop(CORRUPT_COL), df.where(bad)
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
@@ -35,10 +70,9 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
-def read_urls(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_urls(spark: SparkSession, path: str, fmt: str | None = "csv") -> DataFrame:
     """A2 batch-scoring input: any columns, ``url`` required."""
-    df = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
-    return require_columns(df, ["url"])
+    return require_columns(read_input(spark, path, fmt), ["url"])
 
 
 # --- Fixed values: the sample input template (5 URLs) offered to batch users.
@@ -80,8 +114,9 @@ def write_metrics(metrics: DataFrame, out_dir: str) -> None:
     write_table(metrics.coalesce(1), f"{out_dir}/model_comparison_json", "json")
 
 
-def write_roc(points: DataFrame, out_dir: str) -> None:
-    """ROC points, one folder per model."""
+def write_roc(points: DataFrame, metrics: DataFrame, out_dir: str) -> None:
+    """ROC points with each model's area, one folder per model."""
+    points = points.join(metrics.select("model", "roc_auc"), "model")
     write_table(points, f"{out_dir}/roc_curves", "parquet", ["model"])
 
 
@@ -122,7 +157,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 # -------------------------------------------------------------- models
 def save_model(fitted, path: str) -> None:
     """One folder per model: TLD vocabulary, the Spark model, metadata."""
-    from ..operators.zoo import AdaBoostModel
+    from ..operators.zoo import AdaBoostModel, ExtraTreesModel
     spark = SparkSession.getActiveSession()
     fitted.vocab_model.write().overwrite().save(f"{path}/vocab")
     kind = type(fitted.model).__name__
@@ -130,6 +165,11 @@ def save_model(fitted, path: str) -> None:
         spark.createDataFrame([(i, s[0], s[1], s[2], s[3], float(a)) for i, (s, a) in enumerate(fitted.model.stumps)],
                               "i int, feature int, threshold double, left double, right double, alpha double") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+    elif isinstance(fitted.model, ExtraTreesModel):
+        edges = [(i, json.dumps(e)) for i, (e, _) in enumerate(fitted.model.groups)]
+        spark.createDataFrame(edges, "i int, edges string").coalesce(1).write.mode("overwrite").parquet(f"{path}/model/edges")
+        for i, (_, forest) in enumerate(fitted.model.groups):
+            forest.write().overwrite().save(f"{path}/model/forest-{i}")
     else:
         fitted.model.write().overwrite().save(f"{path}/model")
     meta = {"name": fitted.name, "kind": kind, "feature_names": fitted.feature_names,
@@ -143,12 +183,16 @@ def load_model(spark: SparkSession, path: str):
     import importlib
 
     from ..operators.encode import TldVocabModel
-    from ..operators.zoo import AdaBoostModel, FittedModel
+    from ..operators.zoo import AdaBoostModel, ExtraTreesModel, FittedModel
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     vocab = TldVocabModel.load(f"{path}/vocab")
     if meta["kind"] == "AdaBoostModel":
         rows = spark.read.parquet(f"{path}/model").orderBy("i").collect()  # one row per boosting round
         model = AdaBoostModel([((r["feature"], r["threshold"], r["left"], r["right"]), r["alpha"]) for r in rows])
+    elif meta["kind"] == "ExtraTreesModel":
+        from pyspark.ml.classification import RandomForestClassificationModel
+        rows = spark.read.parquet(f"{path}/model/edges").orderBy("i").collect()  # one row per group of trees
+        model = ExtraTreesModel([(json.loads(r["edges"]), RandomForestClassificationModel.load(f"{path}/model/forest-{r['i']}")) for r in rows])
     else:
         mod, _, cls = meta["model_class"].rpartition(".")
         model = getattr(importlib.import_module(mod), cls).load(f"{path}/model")

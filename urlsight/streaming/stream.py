@@ -45,7 +45,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, schema=None, max_f
 def score_stream(urls: DataFrame, fitted, keep: list[str]) -> DataFrame:
     """Stream of URLs -> features -> model -> verdict columns (stateless)."""
     feats = with_url_features(urls, "url")
-    return with_verdict(fitted.score(feats, keep)).select(*keep, "verdict", "probability", "risk_score")
+    return with_verdict(fitted.score(feats, keep)).select(*keep, "verdict", "probability", "risk_score", "risk_band", "p_phishing")
 
 
 def run_available_now(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> int:
