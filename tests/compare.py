@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from typing import Any
 
-from ..sources.tables import TABLES
+from urlsight.sources.tables import TABLES
 
 
 def duckdb_run(sql: str, sf_dir: str):

@@ -79,8 +79,8 @@ _CM = """cm AS (SELECT model,
     CASE WHEN sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)) <> 0
          THEN (CAST(tp AS DOUBLE) * tn - CAST(fp AS DOUBLE) * fn) / sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn))
          ELSE 0.0 END AS mcc, tp, fp, tn, fn FROM cnt)"""
-_LL = f"""ll AS (SELECT model, -avg(y * ln(least(greatest(p, {M.LOG_LOSS_EPS}), 1 - {M.LOG_LOSS_EPS}))
-                 + (1 - y) * ln(1 - least(greatest(p, {M.LOG_LOSS_EPS}), 1 - {M.LOG_LOSS_EPS}))) AS log_loss FROM sc GROUP BY model)"""
+_LL = f"""ll AS (SELECT model, -avg(y * ln(least(greatest(p, {V.LOG_LOSS_EPS}), 1 - {V.LOG_LOSS_EPS}))
+                 + (1 - y) * ln(1 - least(greatest(p, {V.LOG_LOSS_EPS}), 1 - {V.LOG_LOSS_EPS}))) AS log_loss FROM sc GROUP BY model)"""
 _SUITE = f"""{_CURVE}, {_AUC}, {_CNT}, {_CM}, {_LL},
 suite AS (SELECT cm.model, accuracy, precision_phish, recall_phish, f1_phish, roc_auc, pr_auc, mcc, log_loss, tp, fp, tn, fn
           FROM cm JOIN auc USING (model) JOIN ll USING (model)),
