@@ -83,6 +83,17 @@ def test_a_model_without_probabilities(spark):
     assert m.log_loss is None and m.roc_auc > 0.9 and m.tp + m.fp + m.tn + m.fn == test.count()
 
 
+def test_extra_numeric_columns_are_learned_from(spark):
+    from urlsight.operators.encode import numeric_feature_columns
+    from urlsight.functions.url import NUMERIC_FEATURES
+    train, test = [x.withColumn("extra", F.col("label") * 3.0) for x in _split(spark, SF_SMALL)]
+    numeric = numeric_feature_columns(train, exclude=("label", "page_id"))
+    assert numeric == [*NUMERIC_FEATURES, "extra"]
+    vm, names = Z.prepare(train, numeric=numeric)
+    fm = Z.fit_one(Z.TRAINERS["LogisticRegression"], train, vm, names, "smoke")
+    assert "extra" in fm.feature_names and fm.score(test, ["page_id"]).count() == test.count()
+
+
 def test_an_exact_tie_is_class_zero_in_evaluation(spark):
     class Half:
         def transform(self, df):
@@ -160,9 +171,9 @@ def test_cli_from_csv_files(spark, tmp_out):
     from urlsight.cli import main
     lab = T.weak_labelled_urls(spark, SF_SMALL).drop("page_id")
     lab.coalesce(1).write.option("header", True).csv(f"{tmp_out}/full/csv")
-    lab.select("url", "label").coalesce(1).write.option("header", True).csv(f"{tmp_out}/urls/csv")
-    part = next(f for f in os.listdir(f"{tmp_out}/urls/csv") if f.endswith(".csv"))
-    with open(f"{tmp_out}/urls/csv/{part}", "a") as f:
+    os.makedirs(f"{tmp_out}/urls/csv")
+    with open(f"{tmp_out}/urls/csv/part.csv", "w") as f:
+        f.write("url,label\n" + "".join(f"{r.url},{r.label}\n" for r in lab.select("url", "label").collect()))
         f.write("http://b.com/,1,surplus,more\nhttp://c.com/\n")
     for kind, rejected in (("full", 0), ("urls", 2)):
         main(["train", "--input", f"{tmp_out}/{kind}/csv", "--output-dir", f"{tmp_out}/{kind}/run", "--preset", "smoke", "--models", "LogisticRegression"])

@@ -40,7 +40,7 @@ def cmd_train(spark, a):
     from .operators import split as K
     from .operators import zoo as Z
     from .operators.attribution import permutation_importance
-    from .operators.encode import encode
+    from .operators.encode import encode, numeric_feature_columns
     from .sources import io
 
     out = a.output_dir.rstrip("/")
@@ -60,7 +60,8 @@ def cmd_train(spark, a):
     io.write_table(K.stratified_split(df.withColumn("label", F.col("label").cast("int")), a.key), f"{out}/split")
     split = spark.read.parquet(f"{out}/split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    fitted, scored, rows, failures = Z.train_all(train, test, names=a.models, preset=a.preset)
+    numeric = numeric_feature_columns(train, exclude=("label", "tld", a.key))                # P5
+    fitted, scored, rows, failures = Z.train_all(train, test, names=a.models, preset=a.preset, numeric=numeric)
     for name, err in failures.items():
         print(f"model {name} failed: {err}")
     io.write_metrics(M.rank_models(rows), f"{out}/metrics")
@@ -76,7 +77,7 @@ def cmd_train(spark, a):
     try:  # E8: attribution failure must not fail training
         fm = fitted[best]
         sample = K.hash_sample(test, a.key, 2000)
-        x = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), keep=[a.key, "label"]),
+        x = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), numeric=numeric, keep=[a.key, "label"]),
                        fm.feature_names, [a.key, "label"])
         io.write_table(permutation_importance(fm.model, x, a.key, fm.feature_names), f"{out}/attribution")   # E5
     except Exception as exc:

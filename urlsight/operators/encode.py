@@ -26,9 +26,11 @@ def qcol(name: str) -> Column:
 
 
 def numeric_feature_columns(df: DataFrame, exclude: tuple = ("label", "tld")) -> list[str]:
-    """P5: numeric columns discovered from the schema (integral or fractional), minus exclusions."""
+    """P5: numeric columns discovered from the schema (integral or fractional), minus exclusions;
+    the URL features first, in their order."""
     from pyspark.sql.types import NumericType
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+    found = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+    return [c for c in NUMERIC_FEATURES if c in found] + [c for c in found if c not in NUMERIC_FEATURES]
 
 
 def drop_text_columns(df: DataFrame, cols: tuple = ("url", "dom")) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .encode import TldVocab, qcol
+from .encode import TldVocab, dummy_names, feature_names, qcol
 from .metrics import class_metrics_from_counts, confusion_counts, auc_metrics, curve, log_loss
 
 # --- Fixed values that must equal the reference: model settings --------------
@@ -144,16 +144,24 @@ class FittedModel:
         """V1/V2/V4: encode -> assemble -> model -> ``p``, ``margin`` and the model's ``prediction``."""
         from .encode import encode
         from .score import class_scores
-        enc = encode(df, self.vocab_model.getVocabulary(), keep=keep)
+        vocab = self.vocab_model.getVocabulary()
+        enc = encode(df, vocab, numeric=numeric_of(self.feature_names, vocab), keep=keep)
         pred = self.model.transform(assemble(enc, self.feature_names, keep))
         return class_scores(pred).select(*keep, "p", "margin", "prediction")
 
 
-def prepare(train: DataFrame, label_col: str = "label", top_n: int = 50):
-    """Fit the TLD vocabulary on the training rows (N1 on the train split)."""
+def prepare(train: DataFrame, top_n: int = 50, numeric: list[str] | None = None):
+    """Fit the TLD vocabulary on the training rows (N1 on the train split).
+
+    ``numeric``: the numeric columns to learn from (P5), the 22 URL features by default.
+    """
     vocab_model = TldVocab(topN=top_n).fit(train)
-    names = vocab_model.featureNames()
-    return vocab_model, names
+    return vocab_model, feature_names(vocab_model.getVocabulary(), numeric)
+
+
+def numeric_of(names: list[str], vocab: list[str]) -> list[str]:
+    """The numeric part of a feature order."""
+    return names[:len(names) - len(dummy_names(vocab))]
 
 
 def training_table(train: DataFrame, vocab_model, names: list[str], label_col: str = "label") -> DataFrame:
@@ -163,7 +171,8 @@ def training_table(train: DataFrame, vocab_model, names: list[str], label_col: s
     since each pass costs a job.
     """
     from .encode import encode
-    enc = encode(train, vocab_model.getVocabulary(), keep=[label_col])
+    vocab = vocab_model.getVocabulary()
+    enc = encode(train, vocab, numeric=numeric_of(names, vocab), keep=[label_col])
     return sized(written(assemble(enc, names, [label_col]).select(F.col(label_col).cast("double").alias("label"), "features")))
 
 
@@ -229,7 +238,7 @@ class EveryModelFailed(RuntimeError):
 
 
 def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None, preset: str = "reference",
-              label_col: str = "label"):
+              label_col: str = "label", numeric: list[str] | None = None):
     """Fit every trainer on one written table, score the test rows of each once.
 
     A failing model is skipped and reported with its error (reference
@@ -237,7 +246,7 @@ def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None,
     written scored rows of all of them, the metric rows and the failures.
     """
     from functools import reduce
-    vocab_model, feat_names = prepare(train, label_col)
+    vocab_model, feat_names = prepare(train, numeric=numeric)
     data = training_table(train, vocab_model, feat_names, label_col)
     fitted, failures = {}, {}
     for name in (names or list(TRAINERS)):
