@@ -56,10 +56,10 @@ def chains(messages: DataFrame) -> DataFrame:
         F.when(F.col("role") == "assistant", F.length("text")).otherwise(0).cast("double").alias("score"))
 
 
-def _doubled(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """``left`` joined to the pointer table at the message that column ``on`` names."""
+def _at(left: DataFrame, on: str, right: DataFrame) -> DataFrame:
+    """``left`` with the pointer (``up2``, ``part2``) of the message that column ``on`` names; rows without one go."""
     right = right.select(F.col("tkey").alias("t2"), F.col("msg").alias("m2"), F.col("up").alias("up2"), F.col("part").alias("part2"))
-    return left.join(right, (left.tkey == right.t2) & (left[on] == right.m2), "left").drop("t2", "m2")
+    return left.join(right, (left.tkey == right.t2) & (left[on] == right.m2)).drop("t2", "m2")
 
 
 def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
@@ -70,21 +70,23 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """
     there = nodes.select(F.col("tkey").alias("t2"), F.col("msg").alias("m2"))
     real = nodes.join(there, (nodes.tkey == there.t2) & (nodes.parent == there.m2), "left")
-    step = stage(real.select("tkey", "msg", F.col("m2").alias("up"), F.col("score").alias("part")))
-    steps = [step]
-    longest = step.groupBy("tkey").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    while (1 << (len(steps) - 1)) < longest:
-        step = stage(_doubled(step, step, "up").select(
-            "tkey", "msg", F.col("up2").alias("up"), (F.col("part") + F.coalesce("part2", F.lit(0.0))).alias("part")))
-        steps.append(step)
+    # part: the scores from a message up to its pointer; without a pointer, up to the root
+    first = stage(real.select("tkey", "msg", F.col("m2").alias("up"), F.col("score").alias("part")))
+    longest = first.groupBy("tkey").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    done, live = first.where("up IS NULL"), first.where("up IS NOT NULL")
+    steps = [live]  # the pointers 1, 2, 4, ... messages up, of messages that deep
+    while (1 << (len(steps) - 1)) < longest and live.limit(1).count():
+        found = stage(_at(live, "up", done.unionByName(live)).select(
+            "tkey", "msg", F.col("up2").alias("up"), (F.col("part") + F.col("part2")).alias("part")))
+        done, live = done.unionByName(found.where("up IS NULL")), found.where("up IS NOT NULL")
+        steps.append(live)
     parents = nodes.where("parent IS NOT NULL").select(F.col("tkey").alias("t2"), F.col("parent").alias("m2")).distinct()
-    leaves = step.join(parents, (step.tkey == parents.t2) & (step.msg == parents.m2), "left_anti").where("up IS NULL")
+    leaves = done.join(parents, (done.tkey == parents.t2) & (done.msg == parents.m2), "left_anti")
     best = Window.partitionBy("tkey").orderBy(F.desc("part"), "msg")
     walk = (leaves.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
             .select("tkey", F.col("msg").alias("leaf"), "rank", "msg", F.lit(0).cast("long").alias("dist")))
     for k, step in enumerate(steps):
-        farther = (_doubled(walk, step, "msg").where("up2 IS NOT NULL")
-                   .select("tkey", "leaf", "rank", F.col("up2").alias("msg"), (F.col("dist") + (1 << k)).alias("dist")))
+        farther = _at(walk, "msg", step).select("tkey", "leaf", "rank", F.col("up2").alias("msg"), (F.col("dist") + (1 << k)).alias("dist"))
         walk = stage(walk.unionByName(farther))
     return walk
 
