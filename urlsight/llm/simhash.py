@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stage, with_columns_checked, word_lists
+from .common import bounded_batches, checked_broadcast, stage, with_columns_checked, word_lists
 from .components import connected_components
 
 MAX_DISTANCE = 3
@@ -140,10 +140,14 @@ def representatives(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     found = stage(components(docs, shingle).where("doc_id = component_id"))
     ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("copies")))
-    single = docs.join(ids.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
-    # few rows: an id that stands on several rows, perhaps in several components
-    again = docs.join(ids.where("copies > 1").select("doc_id"), "doc_id", "left_semi").withColumn(
-        "__fp", fingerprint_column(F.col("text"), shingle))
-    roots = found.select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
-    repeated = again.join(roots, "__fp").dropDuplicates(["doc_id", "__root"]).drop("__fp", "__root")
-    return (single.unionByName(repeated).unionByName(docs.where("doc_id is null"))).select(*docs.columns)
+    # ids are joined to the texts, so that no text moves while they are few enough to be sent
+    out = docs.join(checked_broadcast(ids.where("copies = 1").select("doc_id")), "doc_id", "left_semi")
+    if ids.where("copies > 1").limit(1).count():
+        # an id that stands on several rows, perhaps in several components
+        again = docs.join(checked_broadcast(ids.where("copies > 1").select("doc_id")), "doc_id", "left_semi").withColumn(
+            "__fp", fingerprint_column(F.col("text"), shingle))
+        roots = found.select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
+        out = out.unionByName(again.join(roots, "__fp").dropDuplicates(["doc_id", "__root"]).drop("__fp", "__root"))
+    if docs.where("doc_id IS NULL").limit(1).count():
+        out = out.unionByName(docs.where("doc_id IS NULL"))
+    return out.select(*docs.columns)
