@@ -23,7 +23,7 @@ from .common import bounded_batches, checked_broadcast, with_columns_checked
 from .quality_rules import repeated_words
 
 DIMS = 1 << 17
-SAMPLE_PER_CLASS = 3000
+SAMPLE_PER_CLASS = 2000
 SHAPE = 1 << 10  # the last indexes: length and repetition indicators
 ORDERS = (1, 2, 3, 4)
 EPOCHS, COST, SMOOTH = 40, 1.0, 1.0
@@ -73,7 +73,7 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, seed:
     values = []
     for found in rows:
         scaled = ratio[found]
-        values.append(scaled / (float(np.sqrt(scaled @ scaled)) or 1.0))
+        values.append((scaled / (float(np.sqrt(scaled @ scaled)) or 1.0)).astype(np.float32))
     signs = np.where(labels > 0, 1.0, -1.0)
     share = {s: max(1, int((signs == s).sum())) for s in (1.0, -1.0)}
     limit = np.array([COST * len(rows) / (2 * share[s]) for s in signs])
@@ -172,6 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, usable: Column, sample_p
     got = sample.select("doc_id", "label", indexes(F.col("text").cast("binary")).alias("found")).toPandas().sort_values("doc_id")
     rows = [np.frombuffer(x, np.int32) for x in got["found"]]
     y = got["label"].to_numpy()
+    del got
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(DIMS), np.zeros(DIMS), 0.0, 1.0, math.log(sizes[1] / sizes[0]))
     weight, bias = descend(rows, y, ratio)
