@@ -67,6 +67,23 @@ def count_tokens(train: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("c"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The tokens above a count that at most ``most`` tokens exceed.
+
+    The count comes from a histogram of powers (16 steps to a doubling), so no
+    task and no driver sorts tokens.
+    """
+    step = F.floor(F.log2("c") * 16)
+    bars = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()  # under 1,024 rows
+    above, least = 0, None
+    for bar in bars:
+        above += bar.n
+        if above > most:
+            break
+        least = bar.step
+    return counts.where(step >= least) if least is not None else counts.where("false")
+
+
 @dataclass
 class Model:
     """Counts of the most frequent tokens (the end first), corpus totals and model parameters."""
@@ -74,15 +91,12 @@ class Model:
     counts: np.ndarray
     total: int
     distinct: int
+    classes: int  # of the model: the end, the most frequent words, all others
     near: np.ndarray = field(default=None)  # (classes + 1) x WIDTH: the word before; the last row is the start
     far: np.ndarray = field(default=None)  # the word before that
     words: np.ndarray = field(default=None)  # classes x WIDTH
     bias: np.ndarray = field(default=None)
 
-    @property
-    def classes(self) -> int:
-        return min(VOCABULARY, len(self.head) + 1)
-
     def start(self) -> "Model":
         rng, k = np.random.default_rng(11), self.classes
         shape = lambda n: (rng.standard_normal((n, WIDTH)) * 0.05).astype(np.float32)
@@ -210,9 +224,12 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     bounded_batches(train.sparkSession)
     counts = stage(count_tokens(train))
     whole = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    head = counts.where(F.col("token") != END).orderBy(F.desc("c"), "token").limit(HEAD - 1).toPandas()
+    head = frequent(counts.where(F.col("token") != END), HEAD - 1).toPandas()
+    head["token"] = head["token"].map(bytes)
+    head = head.sort_values(["c", "token"], ascending=[False, True])
     ends = counts.where(F.col("token") == END).first()
-    model = Model([END, *map(bytes, head["token"])], np.array([ends.c if ends else 0, *head["c"]], np.int64), whole.n or 0, whole.v).start()
+    names = [END, *head["token"]]
+    model = Model(names, np.array([ends.c if ends else 0, *head["c"]], np.int64), whole.n or 0, whole.v, min(VOCABULARY, len(names) + 1)).start()
     for number in range(rounds):
         model = _round(model, train, number)
     return model, counts
