@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, with_columns_checked
+from .common import checked_broadcast, stage, with_columns_checked
 from .sharding import values
 
 CONTAINMENT = 0.85
@@ -73,10 +73,12 @@ def _phrase_starts(words: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(words) - 1), here)
 
 
-def block_matches(docs: DataFrame, order: list[str], templates: list[dict]) -> DataFrame:
+def block_matches(docs: DataFrame, slim: DataFrame, order: list[str], templates: list[dict]) -> DataFrame:
     """``(text_key, label, score)`` for every text and template matched by one of its lines.
 
-    ``order``: all template words, rarest first.
+    ``order``: all template words, rarest first. ``slim`` has the template
+    words that each text holds: only texts with a word of some prefix, and
+    enough words, are read again.
     """
     spark = docs.sparkSession
     rank = {w: i for i, w in enumerate(order)}
@@ -88,12 +90,10 @@ def block_matches(docs: DataFrame, order: list[str], templates: list[dict]) -> D
     prefix = sorted({x["word"] for x in index}, key=rank.__getitem__)
     least = min(t["need"] for t in templates)
 
-    low = lowered(F.col("text"))
-    holds = F.lit(False)
-    for word in prefix:
-        holds = holds | low.contains(word)
-    lines = (docs.where(holds).select("text_key", F.explode(F.split(low, "\n")).alias("line"))
-             .where(F.length("line") > 0))
+    may = F.arrays_overlap("held", F.array(*[F.lit(w) for w in prefix])) & (F.size("held") >= least)
+    keys = checked_broadcast(slim.where(may).select("text_key").distinct())
+    lines = (docs.join(keys, "text_key", "left_semi")
+             .select("text_key", F.explode(F.split(lowered(F.col("text")), "\n")).alias("line")).where(F.length("line") > 0))
     vocabulary = F.array(*[F.lit(w) for w in order])
     blocks = lines.select("text_key", F.array_intersect(vocabulary, words_of(F.col("line"))).alias("held"))
     blocks = blocks.where(F.size("held") >= least)
@@ -136,7 +136,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containm
     seen = slim.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     count = {r.word: r.n for r in seen.collect()}  # at most the words of the templates
     order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
-    matched = stage(block_matches(keyed, order, rows_of_templates).groupBy("text_key").agg(
+    matched = stage(block_matches(keyed, slim, order, rows_of_templates).groupBy("text_key").agg(
         F.collect_set("label").alias("found"), F.max("score").alias("score")))
 
     starts = F.flatten("starts")
