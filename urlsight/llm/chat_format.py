@@ -71,14 +71,14 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     there = nodes.select(F.col("tkey").alias("t2"), F.col("msg").alias("m2"))
     real = nodes.join(there, (nodes.tkey == there.t2) & (nodes.parent == there.m2), "left")
     # part: the scores from a message up to its pointer; without a pointer, up to the root
-    first = stage(real.select("tkey", "msg", F.col("m2").alias("up"), F.col("score").alias("part")))
-    longest = first.groupBy("tkey").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    done, live = first.where("up IS NULL"), first.where("up IS NOT NULL")
+    table = stage(real.select("tkey", "msg", F.col("m2").alias("up"), F.col("score").alias("part")))
+    longest = table.groupBy("tkey").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    done, live = table.where("up IS NULL"), table.where("up IS NOT NULL")
     steps = [live]  # the pointers 1, 2, 4, ... messages up, of messages that deep
     while (1 << (len(steps) - 1)) < longest and live.limit(1).count():
-        found = stage(_at(live, "up", done.unionByName(live)).select(
-            "tkey", "msg", F.col("up2").alias("up"), (F.col("part") + F.col("part2")).alias("part")))
-        done, live = done.unionByName(found.where("up IS NULL")), found.where("up IS NOT NULL")
+        farther = _at(live, "up", table).select("tkey", "msg", F.col("up2").alias("up"), (F.col("part") + F.col("part2")).alias("part"))
+        table = stage(done.unionByName(farther))
+        done, live = table.where("up IS NULL"), table.where("up IS NOT NULL")
         steps.append(live)
     parents = nodes.where("parent IS NOT NULL").select(F.col("tkey").alias("t2"), F.col("parent").alias("m2")).distinct()
     leaves = done.join(parents, (done.tkey == parents.t2) & (done.msg == parents.m2), "left_anti")
