@@ -34,6 +34,28 @@ def test_page_without_labels():
     assert html_extract.extract(page, {}) == f"{prose}\n{prose}"
 
 
+PROSE = "This is a long paragraph of plain words that goes on for quite some time without any tags."
+
+
+@pytest.mark.parametrize("page, text", [
+    *[(f"{wrap}<p>{PROSE}</p><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}") for wrap in (
+        "<body class='has-sidebar'><div>", "<body class='page search'><div>", "<html id=header-fixed><body style='display:none'><div>",
+        "<body><div class='page search'>", "<div id=sidebar>")],
+    *[(f"<article><p>{PROSE}</p><p>{PROSE}</p>{part}</article>", f"{PROSE}\n{PROSE}\n{kept}") for part, kept in (
+        ("<section id='discussion'><p>What follows</p></section>", "What follows"), ("<section id=cookies><p>What follows</p></section>", "What follows"),
+        ("<h2 id='related-work'>Related work</h2>", "Related work"), ("<p class=notice>Note this", "Note this"),
+        ("<div class='entry-header'><h1><a href=x>A title</a></h1></div>", "A title"), ("<div class='legal with-sidebar'>By law</div>", "By law"))],
+    *[(f"<article><p>{PROSE}</p>{part}<p>{PROSE}</p></article>", f"{PROSE}\n{PROSE}") for part in (
+        "<div class=related>See <a href=x>another page</a></div>", "<div class='share'><a href=x>Share</a></div>", "<div class='ad related'>Buy</div>",
+        "<div class=comments>" + "<p>Some reader says</p>" * 30 + "</div>", "<aside><div class=legal>Some words of law</div></aside>")],
+    (f"<main><div class='post sidebar-right'><p>{PROSE}</p></div></main>", PROSE),
+    (f"<div><p>{PROSE}</p><p>{PROSE}</p></div><div class=legal>All rights</div>", f"{PROSE}\n{PROSE}"),
+    (f"<div><p>{PROSE}</p><div class=related><a href=x>one</a></div><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}"),
+    (f"<div><p>{PROSE}</p><p>{PROSE}</p></div><div class=discussion><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}\n{PROSE}")])
+def test_names_are_hints_only(page, text):
+    assert html_extract.extract(page, {}) == text
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "mine"), (1, "u", PAGE, "mine"), (2, None, None, None), (None, "v", "", "x"), (3, "w", "<article><p>" + "word " * 100_000, "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("weights", F.lit("clash"))

@@ -7,6 +7,12 @@ ratios learned from labelled pages: pages that mark their content with an
 ``article`` or ``main`` element, counted over the whole table. One linear scan
 finds the contiguous region with the largest sum; its blocks, less those in
 menus, adverts and the like, are the text.
+
+Class names and ids are hints only. They count for nothing on ``html``, ``body``
+and headings, and on a container with most of the page's scored words (inside of
+``article`` or ``main``, a class like "ad" alone still tells). Hints
+of several meanings (``AMBIGUOUS``), and any id of a section, only lower the weight of
+the container's words; its text is left out if its links outweigh them.
 """
 from __future__ import annotations
 
@@ -47,41 +53,87 @@ HINTS = [
     ("footer", {"footer", "copyright", "legal"}),
     ("form", {"form", "login", "signup", "search"}),
 ]
+# Hints that name a part of the text as often as a part of the page.
+AMBIGUOUS = {"advertising", "promotion", "banner", "comment", "replies", "respond", "discussion", "navigation", "menu", "toc", "side", "related",
+             "recommended", "widget", "widgets", "share", "sharing", "social", "tags", "consent", "notice", "overlay", "subscribe", "alert",
+             "header", "topbar", "copyright", "legal", "form", "login", "signup", "search"}
+NO_HINTS = {"html", "body", "h1", "h2", "h3", "h4", "h5", "h6"}
+ABOUT = {"has", "have", "no", "with", "without"}  # "has-sidebar" is not the sidebar
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
-def container_kind(name: str, attributes: str) -> str | None:
-    """What an element is for: "content", a kind of boilerplate, or None."""
+def container_kind(name: str, attributes: str) -> tuple[str | None, str]:
+    """What an element is for ("content", a kind of boilerplate, or None), and by what: "markup", a "whole" name, part of a "name" or an "ambiguous" one."""
     if name in CONTENT:
-        return "content"
+        return "content", "markup"
     if name in BOILER:
-        return BOILER[name]
-    if name in INLINE or not attributes.strip():
-        return None
+        return BOILER[name], "markup"
+    if name in INLINE or name in ("html", "body") or not attributes.strip():
+        return None, "markup"
+    hinted = None, "markup"
     for key, value in NAMES.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return "hidden"
+            return "hidden", "markup"
         if key == "role" and value.lower() in ROLES:
-            return ROLES[value.lower()]
-        if key in ("class", "id"):
-            words = {w.lower() for w in SPLIT.split(value) if w} | {w for w in SPLIT.split(value.lower()) if w}
-            for kind, hints in HINTS:
-                if words & hints:
-                    return kind
-    return None
+            return ROLES[value.lower()], "markup"
+        if key in ("class", "id") and name not in NO_HINTS and hinted[1] != "whole":
+            words = set()
+            for one in value.split():
+                for parts in ([w.lower() for w in SPLIT.split(one) if w], [w for w in SPLIT.split(one.lower()) if w]):
+                    words |= {w for k, w in enumerate(parts) if not k or parts[k - 1] not in ABOUT}
+            sure = set() if key == "id" and name == "section" else words - AMBIGUOUS
+            ways = {"whole": sure & set(value.lower().split()), "name": sure, "ambiguous": words if name not in LOOSE else set()}
+            for how, among in ways.items():
+                kind = next((kind for kind, hints in HINTS if among & hints), None)
+                if kind and (not hinted[0] or how == "whole" or hinted[1] == "ambiguous"):
+                    hinted = kind, how
+                    break
+    return hinted
 
 
-def events(page: str) -> Iterator[tuple[str, str, str]]:
+def events(page: str) -> list[tuple[str, str, str]]:
     """``(what, kind, value)``: "tag" with its name, "text" with its characters ("link": inside a link).
 
     ``kind`` is that of the innermost telling container: "content", a kind of
-    boilerplate ("in-" and the kind inside of content), or "body".
+    boilerplate ("in-" and the kind inside of content), "soft" (under an
+    ambiguous name) or "body".
     """
-    stack: list[tuple[str, str | None]] = []
+    named: dict[int, list] = {}
+    found = list(_walk(page, None, named))
+    if not named:
+        return found
+    total = named.pop(-1)[2]  # words
+    kinds: dict[int, str | None] = {}
+    for at, (kind, how, words, links, within) in named.items():
+        if 2 * words > total and not (within and how == "whole"):
+            kinds[at] = None  # the page itself, whatever its name
+        elif how == "ambiguous" and words * SOFT * DEFAULTS["word"] + links * DEFAULTS["link"] > 0:
+            kinds[at] = "soft"
+        else:
+            kinds[at] = "own" if how == "ambiguous" and kind == "header" else kind
+    return list(_walk(page, kinds, None))
+
+
+def _walk(page: str, settled: dict[int, str | None] | None, named: dict[int, list] | None) -> Iterator[tuple[str, str, str]]:
+    """The events of a page. ``settled``: the kinds of named containers by their place.
+
+    Without it names count for nothing, and ``named`` gets ``[kind, how, words, link words, inside of content]``
+    of each named container (at -1: of the page), of text that isn't boilerplate by its markup.
+    """
+    stack: list[tuple[str, int]] = []
     kinds = ["body"]
     links, skip_to, end = 0, 0, len(page)
+    seen = [0, 0]  # words, link words
+
+    def leave(at: int) -> None:
+        for _, place in stack[at:]:
+            if place >= 0:
+                entry = named[place]
+                entry[2:4] = seen[0] - entry[2], seen[1] - entry[3]
+        del stack[at:], kinds[at + 1:]
+
     for m in TOKEN.finditer(page):
         if m.start() < skip_to:
             continue
@@ -89,6 +141,8 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         if name is None:
             token = m.group(0)
             if token[0] != "<" or token == "<":
+                if named is not None and kinds[-1] in ("body", "content"):
+                    seen[links] += len(entities.unescape(token).split())
                 yield ("link" if links else "text"), kinds[-1], token
             continue
         name = name.lower()
@@ -99,15 +153,27 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "tag", kinds[-1], name
                 continue
             if name not in INLINE and stack and stack[-1][0] in LOOSE:
-                stack.pop()  # a paragraph ends where the next block begins
-                kinds.pop()
-            kind = container_kind(name, m.group(3))
+                leave(len(stack) - 1)  # a paragraph ends where the next block begins
+            kind, how = container_kind(name, m.group(3))
+            place = -1
             if name == "header" and kinds[-1] == "content":
                 kind = None  # an article's own heading
+            if kind and how != "markup":
+                if settled is None:
+                    place = m.start()
+                    named[place] = [kind, how, *seen, kinds[-1] == "content"]
+                    kind = None
+                else:
+                    kind = settled.get(m.start())
+                    within = kinds[-1] == "content" or kinds[-1].startswith("in-")
+                    if kind == "own":
+                        kind = None if within else "header"
+                    if kind == "soft" and kinds[-1] != "body":
+                        kind = None
             if kind and kind != "content" and (kinds[-1] == "content" or kinds[-1].startswith("in-")):
                 kind = f"in-{kind}"  # left out of the text, but no reason to end the region
-            if kind or name in CONTAINERS:
-                stack.append((name, kind))
+            if kind or place >= 0 or name in CONTAINERS:
+                stack.append((name, place))
                 kinds.append(kind or kinds[-1])
             elif name == "a":
                 links = 1
@@ -118,8 +184,11 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 links = 0
             for at in range(len(stack) - 1, -1, -1):
                 if stack[at][0] == name:
-                    del stack[at:], kinds[at + 1:]
+                    leave(at)
                     break
+    leave(0)
+    if named:
+        named[-1] = ["", "", *seen, False]
 
 
 def blocks(page: str) -> list[tuple[str, str, int, int, list[str]]]:
@@ -161,6 +230,8 @@ KNOWN = (INLINE | CONTAINERS | CONTENT | set(BOILER) | UNSEEN | {f"h{i}" for i i
          | {"p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "pre", "hr", "meta", "link", "figcaption", "caption", "summary", "address"})
 LIMIT = 4.0
 DEFAULTS = {"word": 1.0, "link": -1.0, "prose tag": -0.5, "tag": -2.0}
+SOFT = 0.5  # share of its weight that a word keeps under an ambiguous name
+PLAIN = {"body", "soft"}
 
 
 def page_counts(page: str) -> Counter:
@@ -172,8 +243,8 @@ def page_counts(page: str) -> Counter:
     for text, kind, words, links, tags in found:
         side = int(kind == "content")
         # on a labelled page, text outside of any telling container is not content
-        count[f"word {'outside' if kind == 'body' else kind}", side] += words - links
-        count[f"link {'outside' if kind == 'body' else kind}", side] += links
+        count[f"word {'outside' if kind in PLAIN else kind}", side] += words - links
+        count[f"link {'outside' if kind in PLAIN else kind}", side] += links
         for t in tags:
             count[f"tag {t}", int(t.startswith("content "))] += 1
     return +count
@@ -219,7 +290,8 @@ def weigh(weights: dict[str, float], feature: str) -> float:
         return weights[feature]
     if what == "tag":
         return -0.1 if kind == "content" else DEFAULTS["prose tag" if feature.split(" ")[2] in PROSE else "tag"]
-    return {"content": 1.0, "body": DEFAULTS[what], "outside": DEFAULTS[what]}.get(kind, -1.0)
+    soft = DEFAULTS[what] * (SOFT if what == "word" else 1)
+    return {"content": 1.0, "body": DEFAULTS[what], "outside": DEFAULTS[what], "soft": soft}.get(kind, -1.0)
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
@@ -233,13 +305,13 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             if here <= 0:
                 here, begin = 0.0, i
         if text:
-            place = "outside" if labelled and kind == "body" else kind
+            place = "outside" if labelled and kind in PLAIN else kind
             here += (words - links) * weigh(weights, f"word {place}") + links * weigh(weights, f"link {place}")
             if here <= 0:
                 here, begin = 0.0, i + 1
             elif here > best:
                 best, best_span = here, (begin, i + 1)
-    kept = {"content"} if labelled else {"content", "body"}
+    kept = {"content"} if labelled else {"content"} | PLAIN
     return "\n".join(b[0] for b in found[best_span[0]:best_span[1]] if b[1] in kept and b[0])
 
 
