@@ -165,6 +165,20 @@ def test_packing(spark, docs_of):
     assert packing.pack(df.drop("source")).where("bin IS NOT NULL").count() > 0
 
 
+def test_near_copies_share_no_bin(spark, tmp_path, docs_of):
+    import __spark_entry__ as E
+    words = [f"w{k * k % 977}" for k in range(400)]
+    near = [" ".join(words[:i] + ["changed"] + words[i + 1:]) for i in (50, 150, 250, 350)] + [" ".join(words), " ".join(words).upper() + " É", " ".join(words) + " é"]
+    rows = [(7, t) for t in near[:3]] + [(None, near[3]), (8, near[4]), (9, near[5]), (10, near[6]), (11, "all else " * 9), (12, None), (12, " ")]
+    df = docs_of(rows).withColumn("source", F.monotonically_increasing_id().cast("string"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    packed = E.queries()["op7_packing"](spark, str(tmp_path)).collect()
+    bins = [r.bin for r in packed if r.n_words > 100]
+    assert len(bins) == len(set(bins)) == 7 and sum(r.bin is None for r in packed) == 2 and len(packed) == 10
+    with pytest.raises(ValueError):
+        packing.pack(df, cluster=F.col("doc_id"), shingle=3)
+
+
 def plain_tiles(item, text, least):
     item, text, total = list(item), list(text), 0
     while True:

@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from . import simhash
+from .common import bounded_batches, stage
 
 CAPACITY = 2048  # words in a bin
 PER_SOURCE = 2  # pieces of one source in a bin
@@ -85,13 +86,22 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+def _near(rows: DataFrame) -> DataFrame:
+    """``rows`` with the component of each fingerprint instead of the fingerprint as ``cluster``."""
+    fps = stage(rows.groupBy(F.col("cluster").alias("fp")).agg(F.min("doc_id").alias("first_doc")))
+    roots = simhash.canonical(fps).select(F.col("fp").alias("cluster"), "root")
+    return rows.join(roots, "cluster").select("doc_id", "source", "n_words", F.col("root").alias("cluster"))
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, group_rows: int = GROUP_ROWS,
-         cluster: Column | None = None) -> DataFrame:
+         cluster: Column | None = None, shingle: int | None = None) -> DataFrame:
     """Pieces of all documents with their bins: ``(doc_id, source, piece, start_word, n_words, bin, bin_offset)``.
 
     A document of more than ``capacity`` words is cut into full pieces and a rest.
     ``cluster`` names the duplicate cluster of a row; without it, rows with
-    the same words in lower case are one cluster. Rows without words (null or
+    the same words in lower case are one cluster. ``shingle`` (words) makes near
+    copies clusters: rows whose lower-case texts' SimHash fingerprints are linked, at most
+    three bits apart, as in ``simhash.components`` but for each row, whatever its id. Rows without words (null or
     blank text) have nothing to pack and get one row with a null bin. A null
     source has no conflicts; repeated rows are packed each; an empty table gives
     an empty result.
@@ -101,9 +111,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     # one variable holds the words, so the text is split once
     info = F.get(F.transform(F.array(words(F.col("text"))), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.xxhash64(F.lower(F.array_join(w, " "))).alias("same"))), F.lit(0))
+    if shingle is not None:
+        if cluster is not None:
+            raise ValueError("give cluster or shingle")
+        bounded_batches(docs.sparkSession)
+        cluster = simhash.fingerprint_column(F.lower("text"), shingle)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        info.alias("i"), (F.lit(None).cast("long") if cluster is None else cluster.cast("long")).alias("given"))
     rows = stage(slim.select("doc_id", "source", "i.n_words", (F.col("i.same") if cluster is None else F.col("given")).alias("cluster")))
+    if shingle is not None:
+        rows = stage(_near(rows))
     groups = max(1, -(-rows.count() // group_rows))
     # a row's place in the written table: even groups, whatever ids repeat
     placed = rows.withColumn("place", F.monotonically_increasing_id())

@@ -67,7 +67,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), shingle=SHINGLE_WORDS)
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
