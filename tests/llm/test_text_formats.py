@@ -158,3 +158,22 @@ def test_license_scan_against_every_line_and_template(docs_of):
         want = [(i, *plain_scan(t, license_scan.TEMPLATES, containment)) for i, t in rows]
         assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
     assert license_scan.scan(docs_of(["x"]).where("false")).count() == 0
+
+
+def test_wrapped_notices(spark, tmp_path, docs_of):
+    import textwrap
+
+    import __spark_entry__ as E
+    texts, labels = [], []
+    for label, notice in license_scan.TEMPLATES:
+        for width in (16, 30, 70):
+            for sign in ("", " * ", "# "):
+                lines = textwrap.wrap(f"Some words before it. {notice} And more after it.", width)
+                texts.append("Title\n\n" + "\n".join(sign + x for x in lines) + "\n\nEnd")
+                labels.append(label)
+    texts += ["All rights\n\nreserved", "All rights\n *\nreserved", "All of\nthe rights are\nreserved", "one\ntwo", "", None]
+    labels += [""] * 6
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in E.queries()["op8_license_scan"](spark, str(tmp_path)).collect()}
+    assert [got[i].labels for i in range(len(texts))] == labels
+    assert all((got[i].score == 1.0) == bool(x) for i, x in enumerate(labels))

@@ -7,6 +7,10 @@ prefix (its rarest words, one more than may be missing), so only texts holding
 such a word are split into blocks (prefix filter); a block must hold enough
 template words (length filter), and a shared word must leave enough words
 behind it in both orders (positional filter). What is left is verified exactly.
+
+A notice that is wrapped over lines is met by windows: as many neighbouring words of
+a paragraph as the template has. Only texts with enough words of the template are
+searched, from places of its words.
 """
 from __future__ import annotations
 
@@ -36,6 +40,7 @@ TEMPLATES = [
 # Phrases and the label that each gives.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PARAGRAPHS = r"\n(?:[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]*\n)+"  # lines without words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,7 +61,8 @@ def template_rows(templates: list[tuple[str, str]], containment: float) -> list[
     for i, (label, text) in enumerate(templates):
         words = sorted(set(re.split(SEPARATORS, text.lower())) - {""})
         if words:
-            rows.append({"template": i, "label": label, "words": words,
+            length = len([w for w in re.split(SEPARATORS, text.lower()) if w])
+            rows.append({"template": i, "label": label, "words": words, "length": length,
                          "need": max(1, math.ceil(containment * len(words) - 1e-9))})
     return rows
 
@@ -109,13 +115,40 @@ def block_matches(docs: DataFrame, slim: DataFrame, order: list[str], templates:
             .groupBy("text_key", "label").agg(F.max(F.col("shared") / F.size("words")).alias("score")))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def window_matches(docs: DataFrame, slim: DataFrame, templates: list[dict]) -> DataFrame:
+    """``(text_key, label, score)`` for every text and template matched by neighbouring words of a paragraph of several lines."""
+    enough = [F.size(F.array_intersect("held", F.array(*[F.lit(w) for w in t["words"]]))) >= t["need"] for t in templates]
+    some = enough[0]
+    for e in enough[1:]:
+        some = some | e
+    marked = slim.where(some).select("text_key", *[e.alias(f"t{k}") for k, e in enumerate(enough)]).distinct()
+    texts = docs.join(checked_broadcast(marked), "text_key")
+    parts = texts.select("text_key", *[f"t{k}" for k in range(len(templates))],
+                         F.explode(F.split(lowered(F.col("text")), PARAGRAPHS)).alias("part"))
+    parts = parts.where(F.contains("part", F.lit("\n")))
+    parts = parts.withColumn("ws", words_of(F.col("part"))).drop("part")
+
+    def best(t: dict, here: Column) -> Column:
+        own = F.array(*[F.lit(w) for w in t["words"]])
+        # the best window can begin with a word of the template
+        starts = F.filter(F.sequence(F.lit(1), F.size("ws")), lambda i: F.array_contains(own, F.get("ws", i - 1)))
+        shared = F.transform(starts, lambda i: F.size(F.array_intersect(own, F.slice("ws", i, t["length"]))))
+        able = here & (F.size(F.array_intersect(own, F.col("ws"))) >= t["need"])
+        return F.struct(F.lit(t["label"]).alias("label"), F.lit(t["need"]).alias("need"), F.lit(len(t["words"])).alias("n"),
+                        F.when(able, F.array_max(shared)).alias("shared"))
+
+    met = parts.select("text_key", F.explode(F.array(*[best(t, F.col(f"t{k}")) for k, t in enumerate(templates)])).alias("m")).select("text_key", "m.*")
+    return met.where("shared >= need").groupBy("text_key", "label").agg(F.max(F.col("shared") / F.col("n")).alias("score"))
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT, wrapped: bool = False) -> DataFrame:
     """License labels of every row of ``docs``: ``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)``.
 
     ``n_base`` counts the places of the fixed phrases, ``first_word`` and
     ``last_word`` are their smallest and largest start (null without any);
     ``labels`` adds the labels of matched templates, ``score`` is the largest
-    containment (0 without a match). Null texts are empty. Equal texts are
+    containment (0 without a match). ``wrapped``: blocks are single lines, and
+    windows of neighbouring words that go over line ends but not over a line without words. Null texts are empty. Equal texts are
     matched once; rows of one text, repeated ids and null ids get the same labels.
     """
     rows_of_templates = template_rows(templates, containment)
@@ -136,7 +169,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containm
     seen = slim.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     count = {r.word: r.n for r in seen.collect()}  # at most the words of the templates
     order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
-    matched = stage(block_matches(keyed, slim, order, rows_of_templates).groupBy("text_key").agg(
+    blocks = block_matches(keyed, slim, order, rows_of_templates)
+    if wrapped:
+        blocks = blocks.unionByName(window_matches(keyed, slim, rows_of_templates))
+    matched = stage(blocks.groupBy("text_key").agg(
         F.collect_set("label").alias("found"), F.max("score").alias("score")))
 
     starts = F.flatten("starts")

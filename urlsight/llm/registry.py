@@ -71,7 +71,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
