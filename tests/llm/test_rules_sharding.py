@@ -86,3 +86,10 @@ def test_copies_stay_together_and_few_rows_move(docs_of):
     assert spread > 800  # of 1,000 texts
     moved = a.select("doc_id", F.col("shard").alias("before")).join(b, "doc_id").where("shard <> before").count()
     assert moved < 0.4 * 4000  # a modulo would move 94 %
+
+
+def test_shards_without_an_arc_get_their_quota():
+    arcs = [{"arc": i, "cell": i, "shard": s} for i, s in enumerate((0, 2, 0))]
+    pieces = sharding.deal(arcs, {0: 5, 2: 6}, [3, 3, 3, 2])
+    assert [sum(p["until"] - p["start"] for p in pieces if p["shard"] == s) for s in range(4)] == [3, 3, 3, 2]
+    assert [sum(p["until"] - p["start"] for p in pieces if p["arc"] == a) for a in range(3)] == [5, 0, 6]

@@ -40,25 +40,25 @@ def ring(spark: SparkSession, shards: int, virtual_nodes: int = VIRTUAL_NODES) -
     return [{"arc": i, "cell": r.cell, "shard": r.shard} for i, r in enumerate(rows)]
 
 
-def clockwise(arcs: list[dict]) -> list[list[int]]:
-    """For each arc, the distinct shards met clockwise from it."""
+def clockwise(arcs: list[dict], shards: int) -> list[list[int]]:
+    """For each arc, the distinct shards met clockwise from it, then those that lost all their nodes to others."""
     order = [a["shard"] for a in arcs]
     found = []
     for i in range(len(order)):
-        found.append(list(dict.fromkeys(order[i:] + order[:i])))
+        found.append(list(dict.fromkeys([*order[i:], *order[:i], *range(shards)])))
     return found
 
 
 def deal(arcs: list[dict], counts: dict[int, int], quotas: list[int]) -> list[dict]:
     """Which ranks of each arc go to which shard, and their first slot there."""
     room, slots = list(quotas), [0] * len(quotas)
-    ways = clockwise(arcs)
+    ways = clockwise(arcs, len(quotas))
     waiting = [(a["arc"], 0, counts.get(a["arc"], 0)) for a in arcs]
     pieces = []
     for step in range(len(quotas)):
         over = []
         for arc, start, n in waiting:
-            if not n or step >= len(ways[arc]):
+            if not n:
                 continue
             shard = ways[arc][step]
             took = min(n, room[shard])
@@ -69,6 +69,8 @@ def deal(arcs: list[dict], counts: dict[int, int], quotas: list[int]) -> list[di
             if n > took:
                 over.append((arc, start + took, n - took))
         waiting = over
+    if waiting:
+        raise ValueError("the quotas are less than the rows")
     return pieces
 
 
