@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
-__all__ = ["bounded_batches", "checked_broadcast", "stage", "table", "with_columns_checked", "word_lists"]
+__all__ = ["bounded_batches", "checked_broadcast", "discard", "stage", "table", "with_columns_checked", "word_lists"]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -22,7 +22,16 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Deletes the files of a table made by ``stage`` that nothing reads any more."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged.stage_path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, html_extract, license_scan, lm_score, packing, quality_model, quality_rules,
-               sharding, simhash)
+from . import (chat_format, collocations, decontaminate, html_extract, license_scan, lm_score, packing, quality_model,
+               quality_rules, sharding, simhash, spelling_variants, vector_duplicates)
 from .common import table
 
 SHINGLE_WORDS = 3
@@ -84,6 +84,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_duplicates.links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=30, top=2000, share=80)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling_variants.runs(table(spark, sf_dir, "documents"), least_chars=7)
+    words = runs.select(spelling_variants.thinned(F.col("doc_id"), F.col("run"), 31).alias("word"))
+    return spelling_variants.variants(spelling_variants.counted(words, least_chars=7, least_count=2), ratio=10)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -95,6 +109,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_score": op9_lm_score,
     "op10_decontaminate": op10_decontaminate,
+    "op11_vector_duplicates": op11_vector_duplicates,
+    "op12_collocations": op12_collocations,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -186,4 +203,44 @@ SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_m
 FROM q LEFT JOIN g USING (doc_id)"""
 
 
-ORACLE = {"op2_quality_rules": OP2_SQL, "op3_html_extract": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_license_scan": _op8_sql()}
+# Every pair of usable vectors; labels spread along links until none changes.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY 1),
+c AS (SELECT a, min(b) AS least FROM r GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN c ON vec_id = c.a"""
+
+# Every phrase of one to four words is counted.
+OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY 1),
+g AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k FROM w, range(1, 5) ks(k), unnest(range(1, len(ws) - k + 2)) s(i)),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS a, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, phrase HAVING count(*) >= 30),
+c AS (
+  SELECT lang, phrase, f.k, a, ws, c.k AS cut, array_to_string(ws[1:c.k], ' ') AS head, array_to_string(ws[c.k + 1:], ' ') AS tail
+  FROM f, range(1, 4) c(k) WHERE c.k < f.k),
+s AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.cut, h.a AS l, r.a AS r, 2000000::HUGEINT * c.a // (h.a + r.a) AS score
+  FROM c JOIN f h ON c.lang = h.lang AND c.head = h.phrase JOIN f r ON c.lang = r.lang AND c.tail = r.phrase),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (
+  SELECT lang, array_to_string(ws[b:b + z - 1], ' ') AS phrase, max(a) AS above
+  FROM f, range(2, 4) q(z), unnest(range(1, k - z + 2)) o(b) WHERE k > z GROUP BY 1, 2),
+d AS (SELECT m.* FROM m LEFT JOIN i USING (lang, phrase) WHERE above IS NULL OR 100::HUGEINT * above < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM d JOIN t USING (lang) QUALIFY rank <= 2000"""
+
+
+ORACLE = {"op2_quality_rules": OP2_SQL, "op3_html_extract": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_license_scan": _op8_sql(),
+          "op11_vector_duplicates": OP11_SQL, "op12_collocations": OP12_SQL}
