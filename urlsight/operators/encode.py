@@ -125,6 +125,23 @@ def standardize(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
     return j.select(*out)
 
 
+def ordered_target(rows: DataFrame, group_col: str, label_col: str, row_col: str, out: str, strength: float = 1.0,
+                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Target statistic of a category by a prefix over a hashed order, and ``(group, statistic)`` over all rows for new ones.
+
+    A row gets ``(labels of the group's earlier rows + strength * mean label) / (their number + strength)``, so
+    no row sees its own label. ``row_col`` is unique. The prefix sums run over ranges, not one task a group.
+    """
+    from .cumulative import running_sums
+    prior = F.lit(rows.agg(F.avg(label_col)).first()[0])
+    order = F.struct(F.xxhash64(F.lit(seed), F.col(row_col)).alias("h"), F.col(row_col).alias("row"))
+    ranked = running_sums(rows.select("*", order.alias("__at"), F.lit(1).alias("__one")), group_col, "__at", [label_col, "__one"], descending=False)
+    earlier = F.col(f"cum_{label_col}") - F.col(label_col)
+    coded = ranked.select(*[qcol(c) for c in rows.columns], ((earlier + strength * prior) / (F.col("cum___one") - 1 + strength)).alias(out))
+    stats = rows.groupBy(group_col).agg(((F.sum(label_col) + strength * prior) / (F.count(F.lit(1)) + strength)).alias(out))
+    return coded, stats
+
+
 # ------------------------------------------------------------ pyspark.ml pair
 class _TldParams(Params):
     inputCol = Param(Params._dummy(), "inputCol", "TLD column", typeConverter=TypeConverters.toString)

@@ -1,40 +1,46 @@
 """Class weights and the distributed classifier zoo.
 
-Each reference model maps to a ``pyspark.ml`` estimator (AdaBoost and extra
-trees: loops over ``pyspark.ml`` trees). Two presets: ``reference`` (the
-reference's settings, the default) and ``smoke`` (at most 10 rounds/trees, for
-unit tests). The assembled training table is written once to the shared folder
-and read by every model; nothing is cached on executors here.
+Forests, bagging, first-order boosting and logistic regression are
+``pyspark.ml`` estimators; the boosters of their own kind share one binned table
+(``binning``, ``boosting``), extremely randomised trees grow in ``extra_trees``.
+Two presets: ``reference`` (the reference's settings, the default) and ``smoke``
+(at most 10 rounds/trees, for unit tests). The assembled training table is written
+once to the shared folder and read by every model.
 """
 from __future__ import annotations
 
 import json
 import math
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .encode import TldVocab, dummy_names, feature_names, qcol
+from .binning import Binned, binned
+from .boosting import BoostedTrees, Booster, Settings, boosted_stumps
+from .encode import OTHER, TldVocab, bucket_tld, dummy_names, feature_names, ordered_target, qcol
+from .extra_trees import ExtraTrees, ExtraTreesModel
 from .metrics import class_metrics_from_counts, confusion_counts, auc_metrics, curve, log_loss
 
 # --- Fixed values that must equal the reference: model settings --------------
 POS_WEIGHT = 100000 / 16600  # fixed positive-class weight of the XGBoost-style model
 RANDOM_FOREST = dict(numTrees=200, minInstancesPerNode=2, maxDepth=30)
 EXTRA_TREES = dict(numTrees=200, minInstancesPerNode=2, maxDepth=30)
-XGBOOST = dict(maxIter=300, maxDepth=8, stepSize=0.08, subsamplingRate=0.9, featureSubsetStrategy="0.9")
-LIGHTGBM = dict(maxIter=300, maxDepth=6, stepSize=0.08, subsamplingRate=0.9, featureSubsetStrategy="0.9")
-CATBOOST = dict(maxIter=300, maxDepth=8, stepSize=0.08)
+XGBOOST = dict(rounds=300, max_depth=8, learning_rate=0.08, row_share=0.9, feature_share=0.9, l2=1.0, least_hessian=1.0)
+# rows are drawn only every k-th round, and k is 0 unless set: the row share of 0.9 has no effect
+LIGHTGBM = dict(rounds=300, growth="leaf", max_leaves=31, learning_rate=0.08, feature_share=0.9, least_rows=20, least_hessian=1e-3)
+CATBOOST = dict(rounds=300, growth="symmetric", max_depth=8, learning_rate=0.08, l2=3.0, from_average=False)
 GRADIENT_BOOSTING = dict(maxIter=100, maxDepth=4, stepSize=0.1)
-HIST_GRADIENT_BOOSTING = dict(maxIter=400, maxDepth=6, stepSize=0.05, maxBins=255)
+HIST_GRADIENT_BOOSTING = dict(rounds=400, growth="leaf", max_leaves=31, learning_rate=0.05, least_rows=20, least_hessian=1e-3)
 ADABOOST = dict(rounds=200, learning_rate=0.5)
 BAGGING = dict(numTrees=30, minInstancesPerNode=1, maxDepth=30, featureSubsetStrategy="all")
 LOGISTIC_ITERATIONS = 500
@@ -79,13 +85,14 @@ class Trainer:
     name: str
     build: Callable[[str, str | None], object]   # (preset, weight_col) -> estimator
     weighting: str | None                        # None | 'balanced' | 'pos'
+    input: str = "features"                      # 'binned': fits the shared binned table; 'ordered': with TLD statistics instead of dummies
 
 
 def _small(preset: str, settings: dict) -> dict:
     """The settings, or at most 10 trees/rounds of a small depth for unit tests."""
     if preset != "smoke":
         return settings
-    most = {"numTrees": 10, "maxIter": 10, "maxDepth": 5, "rounds": 5}
+    most = {"numTrees": 10, "maxIter": 10, "maxDepth": 5, "max_depth": 5, "rounds": 5}
     return {k: min(v, most[k]) if k in most else v for k, v in settings.items()}
 
 
@@ -97,9 +104,13 @@ def _gbt(preset, w, settings):
     return GBTClassifier(seed=SEED, checkpointInterval=10, **({"weightCol": w} if w else {}), **_small(preset, settings))
 
 
+def _booster(preset, settings):
+    return Booster(Settings(seed=SEED, **_small(preset, settings)))
+
+
 def _logistic(preset, w):
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    kw = dict(featuresCol="scaled", maxIter=10 if preset == "smoke" else LOGISTIC_ITERATIONS, standardization=False, regParam=0.0)
+    kw = dict(featuresCol="scaled", maxIter=10 if preset == "smoke" else LOGISTIC_ITERATIONS, standardization=False, regParam=0.0, tol=1e-12)
     lr = LogisticRegression(weightCol=w, **kw) if w else LogisticRegression(**kw)
     return Pipeline(stages=[scaler, lr])
 
@@ -107,12 +118,12 @@ def _logistic(preset, w):
 TRAINERS: dict[str, Trainer] = {
     "RandomForest": Trainer("RandomForest", lambda p, w: _rf(p, w, RANDOM_FOREST), "balanced"),
     "ExtraTrees": Trainer("ExtraTrees", lambda p, w: ExtraTrees(weight_col=w, **_small(p, EXTRA_TREES)), "balanced"),
-    "XGBoost": Trainer("XGBoost", lambda p, w: _gbt(p, w, XGBOOST), "pos"),
-    "LightGBM": Trainer("LightGBM", lambda p, w: _gbt(p, w, LIGHTGBM), "balanced"),
-    "CatBoost": Trainer("CatBoost", lambda p, w: _gbt(p, w, CATBOOST), "balanced"),
+    "XGBoost": Trainer("XGBoost", lambda p, w: _booster(p, XGBOOST), "pos", "binned"),
+    "LightGBM": Trainer("LightGBM", lambda p, w: _booster(p, LIGHTGBM), "balanced", "binned"),
+    "CatBoost": Trainer("CatBoost", lambda p, w: _booster(p, CATBOOST), "balanced", "ordered"),
     "GradientBoosting": Trainer("GradientBoosting", lambda p, w: _gbt(p, w, GRADIENT_BOOSTING), None),
-    "HistGradientBoosting": Trainer("HistGradientBoosting", lambda p, w: _gbt(p, w, HIST_GRADIENT_BOOSTING), "balanced"),
-    "AdaBoost": Trainer("AdaBoost", lambda p, w: AdaBoostStumps(**_small(p, ADABOOST)), None),
+    "HistGradientBoosting": Trainer("HistGradientBoosting", lambda p, w: _booster(p, HIST_GRADIENT_BOOSTING), "balanced", "binned"),
+    "AdaBoost": Trainer("AdaBoost", lambda p, w: AdaBoostStumps(**_small(p, ADABOOST)), None, "binned"),
     "Bagging": Trainer("Bagging", lambda p, w: _rf(p, w, BAGGING), None),
     "LogisticRegression": Trainer("LogisticRegression", lambda p, w: _logistic(p, w), "balanced"),
 }
@@ -139,15 +150,28 @@ class FittedModel:
     feature_names: list[str]
     model: object
     train_seconds: float
+    category: dict[str, float] | None = None     # TLD -> target statistic, where that stands for the dummies
+    run: str = ""                                # what it was fitted on and how; a saved model is taken again only for the same
+
+    def design(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` and the assembled ``features``."""
+        from .encode import encode
+        vocab = self.vocab_model.getVocabulary()
+        if self.category is None:
+            return assemble(encode(df, vocab, numeric=numeric_of(self.feature_names, vocab), keep=keep), self.feature_names, keep)
+        numeric = self.feature_names[:-1]
+        known = F.create_map(*[F.lit(v) for pair in self.category.items() for v in pair])
+        stat = known[bucket_tld(F.col("tld"), vocab)] if "tld" in df.columns else F.lit(self.category[OTHER])
+        cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in df.columns else F.lit(0).alias(c) for c in numeric]
+        return assemble(df.select(*keep, *cols, stat.alias(CATEGORY)), self.feature_names, keep)
 
     def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
         """V1/V2/V4: encode -> assemble -> model -> ``p``, ``margin`` and the model's ``prediction``."""
-        from .encode import encode
         from .score import class_scores
-        vocab = self.vocab_model.getVocabulary()
-        enc = encode(df, vocab, numeric=numeric_of(self.feature_names, vocab), keep=keep)
-        pred = self.model.transform(assemble(enc, self.feature_names, keep))
-        return class_scores(pred).select(*keep, "p", "margin", "prediction")
+        return class_scores(self.model.transform(self.design(df, keep))).select(*keep, "p", "margin", "prediction")
+
+
+CATEGORY = "tld_target"
 
 
 def prepare(train: DataFrame, top_n: int = 50, numeric: list[str] | None = None):
@@ -181,29 +205,48 @@ def sized(table: DataFrame) -> DataFrame:
     return table.coalesce(max(1, math.ceil(table.count() / ROWS_PER_TASK)))
 
 
+def ordered_table(train: DataFrame, vocab_model, names: list[str], label_col: str = "label") -> tuple[DataFrame, list[str], dict[str, float]]:
+    """The training rows with the ordered target statistic of their TLD instead of dummies, its feature names and the statistics for new rows."""
+    vocab = vocab_model.getVocabulary()
+    numeric = numeric_of(names, vocab)
+    tld = bucket_tld(F.col("tld"), vocab) if "tld" in train.columns else F.lit(OTHER)
+    cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in train.columns else F.lit(0).alias(c) for c in numeric]
+    rows = written(train.select(F.col(label_col).cast("double").alias("label"), tld.alias("tld"), *cols, F.monotonically_increasing_id().alias("row")))
+    coded, stats = ordered_target(rows, "tld", "label", "row", CATEGORY)
+    known = {r["tld"]: r[CATEGORY] for r in stats.collect()}     # the vocabulary's buckets
+    known.setdefault(OTHER, sum(known.values()) / len(known))
+    for t in vocab:
+        known.setdefault(t, known[OTHER])
+    return assemble(coded, [*numeric, CATEGORY], ["label"]).select("label", "features"), [*numeric, CATEGORY], known
+
+
 def fit_one(trainer: Trainer, train: DataFrame, vocab_model, names: list[str], preset: str = "reference",
-            label_col: str = "label", assembled: DataFrame | None = None) -> FittedModel:
-    """Fit one model; the wall time covers ``fit`` only (as in the reference)."""
+            label_col: str = "label", assembled: DataFrame | None = None, shared: Binned | None = None) -> FittedModel:
+    """Fit one model; the wall time covers ``fit`` only (as in the reference).
+
+    ``assembled`` is a training table made before, ``shared`` its binned form.
+    """
     data = training_table(train, vocab_model, names, label_col) if assembled is None else assembled
-    w = None
     counts = class_counts(data, "label")
-    if trainer.weighting == "balanced":
-        data = data.withColumn("weight", balanced_weight(data, "label", counts))
-        w = "weight"
-    elif trainer.weighting == "pos":
-        data = data.withColumn("weight", pos_weight("label"))
-        w = "weight"
+    total, category = sum(counts.values()), None
+    class_weights = {"balanced": tuple(total / (len(counts) * counts[c]) if c in counts else 1.0 for c in (0, 1)),
+                     "pos": (1.0, POS_WEIGHT)}.get(trainer.weighting, (1.0, 1.0))
+    w = None if trainer.weighting is None else "weight"
+    if w and trainer.input == "features":
+        data = data.withColumn("weight", balanced_weight(data, "label", counts) if trainer.weighting == "balanced" else pos_weight("label"))
     est = trainer.build(preset, w)
     if trainer.name == "LogisticRegression":
-        # sklearn's default L2 (C=1) on the weighted loss sum equals regParam = 1 / sum(w);
-        # balanced weights sum to the row count.
-        total_w = sum(counts.values())
-        if trainer.weighting == "pos":
-            total_w = counts.get(0, 0) + POS_WEIGHT * counts.get(1, 0)
+        # sklearn's default L2 (C=1) on the weighted loss sum equals regParam = 1 / sum(w)
+        total_w = sum(class_weights[c] * n for c, n in counts.items())
         est.getStages()[1].setRegParam(1.0 / max(total_w, 1))
     t0 = time.time()
-    model = est.fit(data)
-    return FittedModel(trainer.name, vocab_model, names, model, time.time() - t0)
+    if trainer.input == "features":
+        model = est.fit(data)
+    else:
+        if trainer.input == "ordered":
+            data, names, category = ordered_table(train, vocab_model, names, label_col)
+        model = est.fit(shared if shared is not None and trainer.input == "binned" else binned(data), class_weights)
+    return FittedModel(trainer.name, vocab_model, names, model, time.time() - t0, category)
 
 
 def scored_rows(fitted: FittedModel, test: DataFrame, label_col: str = "label") -> DataFrame:
@@ -237,128 +280,66 @@ class EveryModelFailed(RuntimeError):
     """No model could be fitted; the message holds each model's error."""
 
 
-def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None, preset: str = "reference",
-              label_col: str = "label", numeric: list[str] | None = None):
-    """Fit every trainer on one written table, score the test rows of each once.
+AT_ONCE = 4      # models that are fitted at the same time
+
 
-    A failing model is skipped and reported with its error (reference
-    behaviour); if all fail that is an error. Returns the fitted models, the
-    written scored rows of all of them, the metric rows and the failures.
+def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None, preset: str = "reference",
+              label_col: str = "label", numeric: list[str] | None = None, save_dir: str | None = None, at_once: int = AT_ONCE):
+    """Fit every trainer on one written table and its binned form, score the test rows of each once.
+
+    ``at_once`` models are fitted at the same time, each in a thread with a scheduler
+    pool of its own (shares are fair where the session's scheduler is). With ``save_dir`` every model is
+    saved when it is done, and a later run on the same rows and settings takes it from there. A
+    failing model is skipped and reported with its error (reference behaviour); if all
+    fail that is an error. Returns the fitted models, the written scored rows of all of them, the metric
+    rows and the failures.
     """
     from functools import reduce
+    spark = train.sparkSession
     vocab_model, feat_names = prepare(train, numeric=numeric)
     data = training_table(train, vocab_model, feat_names, label_col)
+    names = names or list(TRAINERS)
+    shared = binned(data) if any(TRAINERS[n].input == "binned" for n in names) else None
+    run = f"{preset}, {len(feat_names)} features, {sorted(class_counts(data).items())}, {data.agg(F.sum(F.xxhash64('label', 'features').cast('decimal(38,0)'))).first()[0]}"
+
+    def fit(name: str) -> FittedModel:
+        from ..sources import io
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        if save_dir and io.path_exists(spark, f"{save_dir}/{name}/meta"):
+            saved = io.load_model(spark, f"{save_dir}/{name}")
+            if saved.run == run:
+                return saved
+        fm = fit_one(TRAINERS[name], train, vocab_model, feat_names, preset, label_col, data, shared)
+        fm.run = run
+        if save_dir:
+            io.save_model(fm, f"{save_dir}/{name}")
+        return fm
+
     fitted, failures = {}, {}
-    for name in (names or list(TRAINERS)):
-        try:
-            fitted[name] = fit_one(TRAINERS[name], train, vocab_model, feat_names, preset, label_col, data)
-        except Exception as exc:  # per-model failure isolation
-            failures[name] = f"{type(exc).__name__}: {exc}"[:500]
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        waiting = {name: pool.submit(inheritable_thread_target(spark)(fit), name) for name in names}
+        for name, done in waiting.items():
+            try:
+                fitted[name] = done.result()
+            except Exception as exc:  # per-model failure isolation
+                failures[name] = f"{type(exc).__name__}: {exc}"[:500]
     if not fitted:
         raise EveryModelFailed("; ".join(f"{n}: {e}" for n, e in failures.items()))
     scored = written(reduce(DataFrame.unionByName, [scored_rows(fm, test, label_col) for fm in fitted.values()]))
     return fitted, scored, evaluate_scored(scored, {n: fm.train_seconds for n, fm in fitted.items()}), failures
 
 
-# --------------------------------------------------------------- extra trees
-class ExtraTrees:
-    """M2: trees over random thresholds, an approximation of extremely randomised trees.
-
-    Spark's trees choose among fixed bin edges. Each group of trees gets edges
-    of its own, drawn uniformly between each feature's minimum and maximum, and
-    sees only which edges a value passes; without bootstrap, square root of the
-    features at each split.
-    """
-
-    EDGES = 15     # random thresholds of a feature in a group
-    GROUP = 10     # trees that share them
-
-    def __init__(self, weight_col: str | None, numTrees: int, minInstancesPerNode: int, maxDepth: int):
-        self.weight_col, self.trees = weight_col, numTrees
-        self.settings = dict(minInstancesPerNode=minInstancesPerNode, maxDepth=maxDepth, bootstrap=False,
-                             featureSubsetStrategy="sqrt", maxBins=self.EDGES + 1)
-        if weight_col:
-            self.settings["weightCol"] = weight_col
-
-    def fit(self, data: DataFrame) -> "ExtraTreesModel":
-        import random
-        from pyspark.ml.stat import Summarizer
-        low, high = data.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("s")).select("s.min", "s.max").first()
-        groups = []
-        for first in range(0, self.trees, self.GROUP):
-            rng = random.Random(SEED + first)
-            edges = [sorted(rng.uniform(a, b) for _ in range(self.EDGES)) for a, b in zip(low, high)]
-            forest = RandomForestClassifier(numTrees=min(self.GROUP, self.trees - first), seed=SEED + first, **self.settings)
-            groups.append((edges, forest.fit(passed(data, edges))))
-        return ExtraTreesModel(groups)
-
-
-def passed(df: DataFrame, edges: list[list[float]]) -> DataFrame:
-    """``df`` with each feature replaced by the number of its edges that it reaches."""
-    table = F.lit([[float(e) for e in row] for row in edges])
-    counts = F.transform(vector_to_array("features"), lambda v, i: F.size(F.filter(F.get(table, i), lambda e: e <= v)).cast("double"))
-    return df.withColumn("features", array_to_vector(counts))
-
-
-class ExtraTreesModel:
-    def __init__(self, groups: list[tuple]):
-        self.groups = groups
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Mean of the trees' class shares, as the forest's probability."""
-        out, total = df.withColumn("__given", F.col("features")), sum(m.getNumTrees for _, m in self.groups)
-        out = out.withColumn("__sum", F.lit(0.0))
-        for edges, model in self.groups:
-            part = model.transform(passed(out.withColumn("features", F.col("__given")), edges))
-            out = part.withColumn("__sum", F.col("__sum") + vector_to_array("probability")[1] * (model.getNumTrees / total)).drop(
-                "rawPrediction", "probability", "prediction")
-        p = F.col("__sum")
-        return (out.withColumn("features", F.col("__given")).withColumn("probability", array_to_vector(F.array(1 - p, p)))
-                .withColumn("prediction", (p > 0.5).cast("double")).drop("__given", "__sum"))
-
-
 # ------------------------------------------------------------------ AdaBoost
-# A stump that misses every label: its alpha is the log of a factor of all weights. (A constant in the
-# plan would make Spark compile new code each round; the table of stumps is data.)
-ALWAYS = (0, float("inf"), -1.0, -1.0)
-
-
 class AdaBoostStumps:
-    """M8: discrete AdaBoost (SAMME, two classes) over depth-1 Spark trees.
-
-    A row's weight follows from the stumps so far, so the features are
-    stored once and no round writes anything: each round reads the training
-    table, fits a weighted ``DecisionTreeClassifier(maxDepth=1)`` and makes one
-    aggregate (error and total); the next total is t + (e^alpha - 1) * e.
-    """
+    """M8: discrete AdaBoost (SAMME, two classes) over stumps of the binned table, one weighted aggregate a round."""
 
     def __init__(self, rounds: int, learning_rate: float):
         self.rounds = rounds
         self.learning_rate = learning_rate
 
-    def fit(self, data: DataFrame) -> "AdaBoostModel":
-        data = data.select("features", "label")
-        total = float(max(data.count(), 1))
-        stumps: list[tuple] = []
-        scale = 1.0 / total
-        for m in range(self.rounds):
-            cur = data.withColumn("weight", stump_weight([*stumps, (ALWAYS, math.log(scale))], F.col("features"), F.col("label")))
-            tree = DecisionTreeClassifier(maxDepth=1, weightCol="weight", seed=SEED + m).fit(cur)
-            stump = _stump_of(tree)
-            miss = _over_stumps([(stump, 1.0)], F.col("features"), lambda acc, x, p: acc + (p != F.col("label")).cast("double"))
-            s = cur.agg(F.sum(F.col("weight") * miss).alias("e"), F.sum("weight").alias("t")).first()
-            err = (s["e"] or 0.0) / s["t"] if s["t"] else 0.0
-            if err <= 0:
-                stumps.append((stump, 1.0))
-                break
-            if err >= 0.5:
-                if not stumps:
-                    stumps.append((stump, 1.0))
-                break
-            alpha = self.learning_rate * math.log((1 - err) / err)
-            stumps.append((stump, alpha))
-            scale /= s["t"] + (math.exp(alpha) - 1) * s["e"]
-        return AdaBoostModel(stumps)
+    def fit(self, data: DataFrame | Binned, class_weights: tuple[float, float] = (1.0, 1.0)) -> "AdaBoostModel":
+        data = data if isinstance(data, Binned) else binned(data)
+        return AdaBoostModel(boosted_stumps(data, self.rounds, self.learning_rate, class_weights))
 
 
 def _stump_table(stumps: list[tuple]) -> Column:
@@ -376,24 +357,6 @@ def _over_stumps(stumps: list[tuple], features: Column, step) -> Column:
     return F.get(F.transform(F.array(vector_to_array(features)), fold), F.lit(0))
 
 
-def stump_weight(stumps: list[tuple], features: Column, label: Column) -> Column:
-    """exp of the summed alphas of the stumps that miss the row's label."""
-    if not stumps:
-        return F.lit(1.0)
-    return F.exp(_over_stumps(stumps, features, lambda acc, s, p: acc + F.when(p != label, s["alpha"]).otherwise(0.0)))
-
-
-def _stump_of(tree) -> tuple:
-    """(feature index, threshold, left class, right class) of a depth-1 tree."""
-    root = tree._call_java("rootNode")
-    if root.getClass().getSimpleName() != "InternalNode":
-        c = float(root.prediction())
-        return (0, float("inf"), c, c)
-    split = root.split()
-    return (int(split.featureIndex()), float(split.threshold()),
-            float(root.leftChild().prediction()), float(root.rightChild().prediction()))
-
-
 class AdaBoostModel:
     def __init__(self, stumps: list[tuple]):
         self.stumps = stumps
@@ -406,13 +369,6 @@ class AdaBoostModel:
             "prediction", (F.col("__p1") > 0.5).cast("double")).drop("__p1")
 
 
-def loss_curve(model, data: DataFrame) -> DataFrame:
-    """Per-iteration log loss of a fitted GBT on ``data``.
-
-    Spark's GBT loss is on {-1, +1} margins: 2 * log(1 + exp(-2 y F)),
-    i.e. twice the binary log loss; it is halved here.
-    """
-    spark = data.sparkSession
-    losses = model.evaluateEachIteration(data)
-    return spark.createDataFrame([(i + 1, float(v) / 2.0) for i, v in enumerate(losses)],
-                                 "iteration int, log_loss double")
+def loss_curve(spark: SparkSession, model) -> DataFrame:
+    """The training log loss after each tree of a boosted model."""
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(model.losses)], "iteration int, log_loss double")

@@ -156,8 +156,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 # -------------------------------------------------------------- models
 def save_model(fitted, path: str) -> None:
-    """One folder per model: TLD vocabulary, the Spark model, metadata."""
-    from ..operators.zoo import AdaBoostModel, ExtraTreesModel
+    """One folder per model: TLD vocabulary, the model, metadata (written last, so it tells that all is there)."""
+    from ..operators.zoo import AdaBoostModel, BoostedTrees, ExtraTreesModel
     spark = SparkSession.getActiveSession()
     fitted.vocab_model.write().overwrite().save(f"{path}/vocab")
     kind = type(fitted.model).__name__
@@ -165,15 +165,12 @@ def save_model(fitted, path: str) -> None:
         spark.createDataFrame([(i, s[0], s[1], s[2], s[3], float(a)) for i, (s, a) in enumerate(fitted.model.stumps)],
                               "i int, feature int, threshold double, left double, right double, alpha double") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
-    elif isinstance(fitted.model, ExtraTreesModel):
-        edges = [(i, json.dumps(e)) for i, (e, _) in enumerate(fitted.model.groups)]
-        spark.createDataFrame(edges, "i int, edges string").coalesce(1).write.mode("overwrite").parquet(f"{path}/model/edges")
-        for i, (_, forest) in enumerate(fitted.model.groups):
-            forest.write().overwrite().save(f"{path}/model/forest-{i}")
+    elif isinstance(fitted.model, (BoostedTrees, ExtraTreesModel)):
+        spark.createDataFrame(list(enumerate(fitted.model.to_json())), "i int, part string").write.mode("overwrite").parquet(f"{path}/model")
     else:
         fitted.model.write().overwrite().save(f"{path}/model")
-    meta = {"name": fitted.name, "kind": kind, "feature_names": fitted.feature_names,
-            "train_seconds": fitted.train_seconds, "model_class": type(fitted.model).__module__ + "." + kind}
+    meta = {"name": fitted.name, "kind": kind, "feature_names": fitted.feature_names, "train_seconds": fitted.train_seconds,
+            "model_class": type(fitted.model).__module__ + "." + kind, "category": fitted.category, "run": fitted.run}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/meta")
 
@@ -183,17 +180,17 @@ def load_model(spark: SparkSession, path: str):
     import importlib
 
     from ..operators.encode import TldVocabModel
-    from ..operators.zoo import AdaBoostModel, ExtraTreesModel, FittedModel
+    from ..operators.zoo import AdaBoostModel, BoostedTrees, ExtraTreesModel, FittedModel
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     vocab = TldVocabModel.load(f"{path}/vocab")
+    own = {c.__name__: c for c in (BoostedTrees, ExtraTreesModel)}
     if meta["kind"] == "AdaBoostModel":
         rows = spark.read.parquet(f"{path}/model").orderBy("i").collect()  # one row per boosting round
         model = AdaBoostModel([((r["feature"], r["threshold"], r["left"], r["right"]), r["alpha"]) for r in rows])
-    elif meta["kind"] == "ExtraTreesModel":
-        from pyspark.ml.classification import RandomForestClassificationModel
-        rows = spark.read.parquet(f"{path}/model/edges").orderBy("i").collect()  # one row per group of trees
-        model = ExtraTreesModel([(json.loads(r["edges"]), RandomForestClassificationModel.load(f"{path}/model/forest-{r['i']}")) for r in rows])
+    elif meta["kind"] in own:
+        rows = spark.read.parquet(f"{path}/model").orderBy("i").collect()  # one row per tree
+        model = own[meta["kind"]].from_json([r["part"] for r in rows])
     else:
         mod, _, cls = meta["model_class"].rpartition(".")
         model = getattr(importlib.import_module(mod), cls).load(f"{path}/model")
-    return FittedModel(meta["name"], vocab, meta["feature_names"], model, meta["train_seconds"])
+    return FittedModel(meta["name"], vocab, meta["feature_names"], model, meta["train_seconds"], meta.get("category"), meta.get("run", ""))
