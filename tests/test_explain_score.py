@@ -60,3 +60,83 @@ def test_row_local_explanations_equal_the_joined_ones(spark):
 def test_null_probability_has_no_verdict(spark):
     r = S.with_verdict(spark.createDataFrame([(None,)], "p double")).first()
     assert [r.verdict, r.probability, r.risk_score, r.gauge_position, r.risk_band, r.recommendation] == [None] * 6
+
+
+# ------------------------------------------------------------------ coalition attribution (E5)
+def _vectors(spark, x):
+    from pyspark.ml.functions import array_to_vector
+    return spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, x array<double>").select("id", array_to_vector("x").alias("features"))
+
+
+def _expression(text):
+    """A model over ``x[0]``, ``x[1]``, ... as SQL."""
+    from pyspark.ml.functions import vector_to_array
+    return lambda df: df.withColumn("x", vector_to_array("features")).withColumn("value", F.expr(text)).drop("x")
+
+
+def test_coalitions_give_exact_shapley_values_by_enumeration(spark):
+    import itertools
+    import math
+
+    import numpy as np
+
+    from urlsight.operators.coalitions import coalition_attribution, coalitions
+    d, rng = 8, np.random.default_rng(0)
+    x, bg = rng.normal(size=(3, d)).round(2), rng.normal(size=(4, d)).round(2)
+    f = lambda v: v[0] * v[1] + math.sin(v[2]) * v[3] - (v[4] > 0) * v[5] + v[6]      # noqa: E731  x[7] has no effect
+    text = "x[0] * x[1] + sin(x[2]) * x[3] - IF(x[4] > 0, x[5], 0) + x[6]"
+    assert len(coalitions(d, 254)[0]) == 254
+    got = {(r.row_id, r.feature): r.attribution for r in coalition_attribution(
+        _vectors(spark, x), _vectors(spark, bg), _expression(text), "id", [f"f{j}" for j in range(d)], most=254).collect()}
+    for i, row in enumerate(x):
+        value = {s: np.mean([f(np.where(np.isin(np.arange(d), s), row, b)) for b in bg]) for k in range(d + 1) for s in itertools.combinations(range(d), k)}
+        for j in range(d):
+            want = sum(math.factorial(len(s)) * math.factorial(d - len(s) - 1) / math.factorial(d) * (value[tuple(sorted((*s, j)))] - value[s])
+                       for s in value if j not in s)
+            assert got[i, f"f{j}"] == pytest.approx(want, abs=1e-9)
+    assert got[0, "f7"] == pytest.approx(0, abs=1e-9)
+
+
+def test_drawn_coalitions_keep_the_sum_and_come_in_pairs(spark):
+    import numpy as np
+
+    from urlsight.operators.coalitions import coalition_attribution, coalitions
+    masks, weights = coalitions(20, 120)
+    assert len(masks) <= 120 and (weights > 0).all() and not masks.all(axis=1).any() and masks.any(axis=1).all()
+    assert {tuple(m) for m in masks} == {tuple(~m) for m in masks}
+    assert {int(m.sum()) for m in masks if m.sum() in (1, 19)} == {1, 19} and sum(m.sum() == 1 for m in masks) == 20
+    x = np.random.default_rng(1).normal(size=(5, 20)).round(2)
+    text = "exp(x[0] / 4) * x[1] + x[2] - x[3]"
+    rows = coalition_attribution(_vectors(spark, x), _vectors(spark, x[:3]), _expression(text), "id", [f"f{j}" for j in range(20)], most=120).collect()
+    f = lambda v: np.exp(v[:, 0] / 4) * v[:, 1] + v[:, 2] - v[:, 3]     # noqa: E731
+    for i in range(5):
+        assert sum(r.attribution for r in rows if r.row_id == i) == pytest.approx(f(x)[i] - f(x[:3]).mean())
+    assert {r.feature: r.value for r in rows if r.row_id == 2} == {f"f{j}": x[2, j] for j in range(20)}
+
+
+def test_coalitions_of_a_logistic_model_equal_its_linear_attribution(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    from urlsight.operators.coalitions import coalition_attribution, model_score
+    df = spark.createDataFrame([(i, float(i % 2 if i % 5 else 1), float(i), float(i * i % 7), float(i % 3)) for i in range(40)],
+                               "id long, label double, a double, b double, c double")
+    x = df.select("id", "label", array_to_vector(F.array("a", "b", "c")).alias("features"))
+    model = LogisticRegression(regParam=0.1).fit(x)
+    got = {(r.row_id, r.feature): r.attribution for r in coalition_attribution(x, x, model_score(model, margin=True), "id", ["a", "b", "c"]).collect()}
+    sd = df.agg(*[F.stddev_pop(n).alias(n) for n in "abc"]).first()
+    coef = {n: F.lit(float(model.coefficients[j] * sd[n])) for j, n in enumerate("abc")}      # of standardised inputs
+    want = {(r.row_id, r.feature): r.attribution for r in E.linear_attribution(df, "id", ["a", "b", "c"], coef=coef).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_permutation_importance_without_windows_over_all(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    from urlsight.operators import split as K
+    from urlsight.operators.attribution import permutation_importance
+    df = spark.range(200).selectExpr("id", "cast(id % 2 AS double) AS label", "id % 2 + (id % 7) / 10 AS a", "cast(id % 5 AS double) AS b")
+    x = K.hash_sample(df, "id", 100).select("id", "label", "sample_rank", array_to_vector(F.array(F.col("a").cast("double"), "b")).alias("features"))
+    got = {r.feature: r for r in permutation_importance(LogisticRegression().fit(x), x, "id", ["a", "b"]).collect()}
+    assert got["a"].auc_drop > 0.2 and abs(got["b"].auc_drop) < 0.05 and got["a"].log_loss_increase > 0

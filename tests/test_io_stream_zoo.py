@@ -43,7 +43,7 @@ def _split(spark, d):
     return sp.where("split = 'train'"), sp.where("split = 'test'")
 
 
-@pytest.mark.parametrize("name", ["LogisticRegression", "AdaBoost", "RandomForest", "ExtraTrees"])
+@pytest.mark.parametrize("name", ["LogisticRegression", "AdaBoost", "RandomForest", "ExtraTrees", "XGBoost", "LightGBM", "CatBoost", "HistGradientBoosting"])
 def test_model_save_load_same_scores(spark, tmp_out, name):
     train, test = _split(spark, SF_MID)
     vm, names = Z.prepare(train)
@@ -107,16 +107,14 @@ def test_an_exact_tie_is_class_zero_in_evaluation(spark):
     assert {r.verdict for r in with_verdict(scored).collect()} == {"phishing"}   # P11 keeps >= 0.5
 
 
-def test_adaboost_weights_follow_from_the_stumps(spark):
-    import math
-    rows = [(0.0, [1.0]), (0.0, [2.0]), (1.0, [3.0]), (0.0, [4.0]), (1.0, [5.0])]
-    from pyspark.ml.functions import array_to_vector
-    df = spark.createDataFrame(rows, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    stumps = [((0, 2.5, 0.0, 1.0), 0.7), ((0, 4.5, 0.0, 1.0), 0.3)]
-    got = [r.w for r in df.select(Z.stump_weight(stumps, F.col("features"), F.col("label")).alias("w")).collect()]
-    assert got == pytest.approx([1.0, 1.0, math.exp(0.3), math.exp(0.7), 1.0])
-    model = Z.AdaBoostStumps(rounds=30, learning_rate=0.5).fit(df)
-    assert 1 <= len(model.stumps) <= 30
+def test_train_all_goes_on_from_saved_models(spark, tmp_out, monkeypatch):
+    train, test = _split(spark, SF_SMALL)
+    first = Z.train_all(train, test, names=["AdaBoost", "LightGBM"], preset="smoke", save_dir=f"{tmp_out}/m")
+    monkeypatch.setattr(Z, "fit_one", lambda *a: (_ for _ in ()).throw(AssertionError("fitted again")))
+    again = Z.train_all(train, test, names=["AdaBoost", "LightGBM"], preset="smoke", save_dir=f"{tmp_out}/m")
+    assert not again[3] and sorted(again[1].collect()) == sorted(first[1].collect())
+    with pytest.raises(Z.EveryModelFailed, match="fitted again"):     # other rows: the saved models are not theirs
+        Z.train_all(train.limit(30), test, names=["AdaBoost"], preset="smoke", save_dir=f"{tmp_out}/m")
 
 
 def test_class_weights_balanced(spark):
@@ -151,7 +149,7 @@ def test_cli_train_and_score(spark, tmp_out):
     main(["train", "--input", f"{tmp_out}/lab", "--output-dir", f"{tmp_out}/run", "--preset", "smoke",
           "--models", "LogisticRegression", "RandomForest", "--key", "page_id"])
     for sub in ["metrics/model_comparison_csv", "metrics/roc_curves", "metrics/confusion", "metrics/best_meta",
-                "models/best", "attribution"]:
+                "models/best", "attribution", "attribution_rows"]:
         assert io.path_exists(spark, f"{tmp_out}/run/{sub}"), sub
     main(["score", "--input", f"{tmp_out}/lab", "--model-dir", f"{tmp_out}/run/models/best",
           "--output", f"{tmp_out}/preds"])
@@ -166,6 +164,18 @@ def test_cli_train_and_score(spark, tmp_out):
     assert spark.read.parquet(f"{tmp_out}/report/bars").count() == 8
 
 
+def test_cli_train_survives_a_failing_attribution(spark, tmp_out, monkeypatch, capsys):
+    """The models and metrics are there, the failure is told."""
+    from urlsight.cli import main
+    from urlsight.operators import attribution
+    monkeypatch.setattr(attribution, "permutation_importance", lambda *a: 1 / 0)
+    T.weak_labelled_urls(spark, SF_SMALL).select("page_id", "url", "label").write.parquet(f"{tmp_out}/lab")
+    main(["train", "--input", f"{tmp_out}/lab", "--output-dir", f"{tmp_out}/run", "--preset", "smoke", "--models", "LogisticRegression", "--key", "page_id"])
+    assert "attribution skipped: ZeroDivisionError" in capsys.readouterr().out
+    assert io.load_model(spark, f"{tmp_out}/run/models/best").name == "LogisticRegression"
+    assert not io.path_exists(spark, f"{tmp_out}/run/attribution")
+
+
 def test_cli_from_csv_files(spark, tmp_out):
     """Precomputed features, URLs only, and a malformed line."""
     from urlsight.cli import main

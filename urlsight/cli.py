@@ -40,7 +40,8 @@ def cmd_train(spark, a):
     from .operators import split as K
     from .operators import zoo as Z
     from .operators.attribution import permutation_importance
-    from .operators.encode import encode, numeric_feature_columns
+    from .operators.coalitions import BACKGROUND_ROWS, coalition_attribution, model_score
+    from .operators.encode import numeric_feature_columns
     from .sources import io
 
     out = a.output_dir.rstrip("/")
@@ -61,15 +62,14 @@ def cmd_train(spark, a):
     split = spark.read.parquet(f"{out}/split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     numeric = numeric_feature_columns(train, exclude=("label", "tld", a.key))                # P5
-    fitted, scored, rows, failures = Z.train_all(train, test, names=a.models, preset=a.preset, numeric=numeric)
+    # each model is saved when it is done; a run that was broken off goes on from there
+    fitted, scored, rows, failures = Z.train_all(train, test, names=a.models, preset=a.preset, numeric=numeric, save_dir=f"{out}/models")
     for name, err in failures.items():
         print(f"model {name} failed: {err}")
     io.write_metrics(M.rank_models(rows), f"{out}/metrics")
     # everything below reads the written metrics and the written scored rows
     metrics = spark.read.schema(M.rank_models(rows).schema).json(f"{out}/metrics/model_comparison_json")
     best = metrics.where("is_best").first()["model"]
-    for name, fm in fitted.items():
-        io.save_model(fm, f"{out}/models/{name}")
     io.save_model(fitted[best], f"{out}/models/best")
     io.write_roc(M.roc_points(M.curve(scored)), metrics, f"{out}/metrics")
     io.write_confusion(M.confusion_long(scored), f"{out}/metrics")
@@ -77,9 +77,10 @@ def cmd_train(spark, a):
     try:  # E8: attribution failure must not fail training
         fm = fitted[best]
         sample = K.hash_sample(test, a.key, 2000)
-        x = Z.assemble(encode(sample, fm.vocab_model.getVocabulary(), numeric=numeric, keep=[a.key, "label"]),
-                       fm.feature_names, [a.key, "label"])
+        x = fm.design(sample, [a.key, "label", "sample_rank"])
         io.write_table(permutation_importance(fm.model, x, a.key, fm.feature_names), f"{out}/attribution")   # E5
+        rows, background = (fm.design(K.hash_sample(test, a.key, n), [a.key]) for n in (a.explain_rows, BACKGROUND_ROWS))
+        io.write_table(coalition_attribution(rows, background, model_score(fm.model), a.key, fm.feature_names), f"{out}/attribution_rows")
     except Exception as exc:
         print(f"attribution skipped: {type(exc).__name__}: {exc}")
 
@@ -156,6 +157,7 @@ def main(argv=None):
     jobs["train"].add_argument("--preset", default="reference", choices=["reference", "smoke"])
     jobs["train"].add_argument("--models", nargs="*", default=None)
     jobs["train"].add_argument("--key", default="row_id")
+    jobs["train"].add_argument("--explain-rows", type=int, default=100)
     jobs["score"].add_argument("--model-dir", required=True)
     jobs["score"].add_argument("--format", default="csv")
     a = p.parse_args(argv)

@@ -2,28 +2,26 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
 from .metrics import auc_metrics, curve, log_loss
 from .score import class_scores
-from .split import hash_order
 
 
 def permutation_importance(model, assembled: DataFrame, key: str, feature_names: list[str],
-                           label_col: str = "label", seed: int = 42) -> DataFrame:
+                           label_col: str = "label") -> DataFrame:
     """E5: ROC-AUC and log-loss increase when one feature is replaced by the
-    value of a hash-paired donor row (a fixed permutation of the rows).
+    value of a donor row (a fixed permutation of the rows).
 
-    ``assembled`` must be a bounded sample (one copy per feature is scored).
+    ``assembled`` must be a bounded sample with its ``sample_rank`` (``split.hash_sample``): one copy per feature is scored.
     """
-    base = assembled.select(key, F.col(label_col).cast("int").alias("y"), vector_to_array("features").alias("x"))
-    # pair row i (in key order) with row i in hash order: a permutation of the sample
-    by_key = base.withColumn("_r", F.row_number().over(Window.orderBy(key)))
-    by_hash = base.select(F.col("x").alias("xd"), F.row_number().over(
-        Window.orderBy(hash_order(F.col(key), seed), key)).alias("_r"))
-    paired = by_key.join(by_hash, "_r").drop("_r")
+    base = written(assembled.select(key, "sample_rank", F.col(label_col).cast("int").alias("y"), vector_to_array("features").alias("x")))
+    n = base.count()
+    # the row that stands next in the sample's hash order, the first after the last: a fixed permutation
+    donors = base.select(F.when(F.col("sample_rank") == 1, F.lit(n)).otherwise(F.col("sample_rank") - 1).alias("sample_rank"), F.col("x").alias("xd"))
+    paired = base.join(donors, "sample_rank")
     k = len(feature_names)
     names = F.array(*[F.lit(n) for n in feature_names])
     # one task for each feature: the sample itself comes out of its top-k in one partition

@@ -1,13 +1,16 @@
 """Registered scoring-rule and explanation queries."""
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.url import NUMERIC_FEATURES
 from ..operators import encode as N
 from ..operators import explain as E
 from ..operators import score as S
+from ..operators import split as K
 from ..operators import zoo as Z
+from ..operators.coalitions import BACKGROUND_ROWS, coalition_attribution
 from ..sources import tables as T
 from . import oracle_views as V
 from .encode_queries import ORACLE as ENC_ORACLE
@@ -36,6 +39,23 @@ def _attr(s, d):
     return E.linear_attribution(T.labelled_urls(s, d), "page_id", FEATS)
 
 
+def _linear_coalitions(s, d):
+    """E5 of a linear model (label correlations over standard deviations): explained rows K2, background K3."""
+    rows = T.labelled_urls(s, d)
+    x = [F.col(c).cast("double") for c in FEATS]
+    stats = rows.agg(*[F.covar_pop(c, F.col("label").cast("double")).alias(f"c{i}") for i, c in enumerate(x)],
+                     *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(x)], F.stddev_pop("label").alias("sy")).first()    # one row
+    coef = [(stats[f"c{i}"] / (stats[f"v{i}"] * stats["sy"])) if stats[f"v{i}"] and stats["sy"] else 0.0 for i in range(len(FEATS))]
+
+    def score(df):
+        terms = F.zip_with(vector_to_array("features"), F.array(*[F.lit(float(c)) for c in coef]), lambda a, b: a * b)
+        return df.withColumn("value", F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
+
+    sample, background = (Z.assemble(K.hash_sample(rows, "page_id", n), FEATS, ["page_id"]) for n in (2000, BACKGROUND_ROWS))
+    found = coalition_attribution(sample, background, score, "page_id", FEATS, most=128)
+    return found.withColumn("attribution", F.round("attribution", 6) + 0.0)
+
+
 QUERIES = {
     "verdict_rules": _verdict_rules,
     "batch_kpis": lambda s, d: S.batch_kpis(T.scored(s, d)),
@@ -45,6 +65,7 @@ QUERIES = {
     "linear_attribution": lambda s, d: _attr(s, d).withColumn("attribution", F.round("attribution", 6)),
     "mean_abs_attribution": lambda s, d: E.mean_abs_attribution(_attr(s, d)),
     "beeswarm": lambda s, d: E.beeswarm(_attr(s, d)).withColumn("attribution", F.round("attribution", 6)),
+    "coalition_attribution": _linear_coalitions,
     "class_weights": lambda s, d: Z.with_class_weights(T.labelled_urls(s, d)).select(
         "page_id", "label", "w_balanced", "w_pos"),
 }
@@ -106,6 +127,12 @@ ORACLE = {
     "mean_abs_attribution": f"WITH {_ATTR} SELECT * FROM mabs WHERE rank <= 20",
     "beeswarm": f"""WITH {_ATTR} SELECT row_id, feature, value, round(attribution, 6) AS attribution FROM attr
         WHERE feature IN (SELECT feature FROM mabs WHERE rank <= 10)""",
+    "coalition_attribution": f"""WITH {_ATTR},
+        ranked AS (SELECT page_id, row_number() OVER (ORDER BY md5('42:' || page_id), page_id) AS r FROM lu),
+        bg AS (SELECT feature, avg(value) AS mb FROM lg JOIN ranked USING (page_id) WHERE r <= 100 GROUP BY feature)
+        SELECT page_id AS row_id, lg.feature, value,
+               round(coalesce(CASE WHEN s * sy <> 0 THEN c / (s * sy) END * (value - mb) / CASE WHEN s <> 0 THEN s END, 0.0), 6) + 0.0 AS attribution
+        FROM lg JOIN ranked USING (page_id) JOIN st ON lg.feature = st.feature JOIN bg ON lg.feature = bg.feature WHERE r <= 2000""",
     "class_weights": f"""WITH {V.url_features_view()}, {V.LABELLED},
         c AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total FROM lu GROUP BY label)
         SELECT page_id, label, CAST(total AS DOUBLE) / (2 * n) AS w_balanced,
