@@ -7,9 +7,12 @@ words is left (running Karp-Rabin: window hashes from long to short). The share
 of the item's words under tiles is its coverage; order does not matter, so a
 passage whose sentences were moved is found too.
 
+An item shorter than a seed is a seed of its own length: it is found where it stands whole.
+
 A small benchmark (its bytes are counted) is sent to every task, and seeds
 are looked up there. Beyond ``MAX_SENT_BYTES``, seeds are joined by a shuffle and
-only texts that may be covered far enough are tiled.
+only texts that may be covered far enough are tiled. Both ways tell items apart by
+row, since ids may repeat.
 """
 from __future__ import annotations
 
@@ -115,7 +118,7 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = LEAST) -> tuple[int, l
 
 
 class Benchmark:
-    """Items as word ids, with an index from seed hashes to items."""
+    """Items as word ids, with an index from seed hashes to items for each length of seeds."""
 
     def __init__(self, items: list[tuple[int, bytes]], least: int, coverage: float):
         self.least, self.coverage = least, coverage
@@ -123,55 +126,50 @@ class Benchmark:
         self.ids, self.items = [], []
         for item_id, text in items:
             words = [self.vocabulary.setdefault(w, len(self.vocabulary)) for part in folded(text) for w in part]
-            if len(words) >= least:
+            if words:
                 self.ids.append(item_id)
                 self.items.append(np.array(words, np.int64))
-        seeds = [(window_hashes(x, least), k) for k, x in enumerate(self.items)]
-        hashes = np.concatenate([h for h, _ in seeds]) if seeds else np.zeros(0, np.uint64)
-        owner = np.concatenate([np.full(len(h), k) for h, k in seeds]) if seeds else np.zeros(0, np.int64)
-        place = np.concatenate([np.arange(len(h)) for h, _ in seeds]) if seeds else np.zeros(0, np.int64)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owner, self.place = hashes[order], owner[order], place[order]
+        self.index = {}
+        for size in sorted({min(least, len(x)) for x in self.items}):
+            seeds = [(window_hashes(x, size), k) for k, x in enumerate(self.items) if min(least, len(x)) == size]
+            hashes = np.concatenate([h for h, _ in seeds])
+            order = np.argsort(hashes, kind="stable")
+            owner, place = np.concatenate([np.full(len(h), k) for h, k in seeds]), np.concatenate([np.arange(len(h)) for h, _ in seeds])
+            self.index[size] = hashes[order], owner[order], place[order]
 
     def leaks(self, text: bytes | None) -> list[tuple]:
         """Every item that the text covers far enough, as rows of ``LEAK``."""
         get = self.vocabulary.get
         parts = [np.fromiter(map(get, part, repeat(-1)), np.int64, len(part)) for part in folded(text)]
         words = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        least = self.least
-        if len(words) < least or not len(self.hashes):
-            return []
-        known = words >= 0
-        run = known[:len(words) - least + 1].copy()
-        for k in range(1, least):
-            run &= known[k:len(words) - least + 1 + k]
+        return sorted(leak for size in self.index if size <= len(words) for leak in self._leaks(words, size))
+
+    def _leaks(self, words: np.ndarray, size: int) -> Iterator[tuple]:
+        known, (seeds_, owner, place) = words >= 0, self.index[size]
+        run = known[:len(words) - size + 1].copy()
+        for k in range(1, size):
+            run &= known[k:len(words) - size + 1 + k]
         starts = np.flatnonzero(run)
-        if not len(starts):
-            return []
-        hashes = hashes_at(words, starts, least)
-        left = np.searchsorted(self.hashes, hashes, "left")
-        right = np.searchsorted(self.hashes, hashes, "right")
-        if not (right > left).any():
-            return []
+        hashes = hashes_at(words, starts, size)
+        left = np.searchsorted(seeds_, hashes, "left")
+        right = np.searchsorted(seeds_, hashes, "right")
         starts, left, right = starts[right > left], left[right > left], right[right > left]
         met: dict[int, tuple[set, list]] = {}
         for s, a, b in zip(starts.tolist(), left.tolist(), right.tolist()):
             for k in range(a, b):
-                seeds, at = met.setdefault(int(self.owner[k]), (set(), []))
-                seeds.add(int(self.place[k]))
+                seeds, at = met.setdefault(int(owner[k]), (set(), []))
+                seeds.add(int(place[k]))
                 at.append(s)
-        out = []
         for k, (seeds, at) in met.items():
             item = self.items[k]
             reach = np.zeros(len(item), bool)
             for p in seeds:
-                reach[p:p + least] = True
+                reach[p:p + size] = True
             if reach.sum() < self.coverage * len(item) - 1e-9:
                 continue
-            covered, tiles = tile(item, near(words, at, least), least)
+            covered, tiles = tile(item, near(words, at, size), size)
             if covered >= self.coverage * len(item) - 1e-9:
-                out.append((self.ids[k], len(item), covered, covered / len(item), len(tiles), max(tiles)))
-        return sorted(out)
+                yield self.ids[k], len(item), covered, covered / len(item), len(tiles), max(tiles)
 
 
 def near(words: np.ndarray, at: list[int], least: int) -> np.ndarray:
@@ -218,41 +216,46 @@ def _text_key() -> Column:
 
 def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float) -> DataFrame:
     """``(text_key, LEAK)`` for every text of ``docs``: seeds are joined, then candidates are tiled."""
-    def seeds_of(text: bytes | None) -> tuple[int, np.ndarray]:
+    def seeds_of(words: list[bytes], size: int) -> np.ndarray:
         import xxhash
-        words = [w for part in folded(text) for w in part]
-        grams = map(b" ".join, zip(*(words[i:] for i in range(least))))
-        return len(words), np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, max(0, len(words) - least + 1)).view(np.int64)
+        grams = map(b" ".join, zip(*(words[i:] for i in range(size))))
+        return np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, max(0, len(words) - size + 1)).view(np.int64)
 
-    @F.pandas_udf("array<long>")
-    def distinct(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(seeds_of(t)[1]) for t in texts])
+    def words_of(text: bytes | None) -> list[bytes]:
+        return [w for part in folded(text) for w in part]
 
     @F.pandas_udf("n int, seeds array<long>")
     def in_order(texts: pd.Series) -> pd.DataFrame:
-        found = [seeds_of(t) for t in texts]
-        return pd.DataFrame({"n": [f[0] for f in found], "seeds": [f[1] for f in found]})
+        found = [words_of(t) for t in texts]
+        return pd.DataFrame({"n": [len(w) for w in found], "seeds": [seeds_of(w, min(least, len(w))) if w else [] for w in found]})
 
     @F.pandas_udf(LEAK.replace("item_id long, ", ""))
     def tiled(texts: pd.Series, items: pd.Series) -> pd.DataFrame:
         rows = []
         for text, item in zip(texts, items):
             known: dict[bytes, int] = {}
-            a = np.array([known.setdefault(w, len(known)) for part in folded(item) for w in part], np.int64)
-            b = np.array([known.get(w, -1) for part in folded(text) for w in part], np.int64)
-            covered, tiles = tile(a, b, least)
+            a = np.array([known.setdefault(w, len(known)) for w in words_of(item)], np.int64)
+            b = np.array([known.get(w, -1) for w in words_of(text)], np.int64)
+            covered, tiles = tile(a, b, min(least, len(a)))
             rows.append((len(a), covered, covered / len(a), len(tiles), max(tiles, default=0)))
         return pd.DataFrame(rows, columns=["item_words", "covered_words", "coverage", "tiles", "longest"])
 
-    items = stage(bench.withColumn("s", in_order("text")).select("item_id", "text", F.col("s.n").alias("n"), F.col("s.seeds").alias("seeds")))
-    by_seed = items.select("item_id", "n", F.posexplode("seeds").alias("at", "seed"))
+    items = stage(bench.withColumn("s", in_order("text")).where("s.n > 0").select(
+        F.monotonically_increasing_id().alias("item_row"), "item_id", "text", F.col("s.n").alias("n"), F.col("s.seeds").alias("seeds")))
+    sizes = sorted(r[0] for r in items.select(F.least("n", F.lit(least)).alias("size")).distinct().collect())    # at most ``least`` numbers
+
+    @F.pandas_udf("array<struct<size:int,seed:long>>")
+    def distinct(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"size": size, "seed": seed} for size in sizes for seed in np.unique(seeds_of(words, size)).tolist()] for words in map(words_of, texts)])
+
+    by_seed = items.select("item_row", "n", F.least("n", F.lit(least)).alias("size"), F.posexplode("seeds").alias("at", "seed"))
     texts = docs.select(_text_key().alias("text_key"), F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
-    of_texts = texts.select("text_key", F.explode(distinct("text")).alias("seed")).distinct()
-    met = of_texts.join(by_seed, "seed").groupBy("text_key", "item_id").agg(F.first("n").alias("n"), F.countDistinct("at").alias("shared"))
-    # a seed covers at most ``least`` words of the item
-    pairs = stage(met.where(F.col("shared") * least >= F.col("n") * coverage - 1e-9).select("text_key", "item_id"))
+    of_texts = texts.select("text_key", F.explode(distinct("text")).alias("s")).select("text_key", "s.*").distinct()
+    met = of_texts.join(by_seed, ["size", "seed"]).groupBy("text_key", "item_row", "n", "size").agg(F.countDistinct("at").alias("shared"))
+    # a seed covers at most its own number of words of the item
+    pairs = stage(met.where(F.col("shared") * F.col("size") >= F.col("n") * coverage - 1e-9).select("text_key", "item_row"))
     once = texts.join(pairs.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    both = pairs.join(once, "text_key").join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    both = pairs.join(once, "text_key").join(items.select("item_row", "item_id", F.col("text").alias("item")), "item_row")
     found = both.select("text_key", "item_id", tiled("text", "item").alias("t")).select("text_key", "item_id", "t.*")
     return found.where(F.col("covered_words") >= F.col("item_words") * coverage - 1e-9)
 
@@ -261,8 +264,9 @@ def find(docs: DataFrame, bench: DataFrame, least: int = LEAST, coverage: float
     """``(doc_id, LEAK)``: each row of ``docs`` with each benchmark item that it holds.
 
     Null and empty texts hold nothing, items of fewer than ``least`` words are
-    never found, repeated rows are found each, and rows without id keep a null
-    id. Other columns are not read; empty tables give an empty result.
+    found where they stand whole, items without words never. Repeated rows of either table
+    are found each, and rows of ``docs`` without id keep a null id. Other
+    columns are not read; empty tables give an empty result.
     """
     bounded_batches(docs.sparkSession)
     docs, bench = with_columns_checked(docs, "doc_id", "text"), _benchmark(bench)
@@ -277,8 +281,8 @@ def clean(docs: DataFrame, bench: DataFrame, least: int = LEAST, coverage: float
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
     bounded_batches(docs.sparkSession)
     items = _benchmark(bench)
+    rows = docs.select(F.struct("*").alias("row"), "text")      # whatever the columns are called
     if _small(items):
-        marked = docs.withColumn("__leaks", leak_column(items, F.col("text"), least, coverage))
-        return marked.where(F.size("__leaks") == 0).select(*docs.columns)
-    found = stage(_by_shuffle(docs, items, least, coverage).select(F.col("text_key").alias("__key")).distinct())
-    return docs.withColumn("__key", _text_key()).join(found, "__key", "left_anti").select(*docs.columns)
+        return rows.where(F.size(leak_column(items, F.col("text"), least, coverage)) == 0).select("row.*")
+    found = stage(_by_shuffle(docs.select("text"), items, least, coverage).select("text_key").distinct())
+    return rows.select("row", _text_key().alias("text_key")).join(found, "text_key", "left_anti").select("row.*")

@@ -112,9 +112,9 @@ def ledger(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, policy: str) -> DataFrame:
     """The rows of ``docs`` that pass a policy, with their columns."""
-    found = _measured(docs).withColumn("__bits", fail_bits("__m"))
+    rows = docs.select(F.struct("*").alias("row"), "text")      # whatever the columns are called
     wanted = F.lit(bits(*POLICIES[policy])).cast("long")
-    return found.where(F.col("__bits").bitwiseAND(wanted) == 0).select(*docs.columns)
+    return _measured(rows).where(fail_bits("__m").bitwiseAND(wanted) == 0).select("row.*")
 
 
 def ablations(ledger_rows: DataFrame, policy: str) -> DataFrame:
