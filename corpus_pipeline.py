@@ -21,8 +21,8 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below one half go. The model learns from the labelled documents of the table."""
-    scored = quality_model.score(docs, registry.quality_classifier(spark, sf_dir), "__score")
-    return scored.where(F.col("__score") >= 0.5).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")      # whatever the columns are called
+    return quality_model.score(rows, registry.quality_classifier(spark, sf_dir)).where("score >= 0.5").select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
