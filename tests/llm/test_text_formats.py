@@ -56,6 +56,39 @@ def test_names_are_hints_only(page, text):
     assert html_extract.extract(page, {}) == text
 
 
+TEASER = "Another story that somebody wrote about a thing that happened elsewhere in the world last week."
+
+
+@pytest.mark.parametrize("page, text", [
+    # reader comments in article elements, inside and after the text
+    (f"<main><p>{PROSE}</p><article class='comment'><p>{TEASER}</p></article></main>", PROSE),
+    (f"<article><h1>T</h1><p>{PROSE}</p></article><div class='comments-area'><ol class='comment-list'><li class='comment'>"
+     f"<article class='comment-body'><p>{TEASER}</p></article></li></ol></div>", f"T\n{PROSE}"),
+    (f"<article class='post type-post tag-social category-ads'><p>{PROSE}</p></article>", PROSE),
+    (f"<article class='comment'><p>{PROSE}</p><p>{PROSE}</p></article>", f"{PROSE}\n{PROSE}"),      # most of the page
+    # teasers
+    (f"<article><p>{PROSE}</p></article><aside><article><p>{TEASER}</p></article></aside>", PROSE),
+    (f"<aside><article><p>{TEASER}</p></article></aside><article><p>{PROSE}</p><p>{PROSE}</p></article>", f"{PROSE}\n{PROSE}"),
+    # what is left out doesn't end the text, however long
+    (f"<article><p>{PROSE}</p><aside>{'far ' * 400}</aside><p>{TEASER}</p></article>", f"{PROSE}\n{TEASER}"),
+    (f"<article><p>Short start.</p><div class=comments>{'<p>said</p>' * 300}</div><p>{TEASER}</p></article>", f"Short start.\n{TEASER}"),
+    # pages without article and main: headings, nested boxes, lists
+    ("<body><nav><a href=x>Home</a></nav><h1>A title</h1>" + f"<div><div><div><p>{PROSE}</p></div></div></div>" * 6 + "<footer>end</footer>", "A title\n" + "\n".join([PROSE] * 6)),
+    (f"<div><ul><li><a href=a>one</a></li><li><a href=b>two</a></li></ul></div><div><h2>Head</h2><p>{PROSE}</p><ul><li>first point of it</li><li>second</li></ul><p>{PROSE}</p></div>"
+     "<div><a href=c>three</a> <a href=d>four</a></div>", f"Head\n{PROSE}\nfirst point of it\nsecond\n{PROSE}")])
+def test_comments_teasers_asides_and_unmarked_pages(page, text):
+    assert html_extract.extract(page, {}) == text
+
+
+def test_shapes_learned_from_marked_pages_hold_on_unmarked_ones(spark):
+    marked = f"<div><a href=x>Home page</a></div><article><h1>A title</h1><p>{PROSE}</p><p>{TEASER}</p></article><div><a href=y>Go on</a></div>"
+    pages = spark.createDataFrame([(i, marked) for i in range(20)], "page_id long, html string")
+    weights = html_extract.learn(pages)
+    assert weights["shape text-0-2"] > 0 > weights["shape text-3-0"] and weights["shape heading-0-0"] > 0
+    plain = marked.replace("article", "div")
+    assert html_extract.extract(plain, weights) == html_extract.extract(marked, weights) == f"A title\n{PROSE}\n{TEASER}"
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "mine"), (1, "u", PAGE, "mine"), (2, None, None, None), (None, "v", "", "x"), (3, "w", "<article><p>" + "word " * 100_000, "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("weights", F.lit("clash"))

@@ -4,9 +4,14 @@ A page becomes a sequence of words and tags. Words score positive and tags
 negative; a word's weight depends on the kind of container it stands in and on
 whether it is link text, a tag's on its name and container. The weights are log
 ratios learned from labelled pages: pages that mark their content with an
-``article`` or ``main`` element, counted over the whole table. One linear scan
-finds the contiguous region with the largest sum; its blocks, less those in
-menus, adverts and the like, are the text.
+``article`` or ``main`` element, counted over the whole table. On a page without
+such an element, a word's weight comes from the shape of its block (heading or
+not, share of link text, length), learned from the same pages as if they weren't marked.
+One linear scan finds the contiguous region with the largest sum; its blocks,
+less those in menus, adverts and the like, are the text.
+
+An ``article`` inside of a comment list, a sidebar or the like is part of that, and one
+whose own class says that it is a comment or a teaser is no content.
 
 Class names and ids are hints only. They count for nothing on ``html``, ``body``
 and headings, and on a container with most of the page's scored words (inside of
@@ -57,6 +62,10 @@ HINTS = [
 AMBIGUOUS = {"advertising", "promotion", "banner", "comment", "replies", "respond", "discussion", "navigation", "menu", "toc", "side", "related",
              "recommended", "widget", "widgets", "share", "sharing", "social", "tags", "consent", "notice", "overlay", "subscribe", "alert",
              "header", "topbar", "copyright", "legal", "form", "login", "signup", "search"}
+# First words of class names that make an article element a comment or a teaser, and beginnings of class names that file a page under something.
+NOT_ARTICLES = [("comments", {"comment", "comments", "reply", "replies", "response"}), ("advert", {"ad", "ads", "advert", "sponsored", "promo"}),
+                ("side", {"related", "teaser", "recommended", "sidebar"})]
+TAXONOMY = ("tag-", "category-", "type-", "format-", "status-", "post-")
 NO_HINTS = {"html", "body", "h1", "h2", "h3", "h4", "h5", "h6"}
 ABOUT = {"has", "have", "no", "with", "without"}  # "has-sidebar" is not the sidebar
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""", re.I)
@@ -66,7 +75,10 @@ SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 def container_kind(name: str, attributes: str) -> tuple[str | None, str]:
     """What an element is for ("content", a kind of boilerplate, or None), and by what: "markup", a "whole" name, part of a "name" or an "ambiguous" one."""
     if name in CONTENT:
-        return "content", "markup"
+        names = [v.strip("\"'").lower() for k, v in NAMES.findall(attributes) if k.lower() in ("class", "id")]
+        words = {w for v in names for one in v.split() if not one.startswith(TAXONOMY) for w in SPLIT.split(one)[:1]}
+        kind = next((kind for kind, hints in NOT_ARTICLES if words & hints), None)
+        return (kind, "name") if kind else ("content", "markup")
     if name in BOILER:
         return BOILER[name], "markup"
     if name in INLINE or name in ("html", "body") or not attributes.strip():
@@ -158,6 +170,8 @@ def _walk(page: str, settled: dict[int, str | None] | None, named: dict[int, lis
             place = -1
             if name == "header" and kinds[-1] == "content":
                 kind = None  # an article's own heading
+            if kind == "content" and kinds[-1] not in ("body", "soft", "content"):
+                kind = None  # part of a comment list, a sidebar, ...
             if kind and how != "markup":
                 if settled is None:
                     place = m.start()
@@ -165,6 +179,8 @@ def _walk(page: str, settled: dict[int, str | None] | None, named: dict[int, lis
                     kind = None
                 else:
                     kind = settled.get(m.start())
+                    if name in CONTENT and kind is None and kinds[-1] in ("body", "soft"):
+                        kind = "content"  # most of the page, whatever its class
                     within = kinds[-1] == "content" or kinds[-1].startswith("in-")
                     if kind == "own":
                         kind = None if within else "header"
@@ -229,19 +245,35 @@ def blocks(page: str) -> list[tuple[str, str, int, int, list[str]]]:
 KNOWN = (INLINE | CONTAINERS | CONTENT | set(BOILER) | UNSEEN | {f"h{i}" for i in range(1, 7)}
          | {"p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "pre", "hr", "meta", "link", "figcaption", "caption", "summary", "address"})
 LIMIT = 4.0
+HEADINGS = {f"h{i}" for i in range(1, 7)}
 DEFAULTS = {"word": 1.0, "link": -1.0, "prose tag": -0.5, "tag": -2.0}
+UNMARKED_TAG = -0.3  # of any tag on a page without article and main
 SOFT = 0.5  # share of its weight that a word keeps under an ambiguous name
 PLAIN = {"body", "soft"}
 
 
+def shape(words: int, links: int, tags: list[str]) -> str:
+    """What a block looks like without regard to its container."""
+    heading = bool(tags) and tags[-1].split(" ")[1] in HEADINGS
+    linked = sum(links > words * part for part in (0, 0.33, 0.66))
+    length = sum(words >= n for n in (5, 12, 30))
+    return f"shape {'heading' if heading else 'text'}-{linked}-{length}"
+
+
+def is_labelled(found: list[tuple]) -> bool:
+    return any(t in ("content article", "content main") for b in found for t in b[4])
+
+
 def page_counts(page: str) -> Counter:
     """Words and tags inside and outside the labelled content; empty if the page isn't labelled."""
     count: Counter = Counter()
     found = blocks(page)
-    if not any(t in ("content article", "content main") for b in found for t in b[4]):
+    if not is_labelled(found):
         return count
     for text, kind, words, links, tags in found:
         side = int(kind == "content")
+        if text and kind in {"content"} | PLAIN:
+            count[shape(words, links, tags), side] += words
         # on a labelled page, text outside of any telling container is not content
         count[f"word {'outside' if kind in PLAIN else kind}", side] += words - links
         count[f"link {'outside' if kind in PLAIN else kind}", side] += links
@@ -267,11 +299,14 @@ def learn(pages: DataFrame) -> dict[str, float]:
     rows = counted.groupBy("feature").agg(F.sum(F.when(F.col("side") == 1, F.col("n"))).alias("inside"),
                                           F.sum(F.when(F.col("side") == 0, F.col("n"))).alias("outside")).collect()
     sums = {what: [sum(getattr(r, side) or 0 for r in rows if r.feature.startswith(what)) + 1.0 for side in ("inside", "outside")]
-            for what in ("word", "link", "tag")}
+            for what in ("word", "link", "tag", "shape")}
     weights = {}
     for r in rows:
         what = r.feature.split(" ")[0]
-        if what == "tag":
+        if what == "shape":
+            value = math.log(((r.inside or 0) + 0.5) / sums[what][0]) - math.log(((r.outside or 0) + 0.5) / sums[what][1])
+            weights[r.feature] = max(-LIMIT, min(LIMIT, value))
+        elif what == "tag":
             n_in, n_out = sums["tag"]
             value = math.log(((r.inside or 0) + 0.5) / n_in) - math.log(((r.outside or 0) + 0.5) / n_out)
             weights[r.feature] = max(-LIMIT, min(-0.1, value))
@@ -282,10 +317,10 @@ def learn(pages: DataFrame) -> dict[str, float]:
 
 
 def weigh(weights: dict[str, float], feature: str) -> float:
-    """A learned weight, or what a feature that no labelled page shows gets."""
+    """A learned weight, or what a feature that no labelled page shows gets. What is left out inside of content weighs nothing."""
     what, kind = feature.split(" ")[:2]
     if kind.startswith("in-"):
-        return -0.05
+        return 0.0
     if feature in weights:
         return weights[feature]
     if what == "tag":
@@ -294,19 +329,30 @@ def weigh(weights: dict[str, float], feature: str) -> float:
     return {"content": 1.0, "body": DEFAULTS[what], "outside": DEFAULTS[what], "soft": soft}.get(kind, -1.0)
 
 
+def weigh_shape(weights: dict[str, float], feature: str) -> float:
+    """The weight of a word in a block of an unmarked page: learned, or by links and length."""
+    if feature in weights:
+        return weights[feature]
+    kind, linked, length = feature.split(" ")[1].split("-")
+    return (1.0 if kind == "heading" or length != "0" else 0.25) if linked == "0" else 0.5 - 0.5 * int(linked)
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text of a page: blocks of the best region, one a line (null or without content: empty)."""
     found = blocks(page or "")
-    labelled = any(t in ("content article", "content main") for b in found for t in b[4])
+    labelled = is_labelled(found)
     best, best_span, here, begin = 0.0, (0, 0), 0.0, 0
     for i, (text, kind, words, links, tags) in enumerate(found):
         for t in tags:
-            here += weigh(weights, f"tag {t}")
+            here += weigh(weights, f"tag {t}") if labelled else 0.0 if t.startswith("in-") else UNMARKED_TAG
             if here <= 0:
                 here, begin = 0.0, i
         if text:
-            place = "outside" if labelled and kind in PLAIN else kind
-            here += (words - links) * weigh(weights, f"word {place}") + links * weigh(weights, f"link {place}")
+            if labelled or kind not in PLAIN:
+                place = "outside" if kind in PLAIN else kind
+                here += (words - links) * weigh(weights, f"word {place}") + links * weigh(weights, f"link {place}")
+            else:
+                here += words * weigh_shape(weights, shape(words, links, tags)) * (SOFT if kind == "soft" else 1)
             if here <= 0:
                 here, begin = 0.0, i + 1
             elif here > best:
