@@ -1,6 +1,7 @@
 """SimHash links against all pairs, fingerprints against a plain version."""
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -45,7 +46,9 @@ def test_fingerprint_of_a_text_in_pieces(monkeypatch):
     assert simhash.fingerprint(None, 3) == 0
 
 
-def test_links_equal_all_pairs(spark):
+@pytest.mark.parametrize("hot", [512, 1])
+def test_links_equal_all_pairs(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_HALF", hot)       # 1: every shared half is split
     rng = random.Random(5)
     fps = []
     for _ in range(60):
@@ -66,6 +69,31 @@ def test_links_equal_all_pairs(spark):
     assert {r.fp: r.component_id for r in found} == {fp: expected[i] for i, fp in enumerate(fps)}
 
 
+def test_one_half_shared_by_many(spark):
+    """Pairs three bits apart among 3,000 fingerprints of one half: more than ``HOT_HALF``."""
+    rng = random.Random(6)
+    half, fps = rng.getrandbits(32), set()
+    for _ in range(1000):
+        rest = rng.getrandbits(32)
+        fps |= {half << 32 | rest, half << 32 | rest ^ sum(1 << b for b in rng.sample(range(32), 3)), half << 32 | rest ^ sum(1 << b for b in rng.sample(range(32), 4))}
+    fps = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    got = {r.fp: r.component_id for r in simhash.canonical(spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fp long, first_doc long")).collect()}
+    x = np.array(fps, np.int64).view(np.uint64)
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(x)):
+        for j in np.flatnonzero(np.bitwise_count(x[i + 1:] ^ x[i]) <= 3) + i + 1:
+            a, b = sorted((find(i), find(int(j))))
+            root[b] = a
+    assert got == {f: find(i) for i, f in enumerate(fps)}
+    assert len(set(got.values())) < len(fps) - 900
+
+
 def test_components_of_odd_rows(docs_of):
     words = " ".join(f"w{i}" for i in range(400))
     rows = [(5, words), (3, words), (3, words), (9, words.replace("w17 ", "v17 ")), (7, None), (8, ""), (2, " \n"),

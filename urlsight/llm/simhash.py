@@ -13,11 +13,16 @@ within half of ``d`` of both. With ``d = 3``:
   collisions are deduplicated and verified on the whole 64 bits. Halves one bit
   apart have different parity, so only those of odd parity emit neighbours.
 
+  Halves that many fingerprints share are split: of five slices of the other half
+  two at least are equal, so pairs meet on the half and one of the ten pairs of slices.
+
 The plain form of the second step (radius two on one side, one on the other)
 emits 2,081 points a fingerprint; the halves need 34 at most.
 """
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,6 +32,8 @@ from .common import bounded_batches, checked_broadcast, stage, with_columns_chec
 from .components import connected_components
 
 MAX_DISTANCE = 3
+HOT_HALF = 512      # fingerprints that share a half before it is split
+SLICES = [(0, 6), (6, 6), (12, 6), (18, 7), (25, 7)]      # first bit and width, in a half
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -84,19 +91,34 @@ def ball_links(fps: DataFrame) -> DataFrame:
     return (met.select(F.array_min("all").alias("a"), F.explode("all").alias("b")).where("a <> b").distinct())
 
 
+def _slots(half: Column) -> Column:
+    """A number for each pair of slices of a half, with the values of both."""
+    cut = [F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << width) - 1).cast("long")) for at, width in SLICES]
+    pairs = combinations(range(len(SLICES)), 2)
+    return F.array(*[F.lit(k << 14).cast("long") + cut[a] * (1 << SLICES[b][1]) + cut[b] for k, (a, b) in enumerate(pairs)])
+
+
 def half_links(clustered: DataFrame) -> DataFrame:
     """Cluster pairs with members exactly three bits apart; ``clustered`` is ``(fp, cluster)``."""
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     high = F.shiftrightunsigned("fp", 32)
     halves = clustered.select("fp", "cluster", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), low.alias("half")),
-        F.struct(F.lit(1).alias("side"), high.alias("half")))).alias("h")).select("fp", "cluster", "h.*")
+        F.struct(F.lit(0).alias("side"), low.alias("half"), high.alias("rest")),
+        F.struct(F.lit(1).alias("side"), high.alias("half"), low.alias("rest")))).alias("h")).select("fp", "cluster", "h.*")
+    hot = checked_broadcast(halves.groupBy("side", "half").agg(F.count("*").alias("n")).where(F.col("n") > HOT_HALF)
+                            .select("side", "half", F.lit(True).alias("hot")))
+
+    def met_on(df: DataFrame) -> DataFrame:
+        """With one row for each place where a pair may meet: the half, or the half and two slices of the rest."""
+        slots = F.when(F.col("hot"), _slots(F.col("rest"))).otherwise(F.array(F.lit(-1).cast("long")))
+        return df.join(hot, ["side", "half"], "left").select("side", "half", "fp", "cluster", F.explode(slots).alias("slot"))
+
     odd = F.bit_count("half") % 2 == 1
     around = F.when(odd, _flipped(F.col("half"), 32)).otherwise(F.array("half"))
-    centres = halves.select("side", "half", F.col("fp").alias("fp1"), F.col("cluster").alias("c1"))
-    probes = halves.select("side", F.explode(around).alias("half"), F.col("fp").alias("fp2"), F.col("cluster").alias("c2"))
+    centres = met_on(halves).withColumnsRenamed({"fp": "fp1", "cluster": "c1"})
+    probes = met_on(halves.select("side", "rest", F.explode(around).alias("half"), "fp", "cluster")).withColumnsRenamed({"fp": "fp2", "cluster": "c2"})
     apart = F.bit_count(F.col("fp1").bitwiseXOR(F.col("fp2")))
-    met = centres.join(probes, ["side", "half"]).where((F.col("c1") != F.col("c2")) & (apart <= MAX_DISTANCE))
+    met = centres.join(probes, ["side", "half", "slot"]).where((F.col("c1") != F.col("c2")) & (apart <= MAX_DISTANCE))
     return met.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
 
 
@@ -144,10 +166,10 @@ def representatives(docs: DataFrame, shingle: int = 3) -> DataFrame:
     out = docs.join(checked_broadcast(ids.where("copies = 1").select("doc_id")), "doc_id", "left_semi")
     if ids.where("copies > 1").limit(1).count():
         # an id that stands on several rows, perhaps in several components
-        again = docs.join(checked_broadcast(ids.where("copies > 1").select("doc_id")), "doc_id", "left_semi").withColumn(
-            "__fp", fingerprint_column(F.col("text"), shingle))
-        roots = found.select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
-        out = out.unionByName(again.join(roots, "__fp").dropDuplicates(["doc_id", "__root"]).drop("__fp", "__root"))
+        again = docs.join(checked_broadcast(ids.where("copies > 1").select("doc_id")), "doc_id", "left_semi").select(
+            "doc_id", F.struct(*docs.columns).alias("row"), fingerprint_column(F.col("text"), shingle).alias("fp"))
+        roots = found.select("fp", "root").distinct()
+        out = out.select(*docs.columns).unionByName(again.join(roots, "fp").dropDuplicates(["doc_id", "root"]).select("row.*"))
     if docs.where("doc_id IS NULL").limit(1).count():
-        out = out.unionByName(docs.where("doc_id IS NULL"))
+        out = out.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
     return out.select(*docs.columns)
