@@ -1,18 +1,25 @@
 """Language-model scores: a log-bilinear neural model beside a smoothed unigram base.
 
-The model predicts a word from the two before it: each context word has a
-vector for its position, their sum is matched with the vectors of all words, and
-the scores are normalised. It is trained in numpy by noise-contrastive estimation on
-every training text: each task runs over its own texts from the same start, and
-the parameters are averaged by training words (parameter mixing).
-
-As the score of a word is a sum over context positions, matrix products give
+The model predicts a word from the two before it, in two steps: first the word's
+class, then the word within it. The most frequent words are classes of their own;
+the other words of the ``HEAD`` (all above a count that at most so many exceed) share
+classes with words that stand beside the same frequent words. For the class,
+each context word's class has a vector for its position, their sum is matched with the
+vectors of all classes, and the scores are normalised; within its class a word has its
+smoothed share of the class by corpus counts. Tokens outside the head are the last class.
+
+The class model is trained in numpy by noise-contrastive estimation on every
+training text: texts are dealt by their hash into logical shards of ``SHARD_TOKENS``
+(so the result doesn't hang on partitions), the first shard makes a common
+start, then each shard trains from there and the parameters are averaged by words (parameter
+mixing).
+
+As the score of a class is a sum over context positions, matrix products give
 all of it ahead of scoring: position tables ``context @ words.T``, and the
-normaliser of every context pair as one product of their exponentials. A word
-outside the model's vocabulary is one class, times its share among such words
-by corpus counts, so every token has a normalised probability.
+normaliser of every context pair as one product of their exponentials. So every token has
+a normalised probability.
 
-Counts of all tokens never travel whole: the ``HEAD`` most frequent ones
+Counts of all tokens never travel whole: those of the head
 are sent to the tasks, the others (which no key can dominate) are joined by a shuffle.
 """
 from __future__ import annotations
@@ -31,13 +38,16 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, stage, with_columns_checked, word_lists
 
 END = b"\n"  # no word holds it
-VOCABULARY = 1024  # classes of the model: the end, the most frequent words, all others
+CLASSES = 1024  # of the model, at most
+SINGLES = 640  # the end and the most frequent words: a class each
+CUES = 48  # frequent words beside which the other words are counted, to find their classes
 HEAD = 200_000  # tokens whose counts are sent to every task
 WIDTH = 16
 NOISE, NOISE_WEIGHT = 16, 4.0  # shared noise words in a batch; noise samples that they stand for
 BATCH = 8192
 RATE = 0.08
 ROUNDS = 1
+SHARD_TOKENS = 4_000_000
 FLUSH = 500_000  # distinct tokens that a counting task holds at most
 
 
@@ -86,18 +96,26 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
 
 @dataclass
 class Model:
-    """Counts of the most frequent tokens (the end first), corpus totals and model parameters."""
+    """Counts of the head's tokens (the end first), their classes, corpus totals and model parameters."""
     head: list[bytes]
     counts: np.ndarray
     total: int
     distinct: int
-    classes: int  # of the model: the end, the most frequent words, all others
+    class_of: np.ndarray = field(default=None)  # of each head token, then of all others
     near: np.ndarray = field(default=None)  # (classes + 1) x WIDTH: the word before; the last row is the start
     far: np.ndarray = field(default=None)  # the word before that
     words: np.ndarray = field(default=None)  # classes x WIDTH
     bias: np.ndarray = field(default=None)
 
-    def start(self) -> "Model":
+    @property
+    def classes(self) -> int:
+        return int(self.class_of[-1]) + 1
+
+    def start(self, groups: np.ndarray) -> "Model":
+        """``groups``: the class of each token after the single ones, from 0 on without gaps."""
+        singles = len(self.head) - len(groups)
+        last = singles + (int(groups.max()) + 1 if len(groups) else 0)
+        self.class_of = np.concatenate([np.arange(singles), singles + groups, [last]]).astype(np.int64)
         rng, k = np.random.default_rng(11), self.classes
         shape = lambda n: (rng.standard_normal((n, WIDTH)) * 0.05).astype(np.float32)
         self.near, self.far, self.words = shape(k + 1), shape(k + 1), shape(k)
@@ -106,16 +124,19 @@ class Model:
 
     def unigram(self) -> np.ndarray:
         """Smoothed shares of the classes in the training tokens."""
-        c = np.empty(self.classes)
-        c[:-1] = self.counts[:self.classes - 1]
+        c = np.bincount(self.class_of[:-1], weights=self.counts, minlength=self.classes)
         c[-1] = self.total - c[:-1].sum()
         return (c + 1) / (c.sum() + len(c))
 
+    def log_shares(self) -> np.ndarray:
+        """log10 of each head token's share of its class, (count + 1) over their sum; 0 for all others."""
+        sums = np.bincount(self.class_of[:-1], weights=self.counts + 1.0, minlength=self.classes)
+        return np.append(np.log10((self.counts + 1.0) / sums[self.class_of[:-1]]), 0.0)
+
     @property
     def others(self) -> float:
-        """The sum of (count + 1) over tokens outside the model's vocabulary, and one for all unseen ones."""
-        inside = self.counts[:self.classes - 1]
-        return float(self.total - inside.sum() + self.distinct - (inside > 0).sum() + 1)
+        """The sum of (count + 1) over tokens outside the head, and one for all unseen ones."""
+        return float(self.total - self.counts.sum() + self.distinct - (self.counts > 0).sum() + 1)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log-probability of a class = near[a, w] + far[b, w] - norm[a, b] for the words a, b before it."""
@@ -128,9 +149,9 @@ class Model:
 class Reader:
     """Turns texts into token numbers; ``len(head)`` stands for all other tokens."""
 
-    def __init__(self, model: Model):
-        self.get = {w: i for i, w in enumerate(model.head)}.get
-        self.other, self.last = len(model.head), model.classes - 1
+    def __init__(self, head: list[bytes]):
+        self.get = {w: i for i, w in enumerate(head)}.get
+        self.other = len(head)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.get, words, repeat(self.other)), np.int64, len(words))
@@ -143,7 +164,7 @@ class Reader:
 
 def train_part(model: Model, texts: Iterator[bytes | None], seed: int) -> int:
     """Noise-contrastive estimation over some texts, in place (AdaGrad steps); the tokens seen."""
-    reader, rng, k = Reader(model), np.random.default_rng(seed), model.classes
+    reader, rng, k = Reader(model.head), np.random.default_rng(seed), model.classes
     noise_p = model.unigram()
     cut = np.cumsum(noise_p)
     shift = np.log(NOISE_WEIGHT * noise_p).astype(np.float32)
@@ -176,7 +197,7 @@ def train_part(model: Model, texts: Iterator[bytes | None], seed: int) -> int:
     for text in texts:
         before = (k, k)
         for words in tokens(text):
-            classes = np.minimum(reader.numbers(words), reader.last)
+            classes = model.class_of[reader.numbers(words)]
             a, b = reader.contexts(classes, before)
             waiting.append((classes, a, b))
             held += len(classes)
@@ -192,22 +213,85 @@ def train_part(model: Model, texts: Iterator[bytes | None], seed: int) -> int:
     return seen
 
 
-def _round(model: Model, train: DataFrame, number: int) -> Model:
-    shared = train.sparkSession.sparkContext.broadcast(model)  # HEAD tokens and VOCABULARY vectors: a fixed size
+def beside_cues(train: DataFrame, head: list[bytes], singles: int) -> np.ndarray:
+    """How often each head token after the ``singles`` first stands beside each of the ``CUES`` most frequent words."""
+    shared = train.sparkSession.sparkContext.broadcast(head)      # at most HEAD tokens
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, met, held = Reader(shared.value), [], 0
+
+        def counted() -> pa.RecordBatch:
+            at, n = np.unique(np.concatenate(met), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n)], ["at", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                before = np.zeros(0, np.int64)
+                for words in tokens(text.as_py()):
+                    x = np.concatenate([before, reader.numbers(words)])
+                    before = x[-1:]
+                    for word, cue in ((x[1:], x[:-1]), (x[:-1], x[1:])):
+                        ok = (word >= singles) & (word < reader.other) & (cue > 0) & (cue <= CUES)
+                        met.append((word[ok] - singles) * CUES + cue[ok] - 1)
+                        held += len(met[-1])
+                if held > 4 * FLUSH:
+                    yield counted()
+                    met, held = [], 0
+        if met:
+            yield counted()
+
+    counts = train.select(F.col("text").cast("binary")).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((len(head) - singles) * CUES)      # at most HEAD x CUES
+    out[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
+    return out.reshape(-1, CUES)
+
+
+def grouped(beside: np.ndarray, weights: np.ndarray, most: int) -> np.ndarray:
+    """Groups of tokens with like neighbours, and of like frequency within those: about ``most``, numbered without gaps."""
+    if not len(beside):
+        return np.zeros(0, np.int64)
+    kinds, parts = max(1, most // 12), 12
+    x = np.sqrt(beside / np.maximum(beside.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    centres = x[np.unique(np.linspace(0, len(x) - 1, kinds).astype(int))]
+    nearest = lambda y: np.concatenate([(y[i:i + 8192] @ centres.T - (centres ** 2).sum(axis=1) / 2).argmax(axis=1) for i in range(0, len(y), 8192)])
+    for _ in range(8):
+        own = nearest(x[:20_000])
+        for k in np.unique(own):
+            centres[k] = x[:20_000][own == k].mean(axis=0)
+    kind = nearest(x)
+    # tokens come by falling count: cut each kind where its weight passes a twelfth
+    out = np.zeros(len(x), np.int64)
+    for k in np.unique(kind):
+        at = np.flatnonzero(kind == k)
+        w = weights[at].cumsum()
+        out[at] = k * parts + np.minimum((w - weights[at]) * parts // w[-1], parts - 1).astype(np.int64)
+    return np.unique(out, return_inverse=True)[1]
+
+
+def _dealt(train: DataFrame, shards: int) -> DataFrame:
+    """``(shard, text)``, each shard in one task and in an order that follows from the rows alone."""
+    h = F.xxhash64(F.coalesce("text", F.lit("")), "doc_id")
+    slim = train.select(F.pmod(h, F.lit(shards)).cast("int").alias("shard"), h.alias("h"), F.col("text").cast("binary").alias("text"))
+    return slim.repartition(shards, "shard").sortWithinPartitions("shard", "h").select("shard", "text")
+
+
+def _round(model: Model, shards: DataFrame, number: int) -> Model:
+    shared = shards.sparkSession.sparkContext.broadcast(model)  # HEAD tokens and CLASSES vectors: a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import copy
-        from pyspark import TaskContext
-        own = copy.copy(shared.value)
-        own.near, own.far, own.words, own.bias = (x.copy() for x in (own.near, own.far, own.words, own.bias))
-        texts = (x.as_py() for batch in batches for x in batch.column(0))
-        seen = train_part(own, texts, 1000 * number + TaskContext.get().partitionId())
-        if seen:
-            flat = np.concatenate([x.ravel() for x in (own.near, own.far, own.words, own.bias)]).astype(np.float64) * seen
-            flat = np.append(flat, seen)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "value"])
-
-    mixed = train.select(F.col("text").cast("binary")).mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        from itertools import groupby
+        rows = ((n, x.as_py()) for batch in batches for n, x in zip(batch.column(0).to_pylist(), batch.column(1)))
+        for shard, part in groupby(rows, key=lambda r: r[0]):
+            own = copy.copy(shared.value)
+            own.near, own.far, own.words, own.bias = (x.copy() for x in (own.near, own.far, own.words, own.bias))
+            seen = train_part(own, (x for _, x in part), 1_000_003 * number + shard)
+            if seen:
+                flat = np.concatenate([x.ravel() for x in (own.near, own.far, own.words, own.bias)]).astype(np.float64) * seen
+                flat = np.append(flat, seen)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "value"])
+
+    mixed = shards.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
     got = mixed.toPandas().sort_values("at")["value"].to_numpy()  # one row for each parameter
     if not len(got):
         return model
@@ -229,13 +313,19 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     head = head.sort_values(["c", "token"], ascending=[False, True])
     ends = counts.where(F.col("token") == END).first()
     names = [END, *head["token"]]
-    model = Model(names, np.array([ends.c if ends else 0, *head["c"]], np.int64), whole.n or 0, whole.v, min(VOCABULARY, len(names) + 1)).start()
-    for number in range(rounds):
-        model = _round(model, train, number)
+    model = Model(names, np.array([ends.c if ends else 0, *head["c"]], np.int64), whole.n or 0, whole.v)
+    singles = min(SINGLES, len(names))
+    model.start(grouped(beside_cues(train, names, singles), model.counts[singles:], CLASSES - 1 - SINGLES))
+    shards = max(1, math.ceil(model.total / SHARD_TOKENS))
+    dealt = _dealt(train, shards)
+    if shards > 1:
+        model = _round(model, dealt.where("shard = 0"), 0)     # one shard: a common start
+    for number in range(1, rounds + 1):
+        model = _round(model, dealt, number)
     return model, counts
 
 
-RESULT = ("rid long, doc_id long, n_tokens long, known long, head_log double, lm_log double, n_others long, others_log double,"
+RESULT = ("rid long, doc_id long, n_tokens long, known long, head_log double, lm_log double, n_others long,"
           " tail array<struct<token: binary, n: int>>")
 
 
@@ -246,41 +336,41 @@ def _read(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         fitted = shared.value
-        reader = Reader(fitted)
+        reader, last = Reader(fitted.head), fitted.classes - 1
         near, far, norm = fitted.tables()
-        log_counts = np.append(np.log10(fitted.counts + 1.0), 0.0)
+        log_counts, log_shares = np.append(np.log10(fitted.counts + 1.0), 0.0), fitted.log_shares()
         known = np.append(fitted.counts > 0, False)
         rid = TaskContext.get().partitionId() << 33
         for batch in batches:
             rows, ends, names, times = [], [0], [], []
             for text in batch.column(1):
                 n = n_known = n_others = 0
-                head_log = lm_log = others_log = 0.0
+                head_log = lm_log = 0.0
                 tail: Counter = Counter()
                 before = (fitted.classes, fitted.classes)
                 for words in tokens(text.as_py()):
                     numbers = reader.numbers(words)
-                    classes = np.minimum(numbers, reader.last)
+                    classes = fitted.class_of[numbers]
                     a, b = reader.contexts(classes, before)
                     before = (before + tuple(classes[-2:].tolist()))[-2:]
                     lm_log += float((near[a, classes] + far[b, classes] - norm[a, b]).sum(dtype=np.float64)) / math.log(10)
-                    logs, other = log_counts[numbers], classes == reader.last
-                    head_log += float(logs.sum())
-                    others_log += float(logs[other].sum())
+                    lm_log += float(log_shares[numbers].sum())
+                    head_log += float(log_counts[numbers].sum())
+                    other = classes == last
                     n, n_known, n_others = n + len(words), n_known + int(known[numbers].sum()), n_others + int(other.sum())
-                    tail.update(words[i] for i in np.flatnonzero(numbers == reader.other))
-                rows.append((rid, n, n_known, head_log, lm_log, n_others, others_log))
+                    tail.update(words[i] for i in np.flatnonzero(other))
+                rows.append((rid, n, n_known, head_log, lm_log, n_others))
                 rid += 1
                 names += tail
                 times += tail.values()
                 ends.append(len(names))
-            r = list(zip(*rows)) if rows else [()] * 7
+            r = list(zip(*rows)) if rows else [()] * 6
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(names, pa.binary()), pa.array(times, pa.int32())], ["token", "n"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(r[0], pa.int64()), batch.column(0), pa.array(r[1], pa.int64()), pa.array(r[2], pa.int64()),
-                 pa.array(r[3], pa.float64()), pa.array(r[4], pa.float64()), pa.array(r[5], pa.int64()), pa.array(r[6], pa.float64()), lists],
-                ["rid", "doc_id", "n_tokens", "known", "head_log", "lm_log", "n_others", "others_log", "tail"])
+                 pa.array(r[3], pa.float64()), pa.array(r[4], pa.float64()), pa.array(r[5], pa.int64()), lists],
+                ["rid", "doc_id", "n_tokens", "known", "head_log", "lm_log", "n_others", "tail"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, RESULT)
 
@@ -306,4 +396,4 @@ def score(docs: DataFrame, trained_on: Column, rounds: int = ROUNDS) -> DataFram
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("head_log") + tail_log - F.col("n_tokens") * per_token).alias("base_score"),
-        (F.col("lm_log") + F.col("others_log") + tail_log - F.col("n_others") * math.log10(model.others)).alias("score"))
+        (F.col("lm_log") + tail_log - F.col("n_others") * math.log10(model.others)).alias("score"))
