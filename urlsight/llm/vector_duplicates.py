@@ -16,7 +16,7 @@ query, and for each connected vector one pointer to another of its component.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,7 +96,8 @@ def probe_floor(best: np.ndarray, threshold: float, dims: int) -> np.ndarray:
     return np.minimum(best, threshold * best - SPREAD * math.sqrt((1 - threshold ** 2) / dims))
 
 
-def _units(blobs: pd.Series, width: type, dims: int) -> np.ndarray:
+def _units(blobs: Iterable[bytes], width: type, dims: int) -> np.ndarray:
+    blobs = list(blobs)
     out = np.zeros((len(blobs), dims))
     for i, b in enumerate(blobs):
         v = np.frombuffer(b, width)
@@ -120,8 +121,9 @@ def _indexed(model, width: type, threshold: float) -> Callable:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in parts:
             if len(rows):
-                own, codes, probes = encode(_units(rows["vec"], width, model.value.dims), model.value, threshold)
-                yield pd.DataFrame({"node": rows["node"], "copies": rows["copies"], "vec": rows["vec"], "list": own.astype(np.int32),
+                vec = [np.asarray(v, width).tobytes() for v in rows["vec"]]
+                own, codes, probes = encode(_units(vec, width, model.value.dims), model.value, threshold)
+                yield pd.DataFrame({"node": rows["node"], "copies": rows["copies"], "vec": vec, "list": own.astype(np.int32),
                                     "codes": [c.tobytes() for c in codes], "probes": [p.astype(np.int32) for p in probes]})
     return run
 
@@ -182,14 +184,6 @@ def usable(vec: Column) -> Column:
     return F.coalesce(sound & F.exists(vec, lambda v: v != 0), F.lit(False))
 
 
-def _packed(width: type) -> Callable:
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in parts:
-            rows["vec"] = [np.asarray(v, width).tobytes() for v in rows["vec"]]
-            yield rows
-    return run
-
-
 def links(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9) -> DataFrame:
     """``(id, n_links, component_id, kept)``: one row for each row of ``rows``.
 
@@ -231,8 +225,8 @@ def node_links(grouped: DataFrame, n: int, dims: int, width: type, threshold: fl
         sample = grouped.select("vec").limit(1).toPandas()["vec"]
     x = _units([np.asarray(v, width).tobytes() for v in sample], width, dims)
     model = spark.sparkContext.broadcast(fit(x, min(MOST_LISTS, math.ceil(n / LIST_ROWS))))
-    blobs = grouped.select("node", "copies", "vec").mapInPandas(_packed(width), "node long, copies long, vec binary")
-    index = stage(blobs.mapInPandas(_indexed(model, width, threshold), "node long, copies long, vec binary, list int, codes binary, probes array<int>"))
+    index = stage(grouped.select("node", "copies", "vec").mapInPandas(
+        _indexed(model, width, threshold), "node long, copies long, vec binary, list int, codes binary, probes array<int>"))
 
     asks = index.select("node", "vec", F.explode("probes").alias("list"))
     # one row for each list: bounded by MOST_LISTS
