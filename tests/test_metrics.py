@@ -1,6 +1,8 @@
 """Metric operators: bucketed running sums vs plain windows, symmetry, golden rows, brute force."""
 import itertools
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -83,20 +85,56 @@ def test_roc_points_drop_collinear(spark):
     assert [(r["fpr"], r["tpr"]) for r in pts] == [(0.0, 0.0), (0.0, 1 / 3), (0.0, 1.0), (1.0, 1.0)]
 
 
-def test_exact_quantiles_match_numpy_with_many_ranges(spark):
-    import numpy as np
+def test_exact_quantiles_match_numpy(spark):
 
-    from urlsight.operators.eda import exact_quantiles
+    from urlsight.operators.selection import exact_quantiles
     rng = np.random.default_rng(1)
     vals = np.round(rng.normal(size=3000), 2)
     grp = rng.integers(0, 3, size=3000)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, value double")
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], [0.1, 0.25, 0.5, 0.75, 0.9], rows_per_range=13).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], [0.1, 0.25, 0.5, 0.75, 0.9]).collect()}
     for g in range(3):
         exp = np.quantile(vals[grp == g], [0.1, 0.25, 0.5, 0.75, 0.9])
         assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx(list(exp), abs=1e-9)
 
 
+@pytest.mark.parametrize("values", [
+    [5.0], [1.0, 2.0], [3.0] * 40, [-1e300, -1.0, -1e-300, 0.0, 5e-324, 1e-320, 1e-300, 1e-9, 1.0, 1.0 + 2 ** -52, 1e9, 1.7e308],
+    [float(i) ** 9 for i in range(-60, 60)], [2.0 ** -i for i in range(1000)], [float("-inf"), -5.0, 1.0, float("inf"), float("inf")]])
+def test_exact_quantiles_of_any_range(spark, values):
+    """Ranks are found whatever the values; the order statistics themselves are compared."""
+    from urlsight.operators.selection import exact_quantiles
+    n = len(values)
+    probs = [0.0, 1.0] + [i / (n - 1) for i in range(1, min(n - 1, 9))]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "value double").repartition(3)
+    got = exact_quantiles(df.withColumn("g", F.lit(None).cast("int")), ["g"], probs).collect()
+    assert len(got) == 1 and got[0]["g"] is None
+    for i, q in enumerate(probs):
+        want = sorted(values)[int((n - 1) * q)]
+        if math.isfinite(want) and (n - 1) * q == int((n - 1) * q):
+            assert got[0][f"q{i}"] == want
+
+
+def test_exact_quantiles_put_nan_above_all(spark):
+    from urlsight.operators.selection import exact_quantiles
+    df = spark.createDataFrame([(1, float(i)) for i in range(5)] + [(1, float("nan"))] * 2 + [(2, float("nan"))], "g int, value double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], [0.5, 1.0]).collect()}
+    assert got[1].q0 == 3.0 and math.isnan(got[1].q1) and math.isnan(got[2].q0)
+    assert exact_quantiles(df.where("false"), ["g"], [0.5]).count() == 0
+
+
+def test_quantile_passes_move_counts_not_values(spark, monkeypatch):
+    """What crosses the network are bins: far fewer rows than values."""
+    from urlsight.operators import selection
+    moved = []
+    monkeypatch.setattr(selection, "written", lambda df, w=selection.written: moved.append(w(df)) or moved[-1])
+    df = spark.range(200_000).selectExpr("0 AS g", "sqrt(id) AS value")
+    r = selection.exact_quantiles(df, ["g"], [0.25, 0.5]).first()
+    v = np.sqrt(np.arange(200_000.0))
+    assert (r.q0, r.q1) == pytest.approx((np.quantile(v, 0.25), np.quantile(v, 0.5)), abs=1e-12)
+    assert max(t.count() for t in moved) <= 2 * 4 * selection.BINS
+
+
 def test_hot_score_group_is_collapsed(spark):
     """A third of all rows share one score: the distinct-score table has one row for it,
     and the metrics equal a pandas brute force."""
@@ -134,7 +172,8 @@ def test_more_than_a_thousand_groups_and_null_groups(spark):
         F.col("id").cast("double").alias("v"), (F.col("id") % 5 + 1).alias("n"))
     got = running_sums(d, ["g", "h"], "v", ["n"], descending=False, rows_per_range=100)
     w = Window.partitionBy("g", "h").orderBy("v")
-    plain = d.select("*", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_n"), F.lead("n").over(w).alias("next_n"))
+    plain = d.select("*", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_n"), F.lead("n").over(w).alias("next_n"),
+                     F.sum("n").over(Window.partitionBy("g", "h")).alias("all_n"))
     assert got.count() == 6000 and got.exceptAll(plain).count() == 0
 
 

@@ -42,8 +42,8 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 def running_sums(d: DataFrame, groups: str | list[str], score_col: str, value_cols: list[str],
                  descending: bool = True, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Adds ``cum_<v>`` (inclusive running sum in score order) and
-    ``next_<v>`` (value of the next score, NULL on the last) for each value.
+    """Adds ``cum_<v>`` (inclusive running sum in score order), ``next_<v>`` (value of
+    the next score, NULL on the last) and ``all_<v>`` (sum over the group) for each value.
 
     ``d`` must have one row per (group, score): aggregate ties first, which
     also removes any hot-score skew. Groups may be null and of any number.
@@ -66,8 +66,10 @@ def running_sums(d: DataFrame, groups: str | list[str], score_col: str, value_co
     earlier = totals.select(
         *keys, *[F.coalesce(F.sum(f"_total_{v}").over(over.rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)).alias(f"_before_{v}") for v in value_cols],
-        *[F.lead(f"_first_{v}").over(over).alias(f"_next_{v}") for v in value_cols])
+        *[F.lead(f"_first_{v}").over(over).alias(f"_next_{v}") for v in value_cols],
+        *[F.sum(f"_total_{v}").over(Window.partitionBy(*groups)).alias(f"all_{v}") for v in value_cols])
     j = join_on(local, earlier, keys)
     return j.select(*[F.col(c) for c in d.columns],
                     *[(F.col(f"_in_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in value_cols],
-                    *[F.coalesce(F.col(f"_after_{v}"), F.col(f"_next_{v}")).alias(f"next_{v}") for v in value_cols])
+                    *[F.coalesce(F.col(f"_after_{v}"), F.col(f"_next_{v}")).alias(f"next_{v}") for v in value_cols],
+                    *[F.col(f"all_{v}") for v in value_cols])

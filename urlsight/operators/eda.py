@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cumulative import ROWS_PER_RANGE, join_on, running_sums
+from ..session import written
+from .cumulative import join_on
+from .selection import exact_quantiles, sent
 
 CLASS_NAMES = {0: "Legitimate", 1: "Phishing"}
 
@@ -153,42 +155,13 @@ def to_long(df: DataFrame, cols: list[str], ids: list[str]) -> DataFrame:
     return wide.unpivot(ids, cols, "feature", "value")
 
 
-def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float],
-                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy 'linear', SQL quantile_cont)
-    per group, without holding a group's values in one task.
-
-    Values are first collapsed to (group, value, count) with a partial
-    aggregate; running counts over the distinct values come from the
-    :func:`cumulative.running_sums` (ranges); the order statistics at
-    positions floor/ceil((n-1)q) are then picked with one more aggregate.
-    Output: group columns + ``q0, q1, ...`` (one column per prob).
-    """
-    d = long.where(F.col("value").isNotNull()).groupBy(*group_cols, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    c = running_sums(d, group_cols, "value", ["cnt"], descending=False, rows_per_range=rows_per_range)
-    totals = c.groupBy(*group_cols).agg(F.sum("cnt").alias("_n"))
-    c = join_on(c, totals, group_cols)
-    before = F.col("cum_cnt") - F.col("cnt")   # rows strictly below this value
-    aggs = []
-    for i, q in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(q)
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        aggs += [F.max(F.when((before <= lo) & (lo < F.col("cum_cnt")), F.col("value"))).alias(f"_lo{i}"),
-                 F.max(F.when((before <= hi) & (hi < F.col("cum_cnt")), F.col("value"))).alias(f"_hi{i}"),
-                 F.first(h - lo).alias(f"_f{i}")]
-    a = c.groupBy(*group_cols).agg(*aggs)
-    return a.select(*group_cols, *[(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-                                   .alias(f"q{i}") for i in range(len(probs))])
-
-
 def describe(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample sd, min, linear quartiles, max per feature.
 
-    ``exact`` uses :func:`exact_quantiles` (bounded memory per task);
+    ``exact`` uses :func:`selection.exact_quantiles` (values are counted, not moved);
     ``exact=False`` uses the ``percentile_approx`` sketch (one pass).
     """
-    long = to_long(df, cols, [])
+    long = to_long(written(df.select(*cols)) if exact else df, cols, [])
     moments = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -239,14 +212,14 @@ def histogram(df: DataFrame, cols: list[str], label_col: str = "label", bins: in
 
 def box_stats(df: DataFrame, cols: list[str], label_col: str = "label") -> DataFrame:
     """Quartiles, 1.5*IQR fences, whisker ends and outlier count per feature and class."""
-    long = to_long(df, cols, [label_col]).withColumnRenamed(label_col, "label")
+    long = to_long(written(df.select(label_col, *cols)), cols, [label_col]).withColumnRenamed(label_col, "label")
     q = exact_quantiles(long, ["feature", "label"], [0.25, 0.5, 0.75]).select(
         "feature", "label", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
         .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    # joined as Spark sees fit by size; a NULL label is a class of its own
-    j = join_on(long, q, ["feature", "label"])
+    # one row a group is sent to the values; a NULL label is a class of its own
+    j = join_on(long, sent(q), ["feature", "label"])
     v = F.col("value")
     agg = j.groupBy("feature", "label", "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),

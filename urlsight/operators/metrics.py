@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cumulative import ROWS_PER_RANGE, join_on, running_sums
+from .cumulative import ROWS_PER_RANGE, running_sums
 
 LOG_LOSS_EPS = 2.220446049250313e-16  # float64 machine epsilon (clip for log loss)
 
@@ -39,8 +39,7 @@ def score_table(scored: DataFrame) -> DataFrame:
 def curve(scored: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Distinct scores in descending order with running TP/FP and class totals."""
     c = running_sums(score_table(scored), "model", "p", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
-    totals = c.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return join_on(c, totals, ["model"])
+    return c.withColumnsRenamed({"all_pos": "n_pos", "all_neg": "n_neg"})
 
 
 def confusion_counts(scored: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def save_model(fitted, path: str) -> None:
     """One folder per model: TLD vocabulary, the model, metadata (written last, so it tells that all is there)."""
     from ..operators.zoo import AdaBoostModel, BoostedTrees, ExtraTreesModel
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()      # models are fitted in threads, which have no active session
     fitted.vocab_model.write().overwrite().save(f"{path}/vocab")
     kind = type(fitted.model).__name__
     if isinstance(fitted.model, AdaBoostModel):
