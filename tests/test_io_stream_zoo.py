@@ -229,6 +229,24 @@ def test_stream_over_a_folder_of_files_out_of_order(spark, tmp_out):
         ST.windowed_verdicts_stream(spark, tmp_out, "10 minutes", max_files=1)
 
 
+def test_late_rows_are_kept_and_counted(spark, tmp_out):
+    """Files out of order with a delay of an hour equal the batch twin; a repeated batch replaces itself."""
+    events = T.table(spark, SF_SMALL, "events")
+    batch = ST.windowed_verdicts(events).cache()
+    day = F.dayofmonth("ts")
+    for i in range(5):      # newest first
+        events.where((day > 24 - 6 * i) & ((day <= 30 - 6 * i) | (i == 0))).coalesce(1).write.mode("append").parquet(f"{tmp_out}/events.parquet")
+        time.sleep(0.05)
+    got = ST.windowed_verdicts_keeping_late(spark, tmp_out, "1 hour", max_files=1).cache()
+    assert _same(got, batch)
+    first = events.where(day > 24).count()
+    assert got.agg(F.sum("n_late")).first()[0] == events.count() - first
+    whole = ST.windowed_verdicts_keeping_late(spark, tmp_out, "1 hour")      # all files in one batch: nothing is late
+    assert _same(whole, batch) and whole.agg(F.sum("n_late")).first()[0] == 0
+    partial = spark.createDataFrame([("a", 2, True), ("a", 3, False)], "verdict string, n long, late boolean").selectExpr("0 AS window_start", "1 AS window_end", "*")
+    assert ST.folded(partial).first()[3:] == (5, 2)
+
+
 def test_cli_features_and_eda(spark, tmp_out):
     from urlsight.cli import main
     T.table(spark, SF_SMALL, "pages").select("page_id", "url").write.parquet(f"{tmp_out}/pages")

@@ -29,7 +29,10 @@ DISORDER = "31 days"
 QUERIES = {
     "windowed_verdicts": lambda s, d: Z.windowed_verdicts(T.table(s, d, "events")),
     "windowed_verdicts_stream": lambda s, d: Z.windowed_verdicts_stream(s, d, DISORDER),
+    # hours instead of a month: late rows are kept
+    "windowed_verdicts_late": lambda s, d: Z.windowed_verdicts_keeping_late(s, d, "1 hour").drop("n_late"),
     "stream_score": stream_score,
+    "stream_score_rows": stream_score_rows,
 }
 
 _WINDOWED_SQL = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
@@ -41,4 +44,5 @@ ORACLE = {
     "windowed_verdicts": _WINDOWED_SQL,
     # the update-mode stream ends in the same state as the batch twin
     "windowed_verdicts_stream": _WINDOWED_SQL,
+    "windowed_verdicts_late": _WINDOWED_SQL,
 }

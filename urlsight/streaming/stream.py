@@ -2,8 +2,9 @@
 
 The URL feature library and the verdict rules are stateless column
 expressions, so a streaming scorer is the batch plan over ``readStream``.
-The windowed verdict count is the only stateful job: event-time windows
-with a watermark, state bounded by the watermark delay.
+The windowed verdict count has two forms: event-time windows with a watermark, whose state
+is bounded by the delay and which refuse rows that come later, and mergeable
+counts of every micro-batch, which keep late rows (marked as such) and hold no state.
 """
 from __future__ import annotations
 
@@ -98,6 +99,45 @@ def windowed_verdicts(events: DataFrame, window: str = WINDOW, threshold: float
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "verdict", "n")
 
 
+def keep_late_available_now(events: DataFrame, delay: str, sink: str, checkpoint: str, window: str = WINDOW) -> None:
+    """Drain ``events`` into window counts of each micro-batch, late rows included.
+
+    A batch writes its own folder, so a repeated batch replaces itself. Rows whose
+    window had ended more than ``delay`` before the latest event of the earlier
+    batches are ``late``; they are counted like others and merged by key.
+    """
+    spark = events.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        latest = batch.agg(F.max("ts").alias("latest"))
+        written_latest(latest, number)
+        seen = spark.read.schema("latest timestamp, batch long").parquet(f"{sink}-latest").where(F.col("batch") < number).agg(F.max("latest")).first()[0]
+        counts = windowed_verdicts(batch, window)
+        behind = F.lit(False) if seen is None else F.col("window_end") <= F.lit(seen) - F.expr(f"INTERVAL {delay}")
+        counts.withColumn("late", behind).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    def written_latest(latest: DataFrame, number: int) -> None:
+        latest.select(F.col("latest").cast("timestamp")).write.mode("overwrite").parquet(f"{sink}-latest/batch={number}")
+
+    _drain(events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True), spark)
+
+
+def folded(partials: DataFrame) -> DataFrame:
+    """Counts of micro-batches -> one row a window and verdict; ``n_late`` of its rows came late."""
+    return partials.groupBy("window_start", "window_end", "verdict").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_late"))
+
+
+def windowed_verdicts_keeping_late(spark: SparkSession, sf_dir: str, delay: str, window: str = WINDOW, max_files: int | None = None) -> DataFrame:
+    """Z2 for input of any disorder: equal to the batch twin, with the number of late rows of each window."""
+    ev = stream_table(spark, sf_dir, "events", max_files=max_files)
+    sink, ckpt = _scratch(spark, "windows"), _scratch(spark, "windows-ckpt")
+    keep_late_available_now(ev, delay, sink, ckpt, window)
+    kind = dict(ev.dtypes)["ts"]
+    schema = f"window_start {kind}, window_end {kind}, verdict string, n long, late boolean, batch long"
+    return folded(spark.read.schema(schema).parquet(sink))
+
+
 def windowed_verdicts_stream(spark: SparkSession, sf_dir: str, delay: str, window: str = WINDOW,
                              mode: str = "update", max_files: int | None = None) -> DataFrame:
     """The same counts computed by a watermarked streaming aggregation.
