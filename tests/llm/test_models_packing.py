@@ -57,6 +57,29 @@ def test_descent_separates():
     assert np.mean([(model.margin(r) > 0) == t for r, t in zip(rows, y)]) > 0.97
 
 
+def test_descent_reaches_the_least_loss():
+    """The weights' loss against that of a plain projected ascent over the dual, from many passes."""
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 30, 6)).astype(np.int32) for _ in range(80)]
+    y = np.array([int((r < 12).sum() + rng.integers(0, 3) > 3) for r in rows])
+    ratio = rng.normal(size=30)
+    x = np.zeros((80, 31))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r]
+        x[i] /= np.linalg.norm(x[i]) or 1
+    x[:, 30] = 1      # the bias is one more input
+    signs = np.where(y > 0, 1.0, -1.0)
+    limit = np.array([quality_model.COST * 80 / (2 * (signs == s).sum()) for s in signs])
+    loss = lambda w: w @ w / 2 + (limit * np.maximum(0, 1 - signs * (x @ w))).sum()
+    gram = (signs[:, None] * x) @ (signs[:, None] * x).T
+    alpha, step = np.zeros(80), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(50_000):
+        alpha = np.clip(alpha + step * (1 - gram @ alpha), 0, limit)
+    best = loss(x.T @ (alpha * signs))
+    weight, bias = quality_model.descend(rows, y, ratio)
+    assert loss(np.append(weight[:30], bias)) <= best * 1.02 and best > 0
+
+
 def plain_tokens(text):
     return [w for w in (text or "").encode().lower().split()] + [lm_score.END]
 

@@ -72,6 +72,64 @@ def test_sharding(docs_of, monkeypatch, rows):
     check_shards([*rows, (0, "x")] if rows else [], placed, 16)
 
 
+def plain_ring(rows, shards, buckets):
+    """Every row walked clockwise from its point of the ring, in rounds: shard by shard, arc by arc, rank by rank."""
+    import struct
+
+    import xxhash
+
+    def mixed(*values):      # Spark's hash of columns: nulls leave it as it is
+        h = 42
+        for v in values:
+            if v is not None:
+                b = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+                h = xxhash.xxh64_intdigest(b, seed=h)
+        return h - (1 << 64) if h >> 63 else h
+
+    nodes = {}
+    for shard in range(shards):
+        for replica in range(sharding.VIRTUAL_NODES):
+            cell = mixed((shard,), replica) % sharding.CELLS
+            nodes[cell] = min(shard, nodes.get(cell, shard))
+    cells = sorted(nodes)
+    waiting = {c: [] for c in cells}
+    for i, t in rows:
+        cell = mixed(t or "") % sharding.CELLS
+        mix = mixed(i, "order within an arc")
+        own = next((c for c in cells if c >= cell), cells[0])
+        waiting[own].append((mix % buckets, mix, -1 if i is None else i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1))
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    taken, found = [0] * shards, []
+    ways = {c: list(dict.fromkeys([nodes[x] for x in cells[k:] + cells[:k]] + list(range(shards)))) for k, c in enumerate(cells)}
+    for step in range(shards):
+        for k, c in enumerate(cells):
+            shard, left = ways[c][step], []
+            for row in sorted(waiting[c]):
+                if taken[shard] < room[shard]:
+                    found.append((row[2], row[4], row[3], shard, taken[shard]))
+                    taken[shard] += 1
+                else:
+                    left.append(row)
+            waiting[c] = left
+    return sorted(found)
+
+
+@pytest.mark.parametrize("shards", [3, 16, 40])
+def test_sharding_equals_a_ring_walked_row_by_row(docs_of, monkeypatch, shards):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 25)
+    rows = [(i, "the same text" if i % 3 == 0 else f"text {i // 2}") for i in range(700)] + [(900, None), (901, ""), (None, "no id"), (902, "é" * 9)]
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in sharding.assign(docs_of(rows), shards).collect())
+    assert got == plain_ring(rows, shards, max(16, -(-len(rows) // 25)))
+
+
+def test_sharding_query_equals_the_ring(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = sorted((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in E.queries()["op4_sharding"](spark, sf).collect())
+    assert got == plain_ring(rows, 16, 16)
+
+
 def test_overflow_moves_on_clockwise():
     arcs = [{"arc": i, "cell": i, "shard": s} for i, s in enumerate([0, 1, 2, 1])]
     pieces = sharding.deal(arcs, {0: 10, 1: 0, 2: 1, 3: 1}, [4, 4, 4])
