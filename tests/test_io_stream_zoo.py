@@ -168,11 +168,19 @@ def test_cli_train_survives_a_failing_attribution(spark, tmp_out, monkeypatch, c
     """The models and metrics are there, the failure is told."""
     from urlsight.cli import main
     from urlsight.operators import attribution
+    from urlsight.session import tables_written
     monkeypatch.setattr(attribution, "permutation_importance", lambda *a: 1 / 0)
+    before = tables_written()
     T.weak_labelled_urls(spark, SF_SMALL).select("page_id", "url", "label").write.parquet(f"{tmp_out}/lab")
     main(["train", "--input", f"{tmp_out}/lab", "--output-dir", f"{tmp_out}/run", "--preset", "smoke", "--models", "LogisticRegression", "--key", "page_id"])
     assert "attribution skipped: ZeroDivisionError" in capsys.readouterr().out
     assert io.load_model(spark, f"{tmp_out}/run/models/best").name == "LogisticRegression"
+    from urlsight import session
+    assert session.tables_written() == before         # a job leaves no scratch table
+    kept = session.written(spark.range(3))
+    path = kept.inputFiles()[0]
+    assert kept.count() == 3 and session.discard_written(spark, before) == 1
+    assert not io.path_exists(spark, path)
     assert not io.path_exists(spark, f"{tmp_out}/run/attribution")
 
 

@@ -162,11 +162,15 @@ def main(argv=None):
     jobs["score"].add_argument("--format", default="csv")
     a = p.parse_args(argv)
 
-    from .session import ensure_checkpoint_dir
+    from .session import discard_written, ensure_checkpoint_dir, tables_written
     builder = SparkSession.builder.appName(f"urlsight-{a.cmd}")
     spark = (builder.master(a.master) if a.master else builder).getOrCreate()
     ensure_checkpoint_dir(spark)
-    {"features": cmd_features, "train": cmd_train, "score": cmd_score, "eda": cmd_eda, "report": cmd_report}[a.cmd](spark, a)
+    before = tables_written()
+    try:
+        {"features": cmd_features, "train": cmd_train, "score": cmd_score, "eda": cmd_eda, "report": cmd_report}[a.cmd](spark, a)
+    finally:
+        discard_written(spark, before)      # all results are in the output folder
 
 
 if __name__ == "__main__":

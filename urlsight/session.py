@@ -64,9 +64,31 @@ def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Evaluates the input once; what follows reads columns from shared files,
-    so it survives lost executors.
+    so it survives lost executors. A job removes its tables with
+    :func:`discard_written` when its results are stored.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def tables_written() -> int:
+    """How many tables this process has made with :func:`written` and not discarded."""
+    return len(_written)
+
+
+def discard_written(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables made with :func:`written` after the first ``since`` ones; how many there were.
+
+    For the end of a job: DataFrames that still read such a table fail afterwards.
+    """
+    conf, n = spark._jsparkSession.sessionState().newHadoopConf(), len(_written) - since
+    while len(_written) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
