@@ -100,7 +100,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     A document of more than ``capacity`` words is cut into full pieces and a rest.
     ``cluster`` names the duplicate cluster of a row; without it, rows with
     the same words in lower case are one cluster. ``shingle`` (words) makes near
-    copies clusters: rows whose lower-case texts' SimHash fingerprints are linked, at most
+    copies clusters: rows whose texts' SimHash fingerprints are linked, at most
     three bits apart, as in ``simhash.components`` but for each row, whatever its id. Rows without words (null or
     blank text) have nothing to pack and get one row with a null bin. A null
     source has no conflicts; repeated rows are packed each; an empty table gives
@@ -108,17 +108,21 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     """
     if "source" not in docs.columns:
         docs = docs.withColumn("source", F.lit(None).cast("string"))
-    # one variable holds the words, so the text is split once
-    info = F.get(F.transform(F.array(words(F.col("text"))), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), F.xxhash64(F.lower(F.array_join(w, " "))).alias("same"))), F.lit(0))
+    if shingle is not None and cluster is not None:
+        raise ValueError("give cluster or shingle")
     if shingle is not None:
-        if cluster is not None:
-            raise ValueError("give cluster or shingle")
         bounded_batches(docs.sparkSession)
-        cluster = simhash.fingerprint_column(F.lower("text"), shingle)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       info.alias("i"), (F.lit(None).cast("long") if cluster is None else cluster.cast("long")).alias("given"))
-    rows = stage(slim.select("doc_id", "source", "i.n_words", (F.col("i.same") if cluster is None else F.col("given")).alias("cluster")))
+        # words and fingerprint come out of one pass over the text
+        info = simhash.measured_column(F.col("text"), shingle)
+        slim = docs.select("doc_id", "source", info.alias("i")).select("doc_id", "source", "i.n_words", F.col("i.fp").alias("cluster"))
+    elif cluster is not None:
+        slim = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("n_words"), cluster.cast("long").alias("cluster"))
+    else:
+        # one variable holds the words, so the text is split once
+        info = F.get(F.transform(F.array(words(F.col("text"))), lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), F.xxhash64(F.lower(F.array_join(w, " "))).alias("same"))), F.lit(0))
+        slim = docs.select("doc_id", "source", info.alias("i")).select("doc_id", "source", "i.n_words", F.col("i.same").alias("cluster"))
+    rows = stage(slim.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "n_words", "cluster"))
     if shingle is not None:
         rows = stage(_near(rows))
     groups = max(1, -(-rows.count() // group_rows))

@@ -36,15 +36,16 @@ HOT_HALF = 512      # fingerprints that share a half before it is split
 SLICES = [(0, 6), (6, 6), (12, 6), (18, 7), (25, 7)]      # first bit and width, in a half
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """SimHash of one text as a signed 64-bit number (no words: 0)."""
+def measured(text: bytes | None, shingle: int) -> tuple[int, int]:
+    """SimHash of one text as a signed 64-bit number (no words: 0), and its words."""
     from functools import partial
 
     import xxhash
 
     digest = partial(xxhash.xxh64_intdigest, seed=42)
-    counts, total, carry = np.zeros(64, np.int64), 0, []
+    counts, total, carry, n_words = np.zeros(64, np.int64), 0, [], 0
     for words in word_lists((text or b"").lower()):
+        n_words += len(words)
         words = carry + words
         n = len(words) - shingle + 1
         if n > 0:
@@ -56,11 +57,15 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
         carry = words[max(0, n):]
     if not total:
         if not carry:
-            return 0
+            return 0, 0
         value = digest(b" ".join(carry))
     else:
         value = int.from_bytes(np.packbits(2 * counts > total, bitorder="little").tobytes(), "little")
-    return value - (1 << 64) if value >> 63 else value
+    return (value - (1 << 64) if value >> 63 else value), n_words
+
+
+def fingerprint(text: bytes | None, shingle: int) -> int:
+    return measured(text, shingle)[0]
 
 
 def fingerprint_column(text: Column, shingle: int) -> Column:
@@ -71,6 +76,15 @@ def fingerprint_column(text: Column, shingle: int) -> Column:
     return run(text.cast("binary"))
 
 
+def measured_column(text: Column, shingle: int) -> Column:
+    """``struct<fp, n_words>`` of a text."""
+    @F.pandas_udf("fp long, n_words long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measured(x, shingle) for x in texts], columns=["fp", "n_words"], dtype="int64")
+
+    return run(text.cast("binary"))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``(doc_id, fp)`` for every row; a null text counts as one without words."""
     bounded_batches(docs.sparkSession)
