@@ -280,7 +280,7 @@ class EveryModelFailed(RuntimeError):
     """No model could be fitted; the message holds each model's error."""
 
 
-AT_ONCE = 4      # models that are fitted at the same time
+AT_ONCE = 6      # models that are fitted at the same time
 
 
 def train_all(train: DataFrame, test: DataFrame, names: list[str] | None = None, preset: str = "reference",
