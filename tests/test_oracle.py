@@ -6,9 +6,8 @@ from .compare import compare
 from .conftest import SF_SMALL
 
 ORACLE = E.oracle_sql()
-# boosted and forest models at the reference's settings take minutes each: the driver's gate runs them
-SLOW = {"train_random_forest", "train_extra_trees", "train_gbt_deep", "train_gbt_leafy", "train_gbt_balanced", "train_gbt", "train_gbt_hist",
-        "train_adaboost", "train_bagging", "model_comparison", "loss_curve"}
+# hundreds of rounds at the reference's settings: the driver's gate runs them, tests/test_boosting.py their learners
+SLOW = {"train_gbt_deep", "train_gbt_leafy", "train_gbt_balanced", "train_gbt", "train_gbt_hist", "model_comparison", "loss_curve"}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
