@@ -24,6 +24,7 @@ BINS = 255
 MISSING = 255
 ACCURACY = 10_000
 BLOCK_ROWS = 65_536
+MOST_ROWS, FEW_ROWS = 50_000, 8_192     # of a task
 
 
 @dataclass
@@ -76,7 +77,7 @@ def binned(data: DataFrame, bins: int = BINS) -> Binned:
     return Binned(written(rows.mapInPandas(run, "label double, weight double, bins binary")), edges)
 
 
-def blocks(table: DataFrame, class_weights: tuple[float, float] = (1.0, 1.0), rows_per_task: int = 50_000) -> RDD:
+def blocks(table: DataFrame, class_weights: tuple[float, float] = (1.0, 1.0)) -> RDD:
     """``(number, bins, label, weight)`` arrays of up to ``BLOCK_ROWS`` rows, kept by the executors; a row's weight counts times that of its class.
 
     A lost block is read again from the written table. Histograms are sums of one array a
@@ -98,5 +99,11 @@ def blocks(table: DataFrame, class_weights: tuple[float, float] = (1.0, 1.0), ro
         if held:
             yield block()
 
-    tasks = max(1, math.ceil(table.count() / rows_per_task))
-    return table.select("label", "weight", "bins").coalesce(tasks).rdd.mapPartitionsWithIndex(run).persist()
+    return spread(table.select("label", "weight", "bins")).rdd.mapPartitionsWithIndex(run).persist()
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table that is scanned again and again, in even tasks: as many as cores, but none of few rows or very many."""
+    n = table.count()
+    tasks = max(1, math.ceil(n / MOST_ROWS), min(table.sparkSession.sparkContext.defaultParallelism, math.ceil(n / FEW_ROWS)))
+    return table.repartition(tasks) if tasks > 1 else table.coalesce(1)

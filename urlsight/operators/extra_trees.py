@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .binning import spread
 
 BLOCK_ROWS = 16_384
 CUT = 8             # levels after which the rows' places are written to the checkpoint folder
@@ -56,7 +57,7 @@ class _Open:
     tried: int = 0
 
 
-def _blocks(data: DataFrame, rows_per_task: int = 50_000) -> RDD:
+def _blocks(data: DataFrame) -> RDD:
     def run(rows: Iterator) -> Iterator[tuple]:
         held = []
 
@@ -73,7 +74,7 @@ def _blocks(data: DataFrame, rows_per_task: int = 50_000) -> RDD:
 
     weight = F.col("weight").cast("double") if "weight" in data.columns else F.lit(1.0)
     rows = data.select(F.col("label").cast("double"), weight, vector_to_array("features"))
-    return rows.coalesce(max(1, math.ceil(data.count() / rows_per_task))).rdd.mapPartitions(run)
+    return spread(rows).rdd.mapPartitions(run)
 
 
 def _combined(state: RDD, run: Callable, op: Callable) -> np.ndarray:
