@@ -4,9 +4,13 @@ The corpus is cut into ``shards`` that are scanned in a circle. Scans count
 phrases of all lengths at once: a phrase becomes active at the scan after both
 its subphrases (all but the last word, all but the first) have reached the
 threshold in what was counted so far, and is counted for one full cycle from
-there. Its count is then exact, and since a phrase is never more frequent than
+there. Its count is then whole, and since a phrase is never more frequent than
 its subphrases none that reaches the threshold is missed.
 
+Scans count by 57 bits of a phrase's hash, so a counter is two numbers. Phrases
+that share a hash share a counter, which can only be too high; one more scan counts
+the phrases that are left word by word, and what is returned is exact.
+
 What is active is known from one table of ``2 ** SLOT_BITS`` bytes that is sent
 with each scan, whatever the corpus: a phrase's hash names a slot, which holds the
 scan from which the phrase is taken as reached. Phrases that share a slot may become
@@ -16,19 +20,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import discard, stage, with_columns_checked
+from .common import batches_of, discard, free_shuffles, stage, with_columns_checked
 
-SHARDS = 3
+SHARDS = 2
 LONGEST = 4
 SLOT_BITS = 24
 SEGMENT = 1 << 18          # tokens of a segment, rounded up to whole documents
@@ -36,9 +39,12 @@ SEGMENTS_AT_ONCE = 8       # segments that a task counts together
 NEVER = 255
 BREAK = b"."               # every character that ends a piece is written as this one
 _TABLE = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", BREAK * 10)
-_SEGMENT = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("ids", pa.binary()), ("n_words", pa.int64())])
-_COUNTS = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.binary()), ("slot", pa.int32()), ("start", pa.int32()), ("n", pa.int64())])
-_COUNTS_DDL = "lang string, length int, phrase binary, slot int, start int, n long"
+_SEGMENT = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("hashes", pa.binary()), ("ids", pa.binary()), ("n_words", pa.int64())])
+_SEGMENT_DDL = "shard int, lang string, words array<binary>, hashes binary, ids binary, n_words long"
+# a counter's key: 57 bits of hash, one for phrases of the greatest length, six for the scan that began to count
+START, WHOLE_LENGTH, HASH = 0x3F, 0x40, ~0x7F
+_COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+_PHRASES = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.binary()), ("n", pa.int64())])
 
 
 class _Ids(dict):
@@ -57,7 +63,7 @@ def tokens(text: bytes) -> list[bytes]:
     return (BREAK + text.lower().translate(_TABLE) + BREAK).replace(BREAK, b" " + BREAK + b" ").split()
 
 
-def segmented(shards: int, size: int = SEGMENT) -> Callable:
+def segmented(shards: int, size: int) -> Callable:
     """Batches of ``(lang, text)`` -> segments: one language's documents as word numbers with their own word list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, open_, held = TaskContext.get().partitionId(), {}, 0
@@ -68,7 +74,8 @@ def segmented(shards: int, size: int = SEGMENT) -> Callable:
             all_ids = np.concatenate(parts)
             held -= len(all_ids)
             turn += 1
-            row = {"shard": turn % shards, "lang": lang, "words": list(ids), "ids": all_ids.tobytes(), "n_words": int((all_ids > 0).sum())}
+            row = {"shard": turn % shards, "lang": lang, "words": list(ids), "hashes": _hashed(lang, list(ids)).tobytes(), "ids": all_ids.tobytes(),
+                   "n_words": int((all_ids > 0).sum())}
             return pa.RecordBatch.from_pylist([row], _SEGMENT)
 
         for batch in batches:
@@ -86,15 +93,17 @@ def segmented(shards: int, size: int = SEGMENT) -> Callable:
     return run
 
 
-def segments(docs: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, str]:
-    """The tokenised corpus, written once by shard, with its path. A null text is empty, a null language ``und``."""
+def segments(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The tokenised corpus, written once by shard. A null text is empty, a null language ``und``."""
     spark = docs.sparkSession
     slim = with_columns_checked(docs, "lang", "text").select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.col("text").cast("binary"))
     path = f"{ensure_checkpoint_dir(spark)}/segments-{uuid.uuid4().hex}"
-    made = slim.mapInArrow(segmented(shards), "shard int, lang string, words array<binary>, ids binary, n_words long")
+    made = slim.mapInArrow(segmented(shards, SEGMENT), _SEGMENT_DDL)
     made.write.partitionBy("shard").parquet(path)
-    return spark.read.schema("lang string, words array<binary>, ids binary, n_words long, shard int").parquet(path), path
+    corpus = spark.read.schema(_SEGMENT_DDL).parquet(path)
+    corpus.stage_path = path
+    return corpus
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -107,64 +116,103 @@ def _slots(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
-def phrase_counts(lang: str, words: list[bytes], ids: np.ndarray, since: np.ndarray, step: int, shards: int,
-                  longest: int = LONGEST) -> Iterator[pa.RecordBatch]:
-    """Counts of all phrases in ``ids`` that are active at this step."""
+def _hashed(lang: str, words: list[bytes]) -> np.ndarray:
+    """The hashes of numbered words; that of the end of a piece is 0, and no other."""
     import xxhash
 
     seed = xxhash.xxh64_intdigest(lang.encode())
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) for w in words), np.uint64, len(words))
-    texts = pa.array(words, pa.binary())
+    out = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) or 1 for w in words), np.uint64, len(words))
+    out[:1] = 0
+    return out
 
-    def batch(length: int, at: np.ndarray, n: np.ndarray, h: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-        parts = [texts.take(pa.array(ids[at + k])) for k in range(length)]
-        phrase = pc.binary_join_element_wise(*parts, b" ") if length > 1 else parts[0]
-        if isinstance(phrase, pa.ChunkedArray):
-            phrase = phrase.combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), length, np.int32)), phrase, pa.array(_slots(h)),
-             pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))], schema=_COUNTS)
 
+def active_counts(one: np.ndarray, since: np.ndarray, step: int, shards: int, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """Counters (keys and counts) of all phrases active at this step, in texts given as hashes of their words (0: end of a piece)."""
+    found = []
+
+    def add(h: np.ndarray, start: np.ndarray, length: int) -> None:
+        flags = start.astype(np.uint64) | np.uint64(WHOLE_LENGTH if length == longest else 0)
+        found.append((h & np.uint64(HASH & (1 << 64) - 1)) | flags)
+
+    h, reached = one, np.where(one > 0, since[_slots(one)], np.uint8(NEVER))
     if step < shards:
-        met, first, n = np.unique(ids, return_index=True, return_counts=True)
-        word = met > 0
-        if word.any():
-            yield batch(1, first[word], n[word], hashed[met[word]], np.zeros(word.sum()))
-    one = hashed[ids]
-    h = one
-    reached = np.where(ids > 0, since[_slots(h)], np.uint8(NEVER))
+        words = one[one > 0]
+        add(words, np.zeros(len(words)), 1)
     for length in range(2, longest + 1):
-        if len(reached) < 2:
-            return
         start = np.maximum(reached[:-1], reached[1:])
-        h = _mixed(h[:len(start)], one[length - 1:])
-        known = start <= step
-        at = np.flatnonzero(known & (start.astype(np.int32) + shards > step))
-        if len(at):
-            pair = ids[at].astype(np.int64) << 32 | ids[at + 1]
-            if length > 2:   # exact numbers for the pairs, then for the phrase
-                rest = ids[at + 2].astype(np.int64) << 32 | (ids[at + 3] if length == 4 else 0)
-                both = np.unique(np.concatenate([pair, rest]), return_inverse=True)[1]
-                pair = both[:len(at)].astype(np.int64) << 32 | both[len(at):]
-            _, first, n = np.unique(pair, return_index=True, return_counts=True)
-            at = at[first]
-            yield batch(length, at, n, h[at], start[at])
-        if not known.any():
+        known = np.flatnonzero(start <= step)
+        if not len(known):
+            break
+        h_ = np.zeros(len(start), np.uint64)
+        h_[known] = h = _mixed(h[known], one[known + length - 1])
+        first = start[known]
+        now = first.astype(np.int32) + shards > step
+        add(h[now], first[now], length)
+        reached = np.full(len(start), NEVER, np.uint8)
+        reached[known] = since[_slots(h)]
+        h = h_
+    return np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def exact_counts(lang: str, words: list[bytes], hashed: np.ndarray, ids: np.ndarray, marked: np.ndarray, longest: int = LONGEST) -> Iterator[pa.RecordBatch]:
+    """The phrases in ``ids`` whose slots, and those of all their subphrases, are marked, with their counts."""
+    texts = pa.array(words, pa.binary())
+    one = hashed[ids]
+    h, held = one, (one > 0) & marked[_slots(one)]
+    for length in range(1, longest + 1):
+        if length > 1:
+            held = held[:-1] & held[1:]
+            h = _mixed(h[:len(held)], one[length - 1:])
+            held &= marked[_slots(h)]
+        at = np.flatnonzero(held)
+        if not len(at):
             return
-        reached = np.where(known, since[_slots(h)], np.uint8(NEVER))
+        what = ids[at].astype(np.int64)
+        if length > 1:
+            what = what << 32 | ids[at + 1]
+        if length > 2:   # exact numbers for the pairs, then for the phrase
+            rest = ids[at + 2].astype(np.int64) << 32 | (ids[at + 3] if length == 4 else 0)
+            both = np.unique(np.concatenate([what, rest]), return_inverse=True)[1]
+            what = both[:len(at)].astype(np.int64) << 32 | both[len(at):]
+        _, first, n = np.unique(what, return_index=True, return_counts=True)
+        parts = [texts.take(pa.array(ids[at[first] + k])) for k in range(length)]
+        phrase = pc.binary_join_element_wise(*parts, b" ") if length > 1 else parts[0]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(np.full(len(n), length, np.int32)), phrase,
+                                          pa.array(n.astype(np.int64))], schema=_PHRASES)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """The segments of each batch as one ``(lang, words, ids)`` a language."""
+    for batch in batches:
+        by_lang: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
+        for lang, words, blob in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist(), batch.column("ids")):
+            ids, parts = by_lang.setdefault(lang, (_Ids(), []))
+            own = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+            parts.append(own[np.frombuffer(blob.as_buffer(), np.int32)])
+        for lang, (ids, parts) in by_lang.items():
+            yield lang, list(ids), np.concatenate(parts)
 
 
 def scanned(since, step: int, shards: int, longest: int) -> Callable:
-    """Batches of segments -> counts of active phrases; ``since`` is a broadcast table of slots."""
+    """Batches of segments -> counters of active phrases; ``since`` is a broadcast table of slots.
+
+    Hashes differ by language, so the segments of a batch are counted as one text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
-            for lang, words, blob in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist(), batch.column("ids")):
-                ids, parts = by_lang.setdefault(lang, (_Ids(), []))
-                own = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
-                parts.append(own[np.frombuffer(blob.as_buffer(), np.int32)])
-            for lang, (ids, parts) in by_lang.items():
-                yield from phrase_counts(lang, list(ids), np.concatenate(parts), since.value, step, shards, longest)
+            parts = [np.frombuffer(h.as_buffer(), np.uint64)[np.frombuffer(i.as_buffer(), np.int32)]
+                     for h, i in zip(batch.column("hashes"), batch.column("ids"))]
+            if parts:
+                keys, n = active_counts(np.concatenate(parts), since.value, step, shards, longest)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], schema=_COUNTS)
+    return run
+
+
+def checked(marked, longest: int) -> Callable:
+    """Batches of segments -> marked phrases with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, ids in _joined(batches):
+            yield from exact_counts(lang, words, _hashed(lang, words), ids, marked.value, longest)
     return run
 
 
@@ -176,49 +224,54 @@ def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST, sh
     if not 1 <= longest <= LONGEST or threshold < 1 or shards < 1:
         raise ValueError("phrases have one to four words, threshold and shards are at least 1")
     spark = docs.sparkSession
-    corpus, _ = segments(docs, shards)
+    corpus = segments(docs, shards)
     totals = stage(corpus.groupBy("lang").agg(F.sum("n_words").alias("words")))
-    since = np.full(1 << SLOT_BITS, NEVER, np.uint8)
-    step, last, carried, found = 0, 0, None, []
-    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    while step < last + shards:
-        sent = spark.sparkContext.broadcast(since.copy())
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SEGMENTS_AT_ONCE))
-        part = corpus.where(F.col("shard") == step % shards).drop("shard", "n_words")
-        counts = part.mapInArrow(scanned(sent, step, shards, longest), _COUNTS_DDL)
-        held = counts if carried is None else counts.unionAll(carried.select(*counts.columns))
-        merged = stage(held.groupBy("lang", "length", "phrase", "slot", "start").agg(F.sum("n").alias("n"))
-                       .select(*counts.columns))
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-        sent.destroy()
-        if carried is not None:
-            discard(carried)
-        if _reach(merged.where((F.col("n") >= threshold) & (F.col("length") < longest)), since, step + 1):
-            last = step + 1
-        complete = F.col("start") + shards - 1 <= step
-        found.append(stage(merged.where(complete & (F.col("n") >= threshold)).select("lang", "length", "phrase", "n")))
-        carried = stage(merged.where(~complete))
-        discard(merged)
-        step += 1
+    since, often = np.full(1 << SLOT_BITS, NEVER, np.uint8), np.full(1 << SLOT_BITS, NEVER, np.uint8)
+    step, last, carried = 0, 0, None
+    with batches_of(spark, SEGMENTS_AT_ONCE):      # segments are large rows
+        while step < last + shards:
+            sent = spark.sparkContext.broadcast(since.copy())
+            counts = corpus.where(F.col("shard") == step % shards).select("hashes", "ids").mapInArrow(scanned(sent, step, shards, longest), "key long, n long")
+            held = counts if carried is None else counts.unionAll(carried)
+            merged = stage(held.groupBy("key").agg(F.sum("n").alias("n")))
+            sent.destroy()
+            if carried is not None:
+                discard(carried)
+            enough = merged.where(F.col("n") >= threshold)
+            if _mark(enough.where(F.col("key").bitwiseAND(F.lit(WHOLE_LENGTH)) == 0), since, step + 1):
+                last = step + 1
+            complete = F.col("key").bitwiseAND(F.lit(START)) + shards - 1 <= step
+            _mark(enough.where(complete), often, 0)
+            carried = stage(merged.where(~complete))
+            discard(merged)
+            free_shuffles(spark)
+            step += 1
     discard(carried)
-    return reduce(DataFrame.unionAll, found), totals
+    sent = spark.sparkContext.broadcast(often != NEVER)
+    with batches_of(spark, SEGMENTS_AT_ONCE // 2):      # exact numbers take more room than hashes
+        found = stage(corpus.select("lang", "words", "ids").mapInArrow(checked(sent, longest), "lang string, length int, phrase binary, n long")
+                      .groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold))
+    sent.destroy()
+    discard(corpus)
+    return found, totals
 
 
-def _reach(phrases: DataFrame, since: np.ndarray, step: int) -> bool:
-    """Marks the slots of ``phrases`` as reached from ``step`` on; tells whether any is new.
+def _mark(counters: DataFrame, table: np.ndarray, value: int) -> bool:
+    """Writes ``value`` into the slots of ``counters`` that are not marked yet; tells whether there are any.
 
     The slots come as a bit map: at most ``2 ** SLOT_BITS / 64`` rows.
     """
-    bits = phrases.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, slot & 63))").alias("mask")).toArrow()
+    slot = F.shiftrightunsigned("key", 64 - SLOT_BITS)
+    bits = counters.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("mask")).toArrow()
     if not bits.num_rows:
         return False
     words, masks = (bits.column(c).to_numpy() for c in ("word", "mask"))
     on = np.unpackbits(masks.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     row, bit = np.nonzero(on)
     slots = words[row].astype(np.int64) * 64 + bit
-    new = slots[since[slots] == NEVER]
-    since[new] = step
+    new = slots[table[slots] == NEVER]
+    table[new] = value
     return bool(len(new))
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import table
 
-__all__ = ["bounded_batches", "checked_broadcast", "discard", "stage", "table", "with_columns_checked", "word_lists"]
+__all__ = ["batches_of", "bounded_batches", "checked_broadcast", "discard", "free_shuffles", "stage", "table", "with_columns_checked", "word_lists"]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -39,6 +40,26 @@ def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete shuffle files that no plan refers to any more.
+
+    It does so when the driver collects its garbage, by itself every half an hour; a loop of large shuffles can't wait.
+    """
+    spark._jvm.System.gc()
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs inside, then as before."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def with_columns_checked(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so extra or clashing columns of the input never matter."""
     missing = [n for n in names if n not in df.columns]
