@@ -192,6 +192,34 @@ def test_active_phrases_of_a_scan():
     assert counts(np.zeros_like(never), 2, 3) == [1, 1, 2, 2, 3, 3, 4]         # all slots taken: pqp, qpq and pqpq too
 
 
+def test_a_phrase_whose_slots_were_taken_early_is_counted_for_a_full_cycle():
+    hashed = collocations._hashed("en", [b".", b"p", b"q", b"r"])
+    one = hashed[[0, 1, 2, 3, 0]]                               # p q r, in both of two shards
+    since = np.full(1 << collocations.SLOT_BITS, collocations.NEVER, np.uint8)
+    since[collocations._slots(hashed[1:])] = [1, 1, 2]          # r is reached one scan later than p and q
+    pairs = collocations._mixed(hashed[[1, 2]], hashed[[2, 3]])
+    since[collocations._slots(pairs)] = 1                       # others took the slots of both pairs
+    seen = Counter()
+    for step in range(1, 6):
+        keys, n = collocations.active_counts(one, since, step, 2)
+        seen.update({k: c for k, c in zip(keys.tolist(), n.tolist())})
+    whole = {k: n for k, n in seen.items() if k >> 7 == int(collocations._mixed(pairs[:1], hashed[3:])[0]) >> 7}
+    assert list(whole.values()) == [2]
+
+
+@pytest.mark.parametrize("bits", [6, 9])
+def test_few_slots_lose_no_phrase(spark, monkeypatch, bits):
+    monkeypatch.setattr(collocations, "SEGMENT", 2000)
+    monkeypatch.setattr(collocations, "SLOT_BITS", bits)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    phrases = [" ".join(rng.choices(words, k=5)) for _ in range(60)]
+    docs = [("en", " ".join(rng.choice(phrases) if rng.random() < .3 else words[int(150 * rng.random() ** 2)] for _ in range(40))) for _ in range(300)]
+    df = spark.createDataFrame([(*d, "x", "y", "z") for d in docs], LANG_DOCS).repartition(3)
+    got = [tuple(r) for r in collocations.collocations(df, threshold=12).collect()]
+    assert sorted(got) == sorted(plain_collocations(docs, 12)) and len(got) > 10
+
+
 def test_phrases_that_reach_the_threshold_late(spark, monkeypatch):
     """A phrase whose words become frequent in the last shard is counted through a cycle that goes round."""
     monkeypatch.setattr(collocations, "SEGMENT", 1)

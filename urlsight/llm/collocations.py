@@ -112,8 +112,8 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+def _slots(h: np.ndarray, slots: int = 1 << SLOT_BITS) -> np.ndarray:
+    return (h >> np.uint64(65 - slots.bit_length())).astype(np.int32)
 
 
 def _hashed(lang: str, words: list[bytes]) -> np.ndarray:
@@ -134,7 +134,7 @@ def active_counts(one: np.ndarray, since: np.ndarray, step: int, shards: int, lo
         flags = start.astype(np.uint64) | np.uint64(WHOLE_LENGTH if length == longest else 0)
         found.append((h & np.uint64(HASH & (1 << 64) - 1)) | flags)
 
-    h, reached = one, np.where(one > 0, since[_slots(one)], np.uint8(NEVER))
+    h, reached = one, np.where(one > 0, since[_slots(one, len(since))], np.uint8(NEVER))
     if step < shards:
         words = one[one > 0]
         add(words, np.zeros(len(words)), 1)
@@ -149,7 +149,8 @@ def active_counts(one: np.ndarray, since: np.ndarray, step: int, shards: int, lo
         now = first.astype(np.int32) + shards > step
         add(h[now], first[now], length)
         reached = np.full(len(start), NEVER, np.uint8)
-        reached[known] = since[_slots(h)]
+        # a slot may have been marked by another phrase before this one was counted: longer ones begin no earlier
+        reached[known] = np.maximum(since[_slots(h, len(since))], first)
         h = h_
     return np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
@@ -158,12 +159,12 @@ def exact_counts(lang: str, words: list[bytes], hashed: np.ndarray, ids: np.ndar
     """The phrases in ``ids`` whose slots, and those of all their subphrases, are marked, with their counts."""
     texts = pa.array(words, pa.binary())
     one = hashed[ids]
-    h, held = one, (one > 0) & marked[_slots(one)]
+    h, held = one, (one > 0) & marked[_slots(one, len(marked))]
     for length in range(1, longest + 1):
         if length > 1:
             held = held[:-1] & held[1:]
             h = _mixed(h[:len(held)], one[length - 1:])
-            held &= marked[_slots(h)]
+            held &= marked[_slots(h, len(marked))]
         at = np.flatnonzero(held)
         if not len(at):
             return
