@@ -195,6 +195,32 @@ def test_missing_values_go_where_they_gain_most(spark):
     assert sum(r["count"] for r in got) == ROWS
 
 
+GROWTHS = [Settings(9, 0.3, "level", max_depth=4, l2=1.0, feature_share=0.5), Settings(9, 0.3, "leaf", max_leaves=9), Settings(9, 0.3, "symmetric", max_depth=3)]
+
+
+@pytest.mark.parametrize("s", GROWTHS, ids=lambda s: s.growth)
+def test_passes_over_many_blocks_grow_the_trees_of_one_task(data, monkeypatch, s):
+    monkeypatch.setattr(boosting, "TREES_A_JOB", 4)
+    one = Booster(s).fit(data[3])
+    monkeypatch.setattr(binning, "FEW_ROWS", 200)
+    monkeypatch.setattr(boosting, "MOST_ROWS", 500)
+    monkeypatch.setattr(boosting.Grower, "MOST", 1)             # a pass for each node
+    many = Booster(s).fit(data[3])
+    assert [t.feature for t in many.trees] == [t.feature for t in one.trees] and len(many.losses) == len(one.losses) == 9
+    assert many.margins(data[0]) == pytest.approx(one.margins(data[0]))
+    assert many.losses == pytest.approx(one.losses)
+
+
+def test_a_fit_takes_a_few_jobs(spark, data):
+    sc = spark.sparkContext
+    sc.setJobGroup("few-jobs", "")
+    try:
+        Booster(Settings(60, 0.2, "level", max_depth=3)).fit(data[3])
+        assert len(sc.statusTracker().getJobIdsForGroup("few-jobs")) < 10
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_class_weights_equal_row_weights(spark):
     x, y, w = make()
     s = Settings(3, 0.2, "leaf", max_leaves=6)
