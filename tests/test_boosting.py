@@ -221,6 +221,32 @@ def test_a_fit_takes_a_few_jobs(spark, data):
         sc.setLocalProperty("spark.jobGroup.id", None)
 
 
+@pytest.mark.parametrize("l2", [0.0, 3.0])
+def test_rows_of_one_gradient_are_not_split_by_rounding(l2):
+    rng = np.random.default_rng(1)
+    offsets = np.arange(0, 27 * 20, 20)
+    n = np.zeros((26, 20))
+    for f in range(26):
+        n[f, :19] = rng.multinomial(120_000, rng.dirichlet(np.ones(19)))
+    n = n.reshape(-1)
+    for g, h in ((-0.5, 0.25), (0.377, 0.2349), (-1e-3, 9.99e-4)):
+        # sums of so many terms are off by some last digits, each in its own way
+        off = 1 + rng.normal(0, 1e-14, (2, len(n)))
+        layout = boosting.Layout(offsets, np.arange(26))
+        gains = layout.gains(np.stack([n * g * off[0], n * h * off[1], n]), Settings(1, 0.1, max_depth=2, l2=l2))
+        assert layout.best(gains) is None
+
+
+def test_scans_take_tasks_by_the_work_in_them(spark):
+    def tasks(rows):
+        return binning.spread(spark.range(rows), binning.FEW_ROWS, binning.SCANNED_ROWS).rdd.getNumPartitions()
+
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks(1000) == 1
+    assert tasks(60_000) == 2
+    assert tasks(cores * 60_000) == cores       # one wave
+
+
 def test_class_weights_equal_row_weights(spark):
     x, y, w = make()
     s = Settings(3, 0.2, "leaf", max_leaves=6)
