@@ -220,6 +220,27 @@ def test_few_slots_lose_no_phrase(spark, monkeypatch, bits):
     assert sorted(got) == sorted(plain_collocations(docs, 12)) and len(got) > 10
 
 
+def test_scans_of_many_files_take_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SEGMENT", 1)              # a segment for each text
+    asked, in_tasks = [], collocations.in_tasks
+
+    def kept(*args):
+        out = in_tasks(*args)
+        asked.append((args[0].rdd.getNumPartitions(), out.rdd.getNumPartitions()))
+        return out
+
+    monkeypatch.setattr(collocations, "in_tasks", kept)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")    # a task for each file
+    try:
+        df = spark.createDataFrame([("en", "so far so good")] * 80, "lang string, text string").repartition(40)
+        found, _ = collocations.frequent_phrases(df, 30)
+        assert {r["phrase"].decode(): r["n"] for r in found.collect()}["so far so good"] == 80
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    cores = spark.sparkContext.defaultParallelism
+    assert all(before > cores for before, _ in asked) and {after for _, after in asked} == {cores}
+
+
 def test_phrases_that_reach_the_threshold_late(spark, monkeypatch):
     """A phrase whose words become frequent in the last shard is counted through a cycle that goes round."""
     monkeypatch.setattr(collocations, "SEGMENT", 1)

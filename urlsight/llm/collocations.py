@@ -18,6 +18,7 @@ active early or in vain; they are counted for a full cycle all the same.
 """
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -36,6 +37,8 @@ LONGEST = 4
 SLOT_BITS = 24
 SEGMENT = 1 << 18          # tokens of a segment, rounded up to whole documents
 SEGMENTS_AT_ONCE = 8       # segments that a task counts together
+SEGMENTS_A_TASK = 24       # of a scan, at least
+SEGMENTS_CHECKED = 64      # of the last scan, whose phrases are fewer and recur
 NEVER = 255
 BREAK = b"."               # every character that ends a piece is written as this one
 _TABLE = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", BREAK * 10)
@@ -217,6 +220,11 @@ def checked(marked, longest: int) -> Callable:
     return run
 
 
+def in_tasks(rows: DataFrame, segments: int, each: int) -> DataFrame:
+    """About ``segments`` rows in a task for each ``each``, but no fewer tasks than cores: a task sends a phrase's count once."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(segments / each)))
+
+
 def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """``(lang, length, phrase, n)`` of all phrases with at least ``threshold`` occurrences, and ``(lang, words)``.
 
@@ -226,13 +234,14 @@ def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST, sh
         raise ValueError("phrases have one to four words, threshold and shards are at least 1")
     spark = docs.sparkSession
     corpus = segments(docs, shards)
-    totals = stage(corpus.groupBy("lang").agg(F.sum("n_words").alias("words")))
+    totals, n_segments = stage(corpus.groupBy("lang").agg(F.sum("n_words").alias("words"))), corpus.count()
     since, often = np.full(1 << SLOT_BITS, NEVER, np.uint8), np.full(1 << SLOT_BITS, NEVER, np.uint8)
     step, last, carried = 0, 0, None
     with batches_of(spark, SEGMENTS_AT_ONCE):      # segments are large rows
         while step < last + shards:
             sent = spark.sparkContext.broadcast(since.copy())
-            counts = corpus.where(F.col("shard") == step % shards).select("hashes", "ids").mapInArrow(scanned(sent, step, shards, longest), "key long, n long")
+            part = in_tasks(corpus.where(F.col("shard") == step % shards).select("hashes", "ids"), math.ceil(n_segments / shards), SEGMENTS_A_TASK)
+            counts = part.mapInArrow(scanned(sent, step, shards, longest), "key long, n long")
             held = counts if carried is None else counts.unionAll(carried)
             merged = stage(held.groupBy("key").agg(F.sum("n").alias("n")))
             sent.destroy()
@@ -250,7 +259,7 @@ def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST, sh
     discard(carried)
     sent = spark.sparkContext.broadcast(often != NEVER)
     with batches_of(spark, SEGMENTS_AT_ONCE // 2):      # exact numbers take more room than hashes
-        found = stage(corpus.select("lang", "words", "ids").mapInArrow(checked(sent, longest), "lang string, length int, phrase binary, n long")
+        found = stage(in_tasks(corpus.select("lang", "words", "ids"), n_segments, SEGMENTS_CHECKED).mapInArrow(checked(sent, longest), "lang string, length int, phrase binary, n long")
                       .groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold))
     sent.destroy()
     discard(corpus)
