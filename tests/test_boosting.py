@@ -221,6 +221,49 @@ def test_a_fit_takes_a_few_jobs(spark, data):
         sc.setLocalProperty("spark.jobGroup.id", None)
 
 
+@pytest.mark.parametrize("s", [Settings(12, 0.1, "level", max_depth=2), Settings(12, 0.1, "leaf", max_leaves=4), Settings(12, 0.1, "symmetric", max_depth=2)],
+                         ids=lambda s: s.growth)
+def test_a_tree_that_grows_as_those_before_takes_one_pass(spark, monkeypatch, s):
+    x, _, w = make()
+    y = ((x[:, 0] > 17) & (x[:, 2] > 0)).astype(float)          # the same two splits in every tree
+    b = binning.binned(frame(spark, x, y, w))
+    one = Booster(s).fit(b)
+    monkeypatch.setattr(binning, "FEW_ROWS", 200)
+    monkeypatch.setattr(boosting, "MOST_ROWS", 500)
+    passes, summed = [], boosting.summed
+    monkeypatch.setattr(boosting, "summed", lambda rdd, run: passes.append(run) or summed(rdd, run))
+    many = Booster(s).fit(b)
+    assert [t.feature for t in many.trees] == [t.feature for t in one.trees] and one.trees[0].feature.count(-1) > 2
+    assert many.margins(x) == pytest.approx(one.margins(x)) and many.losses == pytest.approx(one.losses)
+    # the class sums and the last loss, the first trees level by level, one pass for each of the others
+    assert len(passes) <= 2 + 3 * boosting.OFTEN + (s.rounds - boosting.OFTEN)
+
+
+@pytest.mark.parametrize("cuts", [(17, 17), (17, 20)], ids=["as guessed", "otherwise"])
+def test_a_guess_answers_its_calls_and_no_others(data, monkeypatch, cuts):
+    s, offsets, features = Settings(1, 0.1, "level", max_depth=4), data[3].offsets, np.arange(4)
+    state = binning.blocks(data[3].table).map(lambda b: (boosting.Rows(b, 0.0),))
+
+    def call(cut):
+        tree = boosting.Tree()
+        if cut:
+            tree.split(0, 0, cut, float(cut), False)
+        return tree, np.array([-1, 0, 1] if cut else [0]), 2 if cut else 1
+
+    before = boosting._Passes(state, [], offsets, s, 0, features, [])
+    for cut in (None, cuts[0]):
+        before(*call(cut))
+    guess = boosting._often([before.calls] * boosting.OFTEN, 10)
+    assert [len(part) for part in guess] == [2] and not boosting._often([before.calls] * (boosting.OFTEN - 1), 10)
+    assert [len(part) for part in boosting._often([before.calls] * boosting.OFTEN, 2)] == [1]
+    guessed, without = (boosting._Passes(state, [], offsets, s, 0, features, g) for g in (guess, []))
+    jobs, job = [], boosting._Passes.job
+    monkeypatch.setattr(boosting._Passes, "job", lambda self, parts: jobs.append(self) or job(self, parts))
+    for cut in (None, cuts[1]):
+        assert (guessed(*call(cut)) == without(*call(cut))).all()
+    assert jobs.count(guessed) == len(set(cuts)) and jobs.count(without) == 2
+
+
 @pytest.mark.parametrize("l2", [0.0, 3.0])
 def test_rows_of_one_gradient_are_not_split_by_rounding(l2):
     rng = np.random.default_rng(1)
