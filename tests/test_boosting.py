@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from urlsight.operators import binning, boosting, encode
+from urlsight.operators import binning, boosting, encode, zoo
 from urlsight.operators.boosting import Booster, Settings
 from urlsight.operators.extra_trees import ExtraTrees
 
@@ -355,6 +355,14 @@ def test_ordered_target_sees_no_label_of_its_own(spark):
         assert s == pytest.approx((sum(own) + 2 * prior) / (len(own) + 2))
 
 
+def test_the_ordered_table_is_written(spark):
+    rows = spark.createDataFrame([(i, i % 2, "ab"[i % 3 == 0]) for i in range(60)], "url_len int, label int, tld string")
+    vocab, names = zoo.prepare(rows, numeric=["url_len"])
+    data, names, known = zoo.ordered_table(rows, vocab, names)
+    assert names == ["url_len", zoo.CATEGORY] and set(known) >= {"a", "b"} and data.count() == 60
+    assert "Window" not in data._jdf.queryExecution().optimizedPlan().toString()       # its readers don't sum again
+
+
 def test_extra_trees_draw_thresholds_between_the_bounds_of_each_node(spark):
     x, y, w = make(400)
     df = frame(spark, x, y, w)
