@@ -94,6 +94,17 @@ def test_one_half_shared_by_many(spark):
     assert len(set(got.values())) < len(fps) - 900
 
 
+def test_exploded_halves_are_not_broadcast(spark):
+    """Both sides are exploded from a small file: by its size Spark would send them through the driver."""
+    rng = random.Random(7)
+    fps = sorted({rng.getrandbits(63) for _ in range(300)})
+    clustered = common.stage(spark.createDataFrame([(f, f) for f in fps] + [(fps[0] ^ 7, fps[0] ^ 7)], "fp long, cluster long"))
+    links = simhash.half_links(clustered)
+    assert [(r.a, r.b) for r in links.collect()] == [tuple(sorted((fps[0], fps[0] ^ 7)))]
+    joins = [x for x in links._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and "slot#" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+
+
 def test_components_of_odd_rows(docs_of):
     words = " ".join(f"w{i}" for i in range(400))
     rows = [(5, words), (3, words), (3, words), (9, words.replace("w17 ", "v17 ")), (7, None), (8, ""), (2, " \n"),

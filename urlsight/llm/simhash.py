@@ -132,7 +132,8 @@ def half_links(clustered: DataFrame) -> DataFrame:
     centres = met_on(halves).withColumnsRenamed({"fp": "fp1", "cluster": "c1"})
     probes = met_on(halves.select("side", "rest", F.explode(around).alias("half"), "fp", "cluster")).withColumnsRenamed({"fp": "fp2", "cluster": "c2"})
     apart = F.bit_count(F.col("fp1").bitwiseXOR(F.col("fp2")))
-    met = centres.join(probes, ["side", "half", "slot"]).where((F.col("c1") != F.col("c2")) & (apart <= MAX_DISTANCE))
+    # Spark sizes both sides by the file they are exploded from, many times too low: neither may be broadcast
+    met = centres.join(probes.hint("merge"), ["side", "half", "slot"]).where((F.col("c1") != F.col("c2")) & (apart <= MAX_DISTANCE))
     return met.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
 
 
