@@ -68,6 +68,18 @@ def test_train_all_isolates_failures(spark, monkeypatch):
         Z.train_all(train, test, names=["Broken"], preset="smoke")
 
 
+@pytest.mark.parametrize("query", ["model_report", "model_comparison"])
+def test_a_failed_model_is_no_row_less(spark, monkeypatch, query):
+    """The queries list all models: with one that can't be fitted they have no result."""
+    from urlsight.plans import model_queries as Q
+
+    def boom(preset, w):
+        raise RuntimeError("broken trainer")
+    monkeypatch.setattr(Z, "TRAINERS", {"Broken": Z.Trainer("Broken", boom, None), "Small": Z.Trainer("Small", lambda p, w: Z._rf("smoke", w, Z.BAGGING), None)})
+    with pytest.raises(RuntimeError, match="Broken: RuntimeError: broken trainer"):
+        getattr(Q, query)(spark, SF_SMALL)
+
+
 def test_a_model_without_probabilities(spark):
     """V4: the class is the model's prediction; no percent, no log loss, ranked by its margin."""
     from pyspark.ml.classification import LinearSVC
